@@ -7,9 +7,9 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textmart import rules as R
+from textmart.functions.literals import string_map
 from textmart.functions.text import (
     fold,
     join_nonempty,
@@ -148,8 +148,7 @@ def levels(title: Column) -> Column:
 
 def lookup(col: Column, mapping: dict[str, str]) -> Column:
     """Value of a small literal map, NULL if the key is not in it."""
-    table = F.map_from_arrays(F.lit(list(mapping)), F.lit(list(mapping.values())))
-    return F.try_element_at(table, col)
+    return F.try_element_at(string_map(mapping), col)
 
 
 def lookup_or_self(col: Column, mapping: dict[str, str]) -> Column:

@@ -18,10 +18,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from textmart.functions.literals import no_strings, string_map
 from textmart.functions.text import fold, fold_text
 from textmart.sizes import MAX_LITERAL_ROWS, broadcast_if_small, collect_if_small
 
@@ -42,12 +42,10 @@ class Matcher:
         return self.match_folded(fold(text))
 
     def match_folded(self, folded: Column) -> Column:
-        nothing = F.lit([]).cast(T.ArrayType(T.StringType()))
+        nothing = no_strings()
         if not self.canonical_by_key:
             return nothing
-        names = F.map_from_arrays(
-            F.lit(list(self.canonical_by_key)), F.lit(list(self.canonical_by_key.values()))
-        )
+        names = string_map(self.canonical_by_key)
         spans = F.regexp_extract_all(folded, F.lit(self.pattern), F.lit(0))
         keys = F.array_distinct(F.transform(spans, lambda m: F.translate(m, SEPARATORS, "")))
         found = F.transform(keys, lambda k: F.try_element_at(names, k))
@@ -104,8 +102,7 @@ def match_dictionary(
     if matcher is not None:
         return df.withColumn(out, matcher.match(F.col(text)))
     found = match_by_join(df.select(key, text), key, text, dictionary, out)
-    empty = F.lit([]).cast(T.ArrayType(T.StringType()))
-    return df.join(found, key, "left").withColumn(out, F.coalesce(out, empty))
+    return df.join(found, key, "left").withColumn(out, F.coalesce(out, no_strings()))
 
 
 # --- the join form -----------------------------------------------------------
@@ -133,7 +130,7 @@ def _key(tokens: Column) -> Column:
 def _joints(tokens: Column) -> Column:
     """Offsets inside the key at which a separator stands in the text."""
     start = F.struct(
-        F.lit(0).alias("at"), F.lit([]).cast(T.ArrayType(T.IntegerType())).alias("joints")
+        F.lit(0).alias("at"), F.expr("CAST(array() AS ARRAY<INT>)").alias("joints")
     )
     return F.aggregate(
         tokens,
@@ -218,7 +215,7 @@ def match_by_join(
     )
     start = F.struct(
         F.lit(0).alias("free_from"),
-        F.lit([]).cast(T.ArrayType(T.StringType())).alias("names"),
+        no_strings().alias("names"),
     )
     consumed = F.aggregate(
         "spans",

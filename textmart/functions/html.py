@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmart.functions.literals import string_map
 from textmart.functions.text import STRIP_CHARS, first_nonempty, strip
 
 _IN_TAG = r"""(?:[^>"']+|"[^"]*"|'[^']*')*+"""
@@ -93,10 +94,7 @@ def decode_entities(text: Column) -> Column:
     """Named (HTML 4) and numeric character references, each decoded once."""
     common = ["amp", "quot", "lt", "gt", "nbsp"]
     names = common + [n for n in name2codepoint if n not in common]
-    table = F.map_from_arrays(
-        F.lit([f"&{n};" for n in names] + ["&apos;"]),
-        F.lit([chr(name2codepoint[n]) for n in names] + ["'"]),
-    )
+    table = string_map({f"&{n};": chr(name2codepoint[n]) for n in names} | {"&apos;": "'"})
     pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9a-zA-Z]+;|[^&]+|&)"), F.lit(1))
 
     def decode(piece: Column) -> Column:

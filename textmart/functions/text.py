@@ -14,6 +14,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmart.functions.literals import string_map
+
 # What counts as whitespace once the text is ASCII (the class used
 # by the matching rules includes the separators 0x1C-0x1F, Java's \s does not).
 ASCII_SPACE = r"[ \t\n\r\f\x0B\x1C-\x1F]"
@@ -71,7 +73,7 @@ def _to_ascii(col: Column, table: dict[str, str]) -> Column:
     single = {k: v for k, v in table.items() if len(v) == 1}
     other = {k: v for k, v in table.items() if len(v) != 1}
     many = "[" + "".join(re.escape(c) for c in other) + "]"
-    literal = F.map_from_arrays(F.lit(list(other)), F.lit(list(other.values())))
+    literal = string_map(other)
     spelled = F.array_join(
         F.transform(
             F.regexp_extract_all(col, F.lit(f"({many}|[^{many[1:]}+)"), F.lit(1)),

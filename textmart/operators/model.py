@@ -48,10 +48,12 @@ def children_by_parent(
     """
     counted = children.groupBy(key, item).agg(F.count(F.lit(1)).cast("int").alias("_n"))
     lists = counted.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_n").alias("n")))).alias("_l")
+        F.array_sort(
+            F.collect_list(F.struct(F.col(item).alias("v"), F.col("_n").alias("n")))
+        ).alias("_l")
     )
     repeated = F.flatten(F.transform("_l", lambda s: F.array_repeat(s["v"], s["n"])))
-    empty = F.lit([]).cast(T.ArrayType(children.schema[item].dataType))
+    empty = F.array().cast(T.ArrayType(children.schema[item].dataType))
     return (
         parents.join(lists, key, "left")
         .withColumn(out, F.coalesce(repeated, empty))

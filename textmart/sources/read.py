@@ -12,37 +12,38 @@ from textmart.operators.incremental import nonblank
 from textmart.operators.model import latest
 
 
-def _csv(spark: SparkSession, schema):
-    # Quotes inside a field are doubled; fields may hold newlines.
+def _csv(spark: SparkSession, schema, multi_line: bool = False):
+    # Quotes inside a field are doubled.
     return (
-        spark.read.schema(schema).option("header", True).option("multiLine", True)
+        spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"')
     )
 
 
 def read_job_ids_csv(spark: SparkSession, path: str) -> DataFrame:
     """(job_id, url) rows with an id; a missing path gives no row."""
-    return nonblank(_load_or_empty(spark, lambda: _csv(spark, S.JOB_IDS).csv(path), S.JOB_IDS), "job_id")
+    rows = _load_or_empty(spark, lambda: _csv(spark, S.JOB_IDS).csv(path), S.JOB_IDS)
+    return nonblank(rows, "job_id")
 
 
-def read_html_cache_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_html_cache_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """(job_id, html_text): ids trimmed, blank ids dropped, last row of an id wins.
 
-    The order of rows is file by file and inside a file by position, which is what
-    an append-only cache writes.
+    Rows are ordered file by file (by modification time) and by position inside a
+    file, as an append-only cache writes them. The cache's writer collapses
+    newlines, so one line is one record and large files are split; set
+    `multi_line` for files that others wrote.
     """
+    place = ["file_modification_time", "file_name", "file_block_start"]
     raw = _load_or_empty(
         spark,
-        lambda: _csv(spark, S.JOB_HTML_CSV).csv(path).select(
-            "*", "_metadata.file_modification_time", "_metadata.file_name"
+        lambda: _csv(spark, S.JOB_HTML_CSV, multi_line).csv(path).select(
+            "*", F.struct(*[F.col(f"_metadata.{p}") for p in place]).alias("_place")
         ),
         S.JOB_HTML_CSV,
     )
     ordered = raw.withColumn("_pos", F.monotonically_increasing_id())
-    if "file_name" in raw.columns:
-        seq = F.struct("file_modification_time", "file_name", "_pos")
-    else:
-        seq = F.struct("_pos")
+    seq = F.struct(*[c for c in ("_place", "_pos") if c in ordered.columns])
     rows = nonblank(ordered.withColumn("job_id", strip(F.col("job_id"))), "job_id")
     return latest(rows, "job_id", seq).select(
         "job_id", F.coalesce("html_text", F.lit("")).alias("html_text")
