@@ -29,25 +29,19 @@ def _any_of(keywords: Iterable[str]) -> str:
 # --- one of several codes ----------------------------------------------------
 
 
-def work_mode(*parts: Column) -> Column:
+def work_mode(*parts: Column, words: Sequence[tuple[str, str]] = R.MODE_WORDS) -> Column:
     """'hibrido', 'remoto', 'presencial' or NULL from title, city and description.
 
-    A hybrid word decides; so do remote and on-site words together.
+    `words` are three (label, pattern) pairs. A word of the first decides; so do
+    words of the second and the third together.
     """
-    return mode_of_folded(
-        fold(join_nonempty(*parts)), R.HYBRID_WORDS, R.REMOTE_WORDS, R.ONSITE_WORDS, R.MODES
-    )
-
-
-def mode_of_folded(
-    folded: Column, both: str, one: str, other: str, labels: Sequence[str]
-) -> Column:
-    """labels = (label of both, of one, of other)."""
-    has_one, has_other = folded.rlike(one), folded.rlike(other)
+    (both, both_words), (one, one_words), (other, other_words) = words
+    text = fold(join_nonempty(*parts))
+    has_one, has_other = text.rlike(one_words), text.rlike(other_words)
     return (
-        F.when(folded.rlike(both) | (has_one & has_other), labels[0])
-        .when(has_one, labels[1])
-        .when(has_other, labels[2])
+        F.when(text.rlike(both_words) | (has_one & has_other), both)
+        .when(has_one, one)
+        .when(has_other, other)
     )
 
 
@@ -71,7 +65,7 @@ def position_group(
 ) -> Column:
     """Title -> position group. A title equal to a group's name stays as it is."""
     shown = F.coalesce(title, F.lit("None"))
-    names = list(dict.fromkeys([name for name, _ in rules] + [default, *R.POSITION_GROUPS]))
+    names = list(dict.fromkeys([name for name, _ in rules] + [default]))
     text = strip_punctuation(transliterate(strip(F.lower(shown))))
     return F.when(shown.isin(names), shown).otherwise(rule_cascade(text, rules, default))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart import rules as R
@@ -17,25 +19,34 @@ from textmart.functions.text import percent_label
 from textmart.operators import marts
 from textmart.schemas import MART_COLUMNS
 
+ColumnFunction = Callable[[Column], Column]
+
 
-def build_mart(jobs: DataFrame, skills: DataFrame) -> DataFrame:
+def build_mart(
+    jobs: DataFrame,
+    skills: DataFrame,
+    group_of: ColumnFunction = position_group,
+    levels_of: ColumnFunction = levels,
+    name_of: ColumnFunction = standardize_name,
+    type_of: ColumnFunction = skill_type,
+) -> DataFrame:
     """One row per job, level and skill, with groups, levels and standard names.
 
-    Titles are classified once per job, before the join multiplies the rows;
+    The four classifiers are functions of a column and may be replaced. Titles are classified once per job, before the join multiplies the rows;
     levels are exploded after it, so the shuffle carries each pair once.
     """
     classified = jobs.select(
         "job_id", "title", "company", "city", "work_mode",
-        position_group(F.col("title")).alias("position_group"),
-        levels(F.col("title")).alias("levels"),
+        group_of(F.col("title")).alias("position_group"),
+        levels_of(F.col("title")).alias("levels"),
     )
     named = skills.select(
-        "job_id", "skill", standardize_name(F.col("skill")).alias("skill_grouped")
+        "job_id", "skill", name_of(F.col("skill")).alias("skill_grouped")
     )
     joined = marts.join_children(classified, named, "job_id")
     return (
         marts.explode_labels(joined, "levels", "level")
-        .withColumn("tipo_skill", skill_type(F.col("skill_grouped")))
+        .withColumn("tipo_skill", type_of(F.col("skill_grouped")))
         .select(*MART_COLUMNS)
     )
 

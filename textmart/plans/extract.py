@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -85,6 +86,7 @@ def build_entries(
     key: str = "job_id",
     html: str = "html_text",
     path: str = "native",
+    mode_words: Sequence[tuple[str, str]] = R.MODE_WORDS,
 ) -> DataFrame:
     """(key, title, company, city, work_mode, skills) of each page."""
     fields = page_fields(pages, layout, key, html, path)
@@ -94,7 +96,9 @@ def build_entries(
         "title",
         "company",
         "city",
-        work_mode(F.col("title"), F.col("city"), F.col("description")).alias("work_mode"),
+        work_mode(
+            F.col("title"), F.col("city"), F.col("description"), words=mode_words
+        ).alias("work_mode"),
         "skills",
     )
 

@@ -6,11 +6,16 @@ other rules as an argument. The skill dictionary is not here; it is an input
 table (see `sources.read_dictionary`).
 """
 
-# --- work mode, on folded text ---
-MODES = ("hibrido", "remoto", "presencial")
-HYBRID_WORDS = r"\bhibrido\b|\bhybrid\b"
-REMOTE_WORDS = r"\bremoto\b|\bremote\b|home\s*office|100%\s*remoto|trabalho remoto|anywhere"
-ONSITE_WORDS = r"\bpresencial\b|on[\s\-]?site|\bno local\b|\bpresential\b"
+# --- work mode, on folded text: both, the first kind, the second kind ---
+MODE_WORDS = [
+    ("hibrido", r"\bhibrido\b|\bhybrid\b"),
+    (
+        "remoto",
+        r"\bremoto\b|\bremote\b|home\s*office|100%\s*remoto|trabalho remoto|anywhere",
+    ),
+    ("presencial", r"\bpresencial\b|on[\s\-]?site|\bno local\b|\bpresential\b"),
+]
+MODES = [label for label, _ in MODE_WORDS]
 
 # --- levels, on spelled lower-case titles ---
 LEVEL_PATTERNS = [
@@ -32,21 +37,8 @@ LEVEL_LABELS = {
     "nao_especificado": "Não especificado",
 }
 
-# --- position groups, first rule with a contained keyword wins ---
-POSITION_GROUPS = [
-    "Data Analyst",
-    "Data Engineer",
-    "BI Analyst",
-    "Data Intern",
-    "Analytics Engineer",
-    "Data Scientist",
-    "Data Architect",
-    "Data Leadership",
-    "Data Product",
-    "Data Governance",
-    "Data Talent Pool",
-    "Not Data Role",
-]
+# --- position groups, on spelled lower-case titles; the first rule with a keyword
+# contained in the title wins ---
 POSITION_DEFAULT = "Not Data Role"
 # Groups left out of the level shares.
 POSITION_EXCLUDED = ["Not Data Role", "Data Talent Pool"]

@@ -88,3 +88,7 @@ def _last_commit(spark: SparkSession, store: str, kind: str) -> int:
 def _snapshot(spark: SparkSession, store: str) -> tuple[DataFrame | None, int]:
     upto = _last_commit(spark, store, "snapshot")
     return (None if upto < 0 else spark.read.parquet(f"{store}/snapshot-{upto}")), upto
+
+
+def has_snapshot(spark: SparkSession, store: str) -> bool:
+    return _last_commit(spark, store, "snapshot") >= 0
