@@ -284,7 +284,7 @@ ORACLES: dict[str, str] = {
     ),
     "collect_new_ids": (
         "WITH p AS (SELECT page_id, page_id // 10 AS term, url, "
-        "regexp_extract_all(html, 'href=\"/(\\p{L}{9,})', 1) AS ids FROM pages), "
+        "regexp_extract_all(html, 'href=\"/(\\p{L}{6,})', 1) AS ids FROM pages), "
         "r AS (SELECT * FROM p QUALIFY max(CASE WHEN len(ids) = 0 THEN 1 ELSE 0 END) OVER "
         "(PARTITION BY term ORDER BY page_id ROWS UNBOUNDED PRECEDING) = 0), "
         "s AS (SELECT page_id, url, unnest(ids) AS job_id FROM r) "

@@ -749,9 +749,9 @@ def src_json_tolerant(spark, sf):
             )
         )
     )
-    whole = F.when(F.contains("html", F.lit('lang="de"')), F.expr("left(entry, length(entry) - 9)"))
-    lines = pages.select("html", entry.alias("entry")).select(whole.otherwise(F.col("entry")))
-    lines.write.text(path)
+    broken = F.when(F.contains("html", F.lit('lang="de"')), F.expr("left(entry, length(entry) - 9)"))
+    lines = pages.select("html", entry.alias("entry"))
+    lines.select(broken.otherwise(F.col("entry")).alias("value")).write.text(path)
     return sources.read_entries_json_lines(spark, path).withColumn("skills", joined("skills"))
 
 

@@ -86,7 +86,7 @@ PAGE = PageLayout(
 LANG = Field.of("html", "attr:lang")
 LINK_PATTERN = r'href="/([^"]+)"'
 # Long link names only, so that some pages show no id at all.
-LONG_LINK_PATTERN = r'href="/(\p{L}{9,})'
+LONG_LINK_PATTERN = r'href="/(\p{L}{6,})'
 
 
 def dictionary(spark: SparkSession) -> DataFrame:

@@ -107,39 +107,38 @@ def match_dictionary(
 
 # --- the join form -----------------------------------------------------------
 
+# A word or a single symbol, with the separators before it.
+_TOKEN = r"([ /-]*(?:[a-z0-9]+|[^a-z0-9 /-]))"
+
 
 def _tokens(folded: Column) -> Column:
-    """Words and single symbols, each with "is a word" and "follows a separator"."""
-    parts = F.regexp_extract_all(
-        folded, F.lit(r"([ /-]*(?:[a-z0-9]+|[^a-z0-9 /-]))"), F.lit(1)
-    )
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            F.ltrim(p, F.lit(SEPARATORS)).alias("token"),
-            p.rlike("[a-z0-9]$").alias("is_word"),
-            p.rlike("^[ /-]").alias("spaced"),
-        ),
-    )
+    return F.regexp_extract_all(folded, F.lit(_TOKEN), F.lit(1))
+
+
+def _opens_apart(token: Column) -> Column:
+    return token.rlike("^[ /-]")
+
 
+def _is_word(token: Column) -> Column:
+    return token.rlike("[a-z0-9]$")
 
-def _key(tokens: Column) -> Column:
-    return F.array_join(F.transform(tokens, lambda t: t["token"]), "")
 
+def _key(span: Column) -> Column:
+    return F.translate(span, SEPARATORS, "")
 
-def _joints(tokens: Column) -> Column:
-    """Offsets inside the key at which a separator stands in the text."""
+
+def _joints(span: Column) -> Column:
+    """Offsets inside the key of `span` at which a separator stands in it."""
+    words = F.split(F.btrim(span, F.lit(SEPARATORS)), "[ /-]+")
     start = F.struct(
         F.lit(0).alias("at"), F.expr("CAST(array() AS ARRAY<INT>)").alias("joints")
     )
     return F.aggregate(
-        tokens,
+        F.slice(words, 1, F.size(words) - 1),
         start,
-        lambda acc, t: F.struct(
-            (acc["at"] + F.length(t["token"])).alias("at"),
-            F.when(
-                t["spaced"] & (acc["at"] > 0), F.array_append(acc["joints"], acc["at"])
-            ).otherwise(acc["joints"]).alias("joints"),
+        lambda acc, w: F.struct(
+            (acc["at"] + F.length(w)).alias("at"),
+            F.array_append(acc["joints"], acc["at"] + F.length(w)).alias("joints"),
         ),
         lambda acc: acc["joints"],
     )
@@ -147,15 +146,13 @@ def _joints(tokens: Column) -> Column:
 
 def _dictionary_keys(dictionary: DataFrame) -> DataFrame:
     """One row per alias: key, allowed joints, rank (small = tried first), canonical."""
-    folded = dictionary.select(
-        "canonical", "pos", fold(F.col("alias")).alias("folded")
-    ).withColumn("tokens", _tokens(F.btrim("folded", F.lit(SEPARATORS))))
+    folded = dictionary.select("canonical", "pos", fold(F.col("alias")).alias("folded"))
     keyed = folded.select(
-        _key(F.col("tokens")).alias("key"),
-        _joints(F.col("tokens")).alias("alias_joints"),
+        _key(F.col("folded")).alias("key"),
+        _joints(F.col("folded")).alias("alias_joints"),
         F.struct((-F.length("folded")).alias("neg_length"), "pos").alias("rank"),
         "canonical",
-        F.size("tokens").alias("n_tokens"),
+        F.size(_tokens(F.col("folded"))).alias("n_tokens"),
     ).where("key <> ''")
     # Where two canonicals share a key, the alias tried last names it.
     owner = keyed.groupBy("key").agg(F.max_by("canonical", "rank").alias("canonical"))
@@ -174,49 +171,46 @@ def match_by_join(
     A very frequent key is split by AQE's skew join or avoided by the broadcast.
     """
     entries = _dictionary_keys(dictionary)
-    longest = entries.agg(F.coalesce(F.max("n_tokens"), F.lit(0)).alias("n")).first()["n"]
-    entries = broadcast_if_small(entries.drop("n_tokens"))
+    longest = entries.agg(F.coalesce(F.max("n_tokens"), F.lit(1)).alias("n")).first()["n"]
+    entries = broadcast_if_small(entries.drop("n_tokens").withColumnRenamed("key", "_key"))
 
     tokens = df.select(key, _tokens(fold(F.col(text))).alias("tokens")).where(
         F.size("tokens") > 0
     )
-    t, at = F.col("tokens"), F.col("at")
-    first, before = F.get(t, at), F.get(t, at - 1)
+    # A start carries the few tokens from it on, not the whole text.
     starts = tokens.select(
-        key, "tokens", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("at")
-    ).where((at == 0) | first["spaced"] | ~before["is_word"])
-    stops = starts.select(
-        key,
-        "tokens",
-        "at",
-        F.explode(
-            F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), F.size("tokens") - at))
-        ).alias("n"),
-    )
-    after = F.get(t, at + F.col("n"))
-    inside = F.slice(t, at + 1, F.col("n"))
-    candidates = stops.where(
-        after["token"].isNull() | after["spaced"] | ~after["is_word"]
-    ).select(key, "at", "n", inside.alias("span"))
-    candidates = candidates.select(
         key,
-        "at",
-        (at + F.col("n")).alias("end"),
-        _key(F.col("span")).alias("key_"),
-        _joints(F.col("span")).alias("joints"),
-    )
-    hits = candidates.join(entries, F.col("key_") == entries["key"]).where(
-        F.size(F.array_except("joints", "alias_joints")) == 0
+        F.inline(
+            F.transform(
+                "tokens",
+                lambda token, i: F.struct(
+                    i.alias("at"),
+                    F.get("tokens", i - 1).alias("before"),
+                    F.slice("tokens", i + 1, longest + 1).alias("ahead"),
+                ),
+            )
+        ),
+    ).where((F.col("at") == 0) | _opens_apart(F.get("ahead", F.lit(0))) | ~_is_word(F.col("before")))
+    after = F.get("ahead", F.col("n"))
+    candidates = (
+        starts.withColumn(
+            "n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("ahead"))))
+        )
+        .where(after.isNull() | _opens_apart(after) | ~_is_word(after))
+        .select(
+            key,
+            "at",
+            (F.col("at") + F.col("n")).alias("end"),
+            F.array_join(F.slice("ahead", 1, F.col("n")), "").alias("span"),
+        )
     )
-    per_text = hits.groupBy(df[key]).agg(
-        F.array_sort(
-            F.collect_list(F.struct("at", "rank", F.col("end"), F.col("canonical")))
-        ).alias("spans")
+    hits = candidates.withColumn("_key", _key(F.col("span"))).join(entries, "_key").where(
+        F.size(F.array_except(_joints(F.col("span")), "alias_joints")) == 0
     )
-    start = F.struct(
-        F.lit(0).alias("free_from"),
-        no_strings().alias("names"),
+    per_text = hits.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("at", "rank", "end", "canonical"))).alias("spans")
     )
+    start = F.struct(F.lit(0).alias("free_from"), no_strings().alias("names"))
     consumed = F.aggregate(
         "spans",
         start,

@@ -43,6 +43,8 @@ SPELLINGS = {
 
 # Last code point scanned for decompositions to ASCII: beyond it there are none.
 _LAST_CODE_POINT = 0x1FFFF
+# End of the common Latin blocks.
+_LATIN_END = 0x17F
 
 
 @lru_cache(maxsize=None)
@@ -66,23 +68,29 @@ def _spelling_table() -> dict[str, str]:
 def _to_ascii(col: Column, table: dict[str, str]) -> Column:
     """Map single characters, then drop what is still not ASCII.
 
-    One-to-one mappings go through a single `translate`. The few one-to-many ones
-    (ligatures, fractions) are looked up segment by segment, only in rows that
-    hold one. Pure ASCII rows, told by byte length = char length, skip it all.
+    One-to-one mappings go through a single `translate`. The one-to-many ones
+    (ligatures, fractions, the ellipsis) are looked up character by character, only
+    in rows that hold one. Pure ASCII rows, told by byte length = char length, skip
+    it all.
     """
     single = {k: v for k, v in table.items() if len(v) == 1}
-    other = {k: v for k, v in table.items() if len(v) != 1}
-    many = "[" + "".join(re.escape(c) for c in other) + "]"
-    literal = string_map(other)
+    many = {k: v for k, v in table.items() if len(v) != 1}
+    # Testing a large class costs time per character, so letters of the common
+    # Latin blocks are told apart by range before the class is tried.
+    near = "".join(re.escape(c) for c in many if ord(c) <= _LATIN_END)
+    far = "".join(re.escape(c) for c in many if ord(c) > _LATIN_END)
+    latin = rf"\x00-\x{{{_LATIN_END:x}}}"
+    has_many = rf"[{near}]|(?=[^{latin}])[{far}]"
+    pieces = F.regexp_extract_all(col, F.lit(rf"([{latin}&&[^{near}]]+|[\s\S])"), F.lit(1))
+    literal = string_map(many)
     spelled = F.array_join(
-        F.transform(
-            F.regexp_extract_all(col, F.lit(f"({many}|[^{many[1:]}+)"), F.lit(1)),
-            lambda seg: F.coalesce(F.try_element_at(literal, seg), seg),
-        ),
-        "",
+        F.transform(pieces, lambda p: F.coalesce(F.try_element_at(literal, p), p)), ""
+    )
+    mapped = F.translate(
+        F.when(col.rlike(has_many), spelled).otherwise(col),
+        "".join(single),
+        "".join(single.values()),
     )
-    whole = F.when(col.rlike(many), spelled).otherwise(col)
-    mapped = F.translate(whole, "".join(single), "".join(single.values()))
     return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(
         F.regexp_replace(mapped, r"[^\x00-\x7F]+", "")
     )

@@ -20,7 +20,7 @@ JOB_HTML = T.StructType(
 )
 ENTRY = T.StructType(
     _text("job_id", "title", "company", "city", "work_mode")
-    + [T.StructField("skills", T.ArrayType(T.StringType(), False), True)]
+    + [T.StructField("skills", T.ArrayType(T.StringType(), True), True)]
 )
 JOB_COLUMNS = ["job_id", "title", "company", "city", "work_mode"]
 JOBS = T.StructType(
