@@ -14,11 +14,13 @@ from textmart.functions import classify as C
 from textmart.functions import dictionary as D
 from textmart.functions import html as H
 from textmart.functions import text as X
+from textmart.functions.literals import explode_computed
 from textmart.operators import incremental as I
 from textmart.operators import marts as M
 from textmart.operators import model as O
 from textmart.plans import analyse, collect, extract
 from textmart.session import scratch_path
+from textmart.sizes import spread
 from textmart.streaming import first_seen as SF
 from textmart.streaming import upserts as SU
 
@@ -35,6 +37,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows are costly to work on."""
+    return spread(table(spark, folder, name).select(*columns))
+
+
 def joined(col: str | Column, separator: str = "|") -> Column:
     """Arrays are compared as text."""
     return F.array_join(F.transform(col, lambda v: v.cast("string")), separator)
@@ -49,24 +56,25 @@ def moment(text: str) -> Column:
 
 @query
 def fold_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.fold(F.col("text")).alias("folded"))
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", X.fold(F.col("text")).alias("folded"))
 
 
 @query
 def fold_translit(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", X.transliterate(F.col("text")).alias("spelled"))
 
 
 @query
 def collapse_newlines(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", X.collapse_newlines(F.col("text")).alias("clean"))
 
 
 @query
 def strip_punct(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", X.strip_punctuation(F.col("text")).alias("clean"))
 
 
@@ -78,7 +86,7 @@ def title_case(spark, sf):
 
 @query
 def dictionary_match(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark))
     return found.select("doc_id", joined("skills").alias("skills"))
 
@@ -86,14 +94,14 @@ def dictionary_match(spark, sf):
 @query
 def dictionary_match_join(spark, sf):
     """The form for dictionaries too large for a literal, on the same texts."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark), literal_limit=0)
     return found.select("doc_id", joined("skills").alias("skills"))
 
 
 @query
 def mode_classify(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "source", "lang", "text")
     mode = C.work_mode(F.col("source"), F.col("lang"), F.col("text"), words=N.MODE_WORDS)
     return docs.select("doc_id", mode.alias("mode"))
 
@@ -103,44 +111,38 @@ def mode_classify(spark, sf):
 
 @query
 def html_meta(spark, sf):
-    pages = table(spark, sf, "pages")
-    markup = pages.select("page_id", H.visible_markup(F.col("html")).alias("m"))
-    m = F.col("m")
-    return markup.select(
+    pages = texts(spark, sf, "pages", "page_id", "html")
+    places = {n: f for n, f in N.PAGE.places().items() if n != "body"}
+    return _meta(H.native_fields(pages, "page_id", "html", {**places, "lang": N.LANG}), "lang")
+
+
+def _meta(raw, *more):
+    return raw.select(
         "page_id",
-        H.fallback_field(m, list(N.PAGE.title)).alias("title"),
-        H.fallback_field(m, list(N.PAGE.company)).alias("company"),
-        H.fallback_field(m, list(N.PAGE.city)).alias("city"),
-        H.native_field(m, N.LANG).alias("lang"),
+        X.first_nonempty(F.col("title_0"), F.col("title_1")).alias("title"),
+        X.first_nonempty(F.col("company_0"), F.col("company_1")).alias("company"),
+        F.col("city_0").alias("city"),
+        *more,
     )
 
 
 @query
 def html_container_text(spark, sf):
-    pages = table(spark, sf, "pages")
-    markup = pages.select("page_id", H.visible_markup(F.col("html")).alias("m"))
-    return markup.select("page_id", H.native_field(F.col("m"), N.PAGE.body).alias("body"))
+    pages = texts(spark, sf, "pages", "page_id", "html")
+    return H.native_fields(pages, "page_id", "html", {"body": N.PAGE.body})
 
 
 @query
 def html_parsed(spark, sf):
     """The path for any markup: the fields of both queries above in one pass."""
-    pages = table(spark, sf, "pages")
+    pages = texts(spark, sf, "pages", "page_id", "html")
     places = {**N.PAGE.places(), "lang": N.LANG}
-    raw = H.parse_fields(pages, "page_id", "html", places)
-    return raw.select(
-        "page_id",
-        X.first_nonempty(F.col("title_0"), F.col("title_1")).alias("title"),
-        X.first_nonempty(F.col("company_0"), F.col("company_1")).alias("company"),
-        F.col("city_0").alias("city"),
-        "lang",
-        "body",
-    )
+    return _meta(H.parse_fields(pages, "page_id", "html", places), "lang", "body")
 
 
 @query
 def extract_ids(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = texts(spark, sf, "pages", "page_id", "html")
     ids = H.extract_ids(F.col("html"), N.LINK_PATTERN)
     rows = pages.select("page_id", F.posexplode(ids).alias("pos", "job_id"))
     return rows.withColumn("pos", F.col("pos").cast("long"))
@@ -148,12 +150,12 @@ def extract_ids(spark, sf):
 
 @query
 def build_entries(spark, sf):
-    return _entries(spark, table(spark, sf, "pages"))
+    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"))
 
 
 @query
 def build_entries_parsed(spark, sf):
-    return _entries(spark, table(spark, sf, "pages"), path="parser")
+    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="parser")
 
 
 def _raw_entries(spark, pages, path="native"):
@@ -169,12 +171,12 @@ def _entries(spark, pages, path="native"):
 
 @query
 def normalize_entries(spark, sf):
-    return O.normalize(_raw_entries(spark, table(spark, sf, "pages")))[1]
+    return O.normalize(_raw_entries(spark, texts(spark, sf, "pages", "page_id", "html")))[1]
 
 
 @query
 def normalize_parents(spark, sf):
-    return O.normalize(_raw_entries(spark, table(spark, sf, "pages")))[0]
+    return O.normalize(_raw_entries(spark, texts(spark, sf, "pages", "page_id", "html")))[0]
 
 
 # --- classification -----------------------------------------------------------
@@ -361,7 +363,7 @@ def offline_extract(spark, sf):
 
 
 def _extract(spark, sf, listed):
-    cache = table(spark, sf, "pages").select(
+    cache = texts(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").cast("string").alias("job_id"), F.col("html").alias("html_text")
     )
     jobs = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("job_id"))
@@ -555,9 +557,9 @@ def work_mode_share(spark, sf):
 @query
 def top_skills_per_group(spark, sf):
     """The flagship: dictionary match over all texts, top 5 terms per source."""
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "source", "text")
     found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark))
-    terms = found.select("doc_id", "source", F.explode("skills").alias("skill"))
+    terms = explode_computed(found, ["doc_id", "source"], "skills", "skill")
     counts = M.entities_per_group(terms, ["source", "skill"], "doc_id")
     top = M.top_per_group(counts, "source", "n", "skill", 5)
     return top.withColumn("rank", F.col("rank").cast("long"))
@@ -659,7 +661,7 @@ def sink_html_csv_roundtrip(spark, sf):
 @query
 def sink_json_roundtrip(spark, sf):
     path = scratch_path(spark, "entries")
-    sources.write_entries_json(_raw_entries(spark, table(spark, sf, "pages")), path)
+    sources.write_entries_json(_raw_entries(spark, texts(spark, sf, "pages", "page_id", "html")), path)
     return sources.read_entries_json_lines(spark, path).withColumn("skills", joined("skills"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart import rules as R
-from textmart.functions.literals import string_map
+from textmart.functions.literals import let, string_map
 from textmart.functions.text import (
     fold,
     join_nonempty,
@@ -36,13 +36,16 @@ def work_mode(*parts: Column, words: Sequence[tuple[str, str]] = R.MODE_WORDS) -
     words of the second and the third together.
     """
     (both, both_words), (one, one_words), (other, other_words) = words
-    text = fold(join_nonempty(*parts))
-    has_one, has_other = text.rlike(one_words), text.rlike(other_words)
-    return (
-        F.when(text.rlike(both_words) | (has_one & has_other), both)
-        .when(has_one, one)
-        .when(has_other, other)
-    )
+
+    def decide(text: Column) -> Column:
+        has_one, has_other = text.rlike(one_words), text.rlike(other_words)
+        return (
+            F.when(text.rlike(both_words) | (has_one & has_other), both)
+            .when(has_one, one)
+            .when(has_other, other)
+        )
+
+    return let(join_nonempty(*parts), lambda whole: let(fold(whole), decide))
 
 
 # --- ordered rules, first match wins -----------------------------------------
@@ -66,8 +69,14 @@ def position_group(
     """Title -> position group. A title equal to a group's name stays as it is."""
     shown = F.coalesce(title, F.lit("None"))
     names = list(dict.fromkeys([name for name, _ in rules] + [default]))
-    text = strip_punctuation(transliterate(strip(F.lower(shown))))
-    return F.when(shown.isin(names), shown).otherwise(rule_cascade(text, rules, default))
+    group = let(
+        strip(F.lower(shown)),
+        lambda low: let(
+            strip_punctuation(transliterate(low)),
+            lambda text: rule_cascade(text, rules, default),
+        ),
+    )
+    return F.when(shown.isin(names), shown).otherwise(group)
 
 
 def cascade_from_table(table: DataFrame) -> list[tuple[str, list[str]]] | None:
@@ -126,15 +135,21 @@ def rule_join_first_match(
 
 def multilabel(text: Column, patterns: Sequence[tuple[str, str]], default: str) -> Column:
     """All labels whose pattern is found, in pattern order; [default] if none."""
-    found = F.array_compact(
-        F.array(*[F.when(text.rlike(pattern), F.lit(label)) for label, pattern in patterns])
+    hits = [F.when(text.rlike(pattern), F.lit(label)) for label, pattern in patterns]
+    return let(
+        F.array_compact(F.array(*hits)),
+        lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default))),
     )
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default)))
 
 
 def levels(title: Column) -> Column:
-    text = F.translate(transliterate(F.lower(F.coalesce(title, F.lit("None")))), "/|", "  ")
-    return multilabel(text, R.LEVEL_PATTERNS, R.LEVEL_DEFAULT)
+    return let(
+        F.lower(F.coalesce(title, F.lit("None"))),
+        lambda low: let(
+            F.translate(transliterate(low), "/|", "  "),
+            lambda text: multilabel(text, R.LEVEL_PATTERNS, R.LEVEL_DEFAULT),
+        ),
+    )
 
 
 # --- maps and sets -----------------------------------------------------------
@@ -176,10 +191,13 @@ def standardize_name(
 ) -> Column:
     """Exact map on the spelled name, then ordered substring rules, then title case."""
     shown = F.coalesce(name, F.lit("None"))
-    key = transliterate(strip(F.lower(shown)))
-    return F.coalesce(
-        lookup(key, exact), rule_cascade(key, contained, None), title_case(strip(shown))
-    )
+
+    def named(key: Column) -> Column:
+        return F.coalesce(
+            lookup(key, exact), rule_cascade(key, contained, None), title_case(strip(shown))
+        )
+
+    return let(strip(F.lower(shown)), lambda low: let(transliterate(low), named))
 
 
 def member_or_not(col: Column, members: Iterable[str], yes: str, no: str) -> Column:

@@ -174,13 +174,11 @@ def match_by_join(
     longest = entries.agg(F.coalesce(F.max("n_tokens"), F.lit(1)).alias("n")).first()["n"]
     entries = broadcast_if_small(entries.drop("n_tokens").withColumnRenamed("key", "_key"))
 
-    tokens = df.select(key, _tokens(fold(F.col(text))).alias("tokens")).where(
-        F.size("tokens") > 0
-    )
+    tokens = df.select(key, _tokens(fold(F.col(text))).alias("tokens"))
     # A start carries the few tokens from it on, not the whole text.
     starts = tokens.select(
         key,
-        F.inline(
+        F.inline_outer(
             F.transform(
                 "tokens",
                 lambda token, i: F.struct(
@@ -190,11 +188,11 @@ def match_by_join(
                 ),
             )
         ),
-    ).where((F.col("at") == 0) | _opens_apart(F.get("ahead", F.lit(0))) | ~_is_word(F.col("before")))
+    ).where(F.col("at").isNotNull()).where((F.col("at") == 0) | _opens_apart(F.get("ahead", F.lit(0))) | ~_is_word(F.col("before")))
     after = F.get("ahead", F.col("n"))
     candidates = (
         starts.withColumn(
-            "n", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("ahead"))))
+            "n", F.explode_outer(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("ahead"))))
         )
         .where(after.isNull() | _opens_apart(after) | ~_is_word(after))
         .select(

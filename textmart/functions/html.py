@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmart.functions.literals import string_map
-from textmart.functions.text import STRIP_CHARS, first_nonempty, strip
+from textmart.functions.literals import let, string_map
+from textmart.functions.text import STRIP_CHARS, strip
 
 _IN_TAG = r"""(?:[^>"']+|"[^"]*"|'[^']*')*+"""
 _TAG = rf"<[a-zA-Z/!?]{_IN_TAG}>"
@@ -109,9 +109,7 @@ def decode_entities(text: Column) -> Column:
             F.coalesce(F.try_element_at(table, piece), piece)
         )
 
-    return F.when(
-        F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")
-    ).otherwise(text)
+    return F.array_join(F.transform(pieces, decode), "")
 
 
 def _text_nodes(inner: Column) -> Column:
@@ -138,18 +136,20 @@ def native_field(markup: Column, field: Field) -> Column:
         tag = F.regexp_substr(markup, F.lit(f"(?is){field.selector.start_tag()}"))
         name = re.escape(field.how.removeprefix("attr:"))
         quoted = rf"""(?is)\s{name}\s*=\s*(["'])(.*?)\1"""
-        return decode_entities(
-            F.when(tag.rlike(quoted), F.regexp_extract(tag, quoted, 2))
-        )
+        value = let(tag, lambda t: F.when(t.rlike(quoted), F.regexp_extract(t, quoted, 2)))
+        return decode_entities(value)
     nodes = _text_nodes(_inner(markup, field.selector))
     if field.how == "text":
         return F.coalesce(strip(decode_entities(F.array_join(nodes, "\n"))), F.lit(""))
     return F.array_join(F.transform(nodes, lambda n: strip(decode_entities(n))), "")
 
 
-def fallback_field(markup: Column, fields: list[Field]) -> Column:
-    """The first field that is there and not empty."""
-    return first_nonempty(*[native_field(markup, f) for f in fields])
+def native_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) -> DataFrame:
+    """(key, one STRING per field) by column expressions."""
+    markup = df.select(key, visible_markup(F.col(html)).alias("_markup"))
+    return markup.select(
+        key, *[native_field(F.col("_markup"), f).alias(n) for n, f in fields.items()]
+    )
 
 
 def extract_ids(html: Column, pattern: str) -> Column:

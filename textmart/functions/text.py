@@ -75,11 +75,12 @@ def _to_ascii(col: Column, table: dict[str, str]) -> Column:
     """
     single = {k: v for k, v in table.items() if len(v) == 1}
     many = {k: v for k, v in table.items() if len(v) != 1}
-    # Testing a large class costs time per character, so letters of the common
-    # Latin blocks are told apart by range before the class is tried.
+    # Testing a large class costs time per character. Rows of common Latin letters
+    # alone are told apart by one range first.
     near = "".join(re.escape(c) for c in many if ord(c) <= _LATIN_END)
     far = "".join(re.escape(c) for c in many if ord(c) > _LATIN_END)
     latin = rf"\x00-\x{{{_LATIN_END:x}}}"
+    maybe_many = rf"[{near}[^{latin}]]"
     has_many = rf"[{near}]|(?=[^{latin}])[{far}]"
     pieces = F.regexp_extract_all(col, F.lit(rf"([{latin}&&[^{near}]]+|[\s\S])"), F.lit(1))
     literal = string_map(many)
@@ -87,7 +88,7 @@ def _to_ascii(col: Column, table: dict[str, str]) -> Column:
         F.transform(pieces, lambda p: F.coalesce(F.try_element_at(literal, p), p)), ""
     )
     mapped = F.translate(
-        F.when(col.rlike(has_many), spelled).otherwise(col),
+        F.when(col.rlike(maybe_many) & col.rlike(has_many), spelled).otherwise(col),
         "".join(single),
         "".join(single.values()),
     )
@@ -98,9 +99,13 @@ def _to_ascii(col: Column, table: dict[str, str]) -> Column:
 
 def fold(col: Column) -> Column:
     """Decompose, drop non-ASCII, collapse whitespace to one blank, lower. No trim."""
-    return F.lower(
-        F.regexp_replace(_to_ascii(col, _decompositions()), ASCII_SPACE + "+", " ")
-    )
+    return F.lower(_one_blank(_to_ascii(col, _decompositions())))
+
+
+def _one_blank(col: Column) -> Column:
+    """Whitespace runs become one blank; a single blank is not matched at all."""
+    run = f"{ASCII_SPACE}(?:(?<! ){ASCII_SPACE}*+|{ASCII_SPACE}++)"
+    return F.regexp_replace(col, run, " ")
 
 
 def transliterate(col: Column) -> Column:
@@ -152,7 +157,7 @@ def collapse_newlines(col: Column) -> Column:
 def strip_punctuation(col: Column) -> Column:
     """Punctuation that would hide a keyword becomes a blank; '&' and '-' stay."""
     spaced = F.regexp_replace(col, r"[()/|.,{}\\'\"\[\]]", " ")
-    return strip(F.regexp_replace(spaced, ASCII_SPACE + "+", " "))
+    return strip(_one_blank(spaced))
 
 
 def title_case(col: Column) -> Column:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmart.functions.literals import explode_computed
+
 
 def nonblank(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull() & (F.col(column) != ""))
@@ -104,13 +106,13 @@ def _item_counts(pages: DataFrame, ids: str, page: str, id_name: str) -> DataFra
     run_end = lambda i: F.coalesce(F.get("_runs", i + 1)["at"], F.col("_size"))
     return starts.select(
         "_page",
-        F.inline(
+        F.inline_outer(
             F.transform(
                 "_runs",
                 lambda r, i: F.struct(r["id"].alias(id_name), (run_end(i) - r["at"]).alias("_n")),
             )
         ),
-    )
+    ).where(F.col(id_name).isNotNull())
 
 
 def first_seen(pages: DataFrame, ids: str, page: str, id_name: str = "job_id") -> DataFrame:
@@ -130,8 +132,8 @@ def first_seen(pages: DataFrame, ids: str, page: str, id_name: str = "job_id") -
 
 def first_seen_strict(pages: DataFrame, ids: str, page: str, id_name: str = "job_id") -> DataFrame:
     """`first_seen` without in-page duplicates: one row per id."""
-    shown = pages.select(F.col(page).alias("_page"), F.explode(ids).alias(id_name))
-    return shown.groupBy(id_name).agg(F.min("_page").alias(page))
+    shown = explode_computed(pages, [page], ids, id_name)
+    return shown.groupBy(id_name).agg(F.min(page).alias(page))
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:

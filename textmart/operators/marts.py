@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmart.functions.literals import explode_computed
 from textmart.functions.text import percent
 
 
@@ -16,7 +17,7 @@ def join_children(parents: DataFrame, children: DataFrame, key: str) -> DataFram
 
 
 def explode_labels(df: DataFrame, labels: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.explode(labels)).drop(*([labels] if labels != out else []))
+    return explode_computed(df, [c for c in df.columns if c != labels], labels, out)
 
 
 def excluding(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmart.functions.literals import explode_computed
+
 
 # --- shaping -----------------------------------------------------------------
 
@@ -29,8 +31,7 @@ def normalize(
 ) -> tuple[DataFrame, DataFrame]:
     """Nested entries -> (parents, children); an empty array gives no child row."""
     parents = entries.drop(items)
-    children = entries.select(key, F.explode(items).alias(item))
-    return parents, children
+    return parents, explode_computed(entries, [key], items, item)
 
 
 def append(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -11,13 +11,7 @@ from pyspark.sql import functions as F
 from textmart import rules as R
 from textmart.functions.classify import work_mode
 from textmart.functions.dictionary import match_dictionary
-from textmart.functions.html import (
-    Field,
-    fallback_field,
-    native_field,
-    parse_fields,
-    visible_markup,
-)
+from textmart.functions.html import Field, native_fields, parse_fields
 from textmart.functions.text import first_nonempty
 from textmart.operators.incremental import in_cache, not_in
 
@@ -59,23 +53,17 @@ def page_fields(
     path 'native' keeps to column expressions and regular markup, 'parser' reads
     any markup in Arrow batches.
     """
-    if path == "parser":
-        places = layout.places()
-        raw = parse_fields(pages, key, html, places)
-
-        def first(name: str) -> Column:
-            return first_nonempty(*[F.col(p) for p in places if p.startswith(f"{name}_")])
-
-        return raw.select(
-            key, *[first(n).alias(n) for n in ("title", "company", "city")],
-            F.col("body").alias("description"),
-        )
-    markup = pages.select(key, visible_markup(F.col(html)).alias("_markup"))
-    m = F.col("_markup")
-    return markup.select(
+    read = {"native": native_fields, "parser": parse_fields}[path]
+    places = layout.places()
+    raw = read(pages, key, html, places)
+
+    def first(name: str) -> Column:
+        return first_nonempty(*[F.col(p) for p in places if p.startswith(f"{name}_")])
+
+    return raw.select(
         key,
-        *[fallback_field(m, list(getattr(layout, n))).alias(n) for n in ("title", "company", "city")],
-        native_field(m, layout.body).alias("description"),
+        *[first(name).alias(name) for name in ("title", "company", "city")],
+        F.col("body").alias("description"),
     )
 
 

@@ -25,6 +25,17 @@ def is_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan of fewer splits than cores one task per core.
+
+    Text work costs far more than moving the text, so a small input in one file is
+    worth a shuffle. A large one has more splits than cores and is left alone. Use
+    it on scans only.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the row count is checked; else leave it to AQE."""
     return F.broadcast(df) if is_small(df, limit) else df
