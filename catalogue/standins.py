@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from textmart.functions.html import Field
 from textmart.plans.extract import PageLayout
@@ -90,7 +92,7 @@ LONG_LINK_PATTERN = r'href="/(\p{L}{6,})'
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(c, a, i) for i, (c, a) in enumerate(TERMS)], DICTIONARY)
+    return _local(spark, [(c, a, i) for i, (c, a) in enumerate(TERMS)], DICTIONARY)
 
 
 def name_rules(spark: SparkSession) -> DataFrame:
@@ -99,9 +101,15 @@ def name_rules(spark: SparkSession) -> DataFrame:
         for priority, (label, keywords) in enumerate(NAME_RULES)
         for keyword in keywords
     ]
-    return spark.createDataFrame(rows, CASCADE)
+    return _local(spark, rows, CASCADE)
 
 
 def priority_map(spark: SparkSession) -> DataFrame:
     rows = [("1-URGENT", "today"), ("2-HIGH", "this week"), ("3-MEDIUM", "this month")]
-    return spark.createDataFrame(rows, EXACT_MAP)
+    return _local(spark, rows, EXACT_MAP)
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A small table as a local relation; plain rows would start Python workers."""
+    columns = dict(zip(schema.names, map(list, zip(*rows))))
+    return spark.createDataFrame(pa.table(columns), schema)

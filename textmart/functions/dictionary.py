@@ -116,11 +116,12 @@ def _tokens(folded: Column) -> Column:
 
 
 def _opens_apart(token: Column) -> Column:
-    return token.rlike("^[ /-]")
+    return F.substring(token, 1, 1).isin(*SEPARATORS)
 
 
 def _is_word(token: Column) -> Column:
-    return token.rlike("[a-z0-9]$")
+    end = F.substring(token, -1, 1)
+    return end.between("a", "z") | end.between("0", "9")
 
 
 def _key(span: Column) -> Column:

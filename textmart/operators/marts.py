@@ -76,11 +76,20 @@ def share_of_entities(
     """Distinct entities per group and their percentage of all distinct entities.
 
     An entity with several labels counts in each, but once in the total, so the
-    shares may add up to more than 100. The total is one value, put into the plan
-    as a scalar subquery.
+    shares may add up to more than 100. Entities of the NULL group are part of the
+    total only. Counts and total start from the same (group, entity) pairs, whose
+    shuffle is done once; the total enters the plan as a scalar subquery.
     """
-    counts = entities_per_group(df, group, entity, count)
-    total = df.select(entity).distinct().agg(F.count(entity)).scalar()
+    pairs = df.select(group, entity).distinct()
+    # The NULL group is dropped by a measure, since a filter on the group itself
+    # would be pushed below the shuffle and make the two plans differ.
+    counts = (
+        pairs.groupBy(group)
+        .agg(F.count(entity).alias(count), F.max(F.col(group).isNotNull()).alias("_named"))
+        .where("_named")
+        .drop("_named")
+    )
+    total = pairs.select(entity).distinct().agg(F.count(entity)).scalar()
     return counts.withColumn(share, percent(F.col(count), total))
 
 
