@@ -72,8 +72,11 @@ def write_model(
 
 
 def ensure_schema(spark: SparkSession, database: str = "default") -> None:
-    """Create the three tables if absent. Parquet tables can declare NOT NULL only;
-    keys, references and the mode's domain are checked by `operators.model`."""
+    """Create the three tables if absent.
+
+    Parquet tables can declare NOT NULL only, and Spark does not enforce it on
+    write; all constraints are checked by the queries of `operators.model`.
+    """
     ddl = {
         "job_html": "job_id STRING NOT NULL, html_text STRING NOT NULL, "
         "fetched_at TIMESTAMP NOT NULL",
