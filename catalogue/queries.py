@@ -560,7 +560,8 @@ def top_skills_per_group(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "source", "text")
     found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark))
     terms = explode_computed(found, ["doc_id", "source"], "skills", "skill")
-    counts = M.entities_per_group(terms, ["source", "skill"], "doc_id")
+    # A text's terms are distinct and doc_id is a key, so the pairs need no shuffle.
+    counts = M.entities_per_group(terms, ["source", "skill"], "doc_id", unique=True)
     top = M.top_per_group(counts, "source", "n", "skill", 5)
     return top.withColumn("rank", F.col("rank").cast("long"))
 

@@ -28,22 +28,30 @@ def excluding(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
 def distinct_pairs(df: DataFrame, group: str | Sequence[str], entity: str) -> DataFrame:
     """One row per (group, entity), combined map-side and spread over both columns."""
     groups = [group] if isinstance(group, str) else list(group)
-    present = df
+    return _present(df, groups).select(*groups, entity).distinct()
+
+
+def _present(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     for g in groups:
-        present = present.where(F.col(g).isNotNull())
-    return present.select(*groups, entity).distinct()
+        df = df.where(F.col(g).isNotNull())
+    return df
 
 
 def entities_per_group(
-    df: DataFrame, group: str | Sequence[str], entity: str, out: str = "n"
+    df: DataFrame,
+    group: str | Sequence[str],
+    entity: str,
+    out: str = "n",
+    unique: bool = False,
 ) -> DataFrame:
     """Distinct entities per group; the NULL group is dropped, NULL entities not counted.
 
     The shuffle is on (group, entity), so a group with a third of all rows is
-    spread over all tasks; only partial counts meet per group.
+    spread over all tasks; only partial counts meet per group. Where the pairs are
+    a key of the data already, `unique` spares that shuffle.
     """
     groups = [group] if isinstance(group, str) else list(group)
-    pairs = distinct_pairs(df, groups, entity)
+    pairs = _present(df, groups) if unique else distinct_pairs(df, groups, entity)
     return pairs.groupBy(*groups).agg(F.count(entity).alias(out))
 
 
@@ -81,15 +89,18 @@ def share_of_entities(
     shuffle is done once; the total enters the plan as a scalar subquery.
     """
     pairs = df.select(group, entity).distinct()
-    # The NULL group is dropped by a measure, since a filter on the group itself
-    # would be pushed below the shuffle and make the two plans differ.
+    # Two things keep the pair shuffle of both plans equal, so that it is reused:
+    # the NULL group is dropped by a measure, since a filter on the group itself
+    # would be pushed below the shuffle, and the total counts the pairs of each
+    # entity, since a plain second distinct would replace the first one.
     counts = (
         pairs.groupBy(group)
         .agg(F.count(entity).alias(count), F.max(F.col(group).isNotNull()).alias("_named"))
         .where("_named")
         .drop("_named")
     )
-    total = pairs.select(entity).distinct().agg(F.count(entity)).scalar()
+    per_entity = pairs.groupBy(entity).agg(F.count(F.lit(1)).alias("_pairs"))
+    total = per_entity.where("_pairs > 0").agg(F.count(entity)).scalar()
     return counts.withColumn(share, percent(F.col(count), total))
 
 

@@ -87,10 +87,12 @@ def upsert(
     """Insert new keys and overwrite `columns` of known ones, NULLs included.
 
     `keep` columns (a creation time) stay as they are on known keys. Both sides
-    have unique keys; run `latest` on a batch that may not. The two joins keep the
-    large base in place when the batch is small enough for AQE to broadcast it, a
-    full outer join would always shuffle and sort the base.
+    have unique keys; run `latest` on a batch that may not. The joins keep the large
+    base in place when the batch is small enough for AQE to broadcast it, a full
+    outer join would always shuffle and sort the base.
     """
+    # Said once for all uses of the batch, so that they share its shuffle.
+    updates = updates.where(F.col(key).isNotNull())
     new = updates.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_u_{c}") for c in [*columns, *keep]]
     )

@@ -10,20 +10,33 @@ from textmart.functions.html import extract_ids
 from textmart.operators.incremental import first_seen, not_in, take_while
 
 
-def collect_ids(
-    pages: DataFrame, stored: DataFrame, pattern: str = R.ID_PATTERN
-) -> DataFrame:
-    """New (job_id, url) rows from pages (term_ord, page, url, html).
+def page_ids(pages: DataFrame, pattern: str = R.ID_PATTERN) -> DataFrame:
+    """(term_ord, page, url, ids) of pages (term_ord, page, url, html)."""
+    return pages.select(
+        "term_ord", "page", "url", extract_ids(F.col("html"), pattern).alias("ids")
+    )
+
+
+def new_ids(found: DataFrame, stored: DataFrame) -> DataFrame:
+    """New (job_id, url) rows of `page_ids`.
 
     A term's pages count up to its first page without any id; a page that shows
     only known ids does not stop it. Pages are ordered by (term_ord, page).
+    `found` is read more than once: write it to a table first if the pages are
+    large, it is narrow.
     """
-    found = pages.select(
-        "term_ord", "page", "url", extract_ids(F.col("html"), pattern).alias("ids")
-    )
     read = take_while(found, "term_ord", "page", F.size("ids") > 0)
-    # One number orders the pages of all terms.
+    new = not_in(first_seen(_ordered(read), "ids", "page_ord"), stored, "job_id")
+    return new.join(_ordered(found).select("page_ord", "url"), "page_ord").select("job_id", "url")
+
+
+def collect_ids(
+    pages: DataFrame, stored: DataFrame, pattern: str = R.ID_PATTERN
+) -> DataFrame:
+    return new_ids(page_ids(pages, pattern), stored)
+
+
+def _ordered(pages: DataFrame) -> DataFrame:
+    """One number orders the pages of all terms."""
     order = F.col("term_ord").cast("long") * F.lit(1 << 32) + F.col("page")
-    ordered = read.withColumn("page_ord", order)
-    new = not_in(first_seen(ordered, "ids", "page_ord"), stored, "job_id")
-    return new.join(ordered.select("page_ord", "url"), "page_ord").select("job_id", "url")
+    return pages.withColumn("page_ord", order)

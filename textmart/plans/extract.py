@@ -12,7 +12,7 @@ from textmart import rules as R
 from textmart.functions.classify import work_mode
 from textmart.functions.dictionary import match_dictionary
 from textmart.functions.html import Field, native_fields, parse_fields
-from textmart.functions.text import first_nonempty
+from textmart.functions.text import first_nonempty, fold
 from textmart.operators.incremental import in_cache, not_in
 
 
@@ -78,7 +78,9 @@ def build_entries(
 ) -> DataFrame:
     """(key, title, company, city, work_mode, skills) of each page."""
     fields = page_fields(pages, layout, key, html, path)
-    matched = match_dictionary(fields, key, "description", dictionary, "skills")
+    # Folded once for both uses: folding again passes ASCII text through.
+    folded = fields.withColumn("description", fold(F.col("description")))
+    matched = match_dictionary(folded, key, "description", dictionary, "skills")
     return matched.select(
         key,
         "title",
