@@ -218,6 +218,10 @@ ORACLES: dict[str, str] = {
         f"FROM {VISIBLE}"
     ),
     "html_container_text": f"SELECT page_id, {BODY} AS body FROM {VISIBLE}",
+    "html_checked": (
+        f"SELECT page_id, {TITLE} AS title, {COMPANY} AS company, {CITY} AS city, {LANG} AS lang, "
+        f"{BODY} AS body FROM {VISIBLE}"
+    ),
     "html_parsed": (
         f"SELECT page_id, {TITLE} AS title, {COMPANY} AS company, {CITY} AS city, {LANG} AS lang, "
         f"{BODY} AS body FROM {VISIBLE}"
@@ -227,6 +231,7 @@ ORACLES: dict[str, str] = {
         "(SELECT page_id, regexp_extract_all(html, 'href=\"/([^\"]+)\"', 1) AS ids FROM pages)"
     ),
     "build_entries": entries(),
+    "build_entries_native": entries(),
     "build_entries_parsed": entries(),
     "normalize_entries": f"WITH f AS ({FIELDS}) {terms('f', 'job_id', 'body')}",
     "normalize_parents": f"SELECT job_id, title, company, city, work_mode FROM ({entries()})",

@@ -140,6 +140,14 @@ def html_parsed(spark, sf):
     return _meta(H.parse_fields(pages, "page_id", "html", places), "lang", "body")
 
 
+@query
+def html_checked(spark, sf):
+    """The default path: native where a page is regular, parsed where it is not."""
+    pages = texts(spark, sf, "pages", "page_id", "html")
+    places = {**N.PAGE.places(), "lang": N.LANG}
+    return _meta(H.read_fields(pages, "page_id", "html", places), "lang", "body")
+
+
 @query
 def extract_ids(spark, sf):
     pages = texts(spark, sf, "pages", "page_id", "html")
@@ -153,19 +161,24 @@ def build_entries(spark, sf):
     return _entries(spark, texts(spark, sf, "pages", "page_id", "html"))
 
 
+@query
+def build_entries_native(spark, sf):
+    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="native")
+
+
 @query
 def build_entries_parsed(spark, sf):
     return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="parser")
 
 
-def _raw_entries(spark, pages, path="native"):
+def _raw_entries(spark, pages, path="checked"):
     cache = pages.select(F.col("page_id").cast("string").alias("job_id"), F.col("html").alias("html_text"))
     return extract.build_entries(
         cache, N.dictionary(spark), N.PAGE, path=path, mode_words=N.MODE_WORDS
     )
 
 
-def _entries(spark, pages, path="native"):
+def _entries(spark, pages, path="checked"):
     return _raw_entries(spark, pages, path).withColumn("skills", joined("skills"))
 
 

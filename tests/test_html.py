@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from textmart import rules as R
@@ -42,13 +44,17 @@ def parsed(df):
     return H.parse_fields(df, "id", "html", FIELDS)
 
 
+def checked(df):
+    return H.read_fields(df, "id", "html", FIELDS)
+
+
 def ordered(df):
     return [r.asDict() for r in df.orderBy("id").collect()]
 
 
 def test_both_paths_on_a_posting(spark):
     df = frame(spark, PAGE.replace("{alt}", " Acme &amp; Co "), "<p>nothing</p>", "")
-    for out in (native(df), parsed(df)):
+    for out in (native(df), parsed(df), checked(df)):
         full, nothing, empty = ordered(out)
         assert full["title"] == "EngenheirodeDados & BI"
         assert full["alt"] == " Acme & Co "
@@ -60,33 +66,71 @@ def test_both_paths_on_a_posting(spark):
         ]
         for row in (nothing, empty):
             assert row["title"] is None and row["body"] == ""
-    assert ordered(native(df)) == ordered(parsed(df))
+    assert ordered(native(df)) == ordered(parsed(df)) == ordered(checked(df))
 
 
 def test_company_falls_back_to_the_link(spark):
     pages = [PAGE.replace("{alt}", a) for a in (" Acme ", "", "  ")]
     pages.append(pages[0].replace("<img", "<pic"))
     df = frame(spark, *pages)
-    for path in ("native", "parser"):
+    for path in ("native", "parser", "checked"):
         rows = page_fields(df, POSTING, "id", "html", path).orderBy("id").collect()
         assert [r["company"] for r in rows] == ["Acme", "Link <Org>", "Link <Org>", "Link <Org>"]
         assert {r["title"] for r in rows} == {"EngenheirodeDados & BI"}
 
 
-def test_parser_reads_nested_and_unclosed_markup(spark):
-    pages = [
-        '<div class="a">x<div>y</div>z</div>w',
-        '<div class="a">x<p>y',
-        '<div class="a">x</span>y</div>',
-        '<section><div class="a">x<b>y</section>z',
-        '<div class="a"></div><div class="a">late</div>',
-        '<div class="a">x<template>t</template><style>s</style> y</div>',
-        '<div class="a">a &lt b &copy; c</div>',
-    ]
-    fields = {"t": H.Field.of("div.a", "text"), "s": H.Field.of("div.a")}
-    rows = H.parse_fields(frame(spark, *pages), "id", "html", fields).orderBy("id").collect()
-    assert [r["t"] for r in rows] == ["x\ny\nz", "x\ny", "x\ny", "x\ny", "", "x\n y", "a < b © c"]
-    assert [r["s"] for r in rows] == ["xyz", "xy", "xy", "xy", "", "xy", "a < b © c"]
+ODD = [
+    ('<div class="a">x<div>y</div>z</div>w', "x\ny\nz"),
+    ('<div class="a">x<p>y', "x\ny"),
+    ('<div class="a">x</span>y</div>', "x\ny"),
+    ('<section><div class="a">x<b>y</section>z</div>', "x\ny"),
+    ('<div class="a"></div><div class="a">late</div>', ""),
+    ('<div class="a">x<template>t</template><style>s</style> y</div>', "x\n y"),
+    ('<div class="a">a &lt b &copy; c</div>', "a < b © c"),
+    ("<div class=a>x</div>", "x"),
+    ('<div data-x="a>b" class="a">x</div>', "x"),
+    ('<DIV CLASS="b a">x<BR/>y<b/>z</DIV>', "x\ny\nz"),
+    ('<div class="A">x</div><div class="a">y</div>', "y"),
+    ('<div class="a">x<pre>  </pre>y</div>', "x\n  \ny"),
+    ('<div class="a">x<ruby>k<rt>r</rt></ruby></div>', "x\nk"),
+    ('<div class="a">x<b>y</b></b>z</div>', "x\ny\nz"),
+    ('<b><div class="a">x</b>y</div>', "x"),
+    ('<!-- <div class="a">no</div> --><div class="a">yes</div>', "yes"),
+    ('<div class="a">x <i> </i>\n<i>\n</i> y</div>', "x \n \n\n\n\n\n y"),
+    ('<div class="a">&#128; &#0; &#xD800; &#xE9;</div>', "€ \ufffd \ufffd é"),
+    ('<div class="a">R&D a&b=c</div>', "R&D a&b=c"),
+    ('<div class="aa">x</div>', ""),
+    ('<p class="x"><span class="a">s</span></p>', ""),
+    (None, ""),
+]
+
+
+def test_any_markup(spark):
+    fields = {"t": H.Field.of("div.a", "text"), "s": H.Field.of("div.a"), "c": H.Field.of(".a")}
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(ODD)], "id INT, html STRING")
+    parsed = H.parse_fields(df, "id", "html", fields).orderBy("id").collect()
+    assert [r["t"] for r in parsed] == [t for _, t in ODD]
+    assert H.read_fields(df, "id", "html", fields).orderBy("id").collect() == parsed
+    assert parsed[20]["c"] == "s" and parsed[19]["s"] is None and parsed[0]["s"] == "xyz"
+
+
+def test_checked_path_equals_parser_on_random_markup(spark):
+    rng = random.Random(11)
+    pieces = ["<div>", "</div>", '<div class="a">', "<b>", "</b>", "<p>", "</p>", "<br>", "<br/>", "text", " ",
+              "\n", "&amp;", "&lt", "&#233;", "<i/>", '<a href="x?a=1&b=2">', "</a>", "<!-- c -->", "<script>s<b></script>",
+              '<span class="a b" title="q">', "</span>", "x < y", "<ul>", "<li>", "</ul>", "&nbsp;", "é"]
+    pages = ["".join(rng.choices(pieces, k=rng.randrange(3, 25))) for _ in range(1500)]
+    fields = {
+        "t": H.Field.of("div.a", "text"),
+        "s": H.Field.of("span.a"),
+        "any": H.Field.of(".a", "text"),
+        "title": H.Field.of("span.b", "attr:title"),
+    }
+    df = spark.createDataFrame(list(enumerate(pages)), "id INT, html STRING").repartition(8)
+    want = {r["id"]: r for r in H.parse_fields(df, "id", "html", fields).collect()}
+    got = {r["id"]: r for r in H.read_fields(df, "id", "html", fields).collect()}
+    wrong = [(pages[i], want[i], got[i]) for i in want if want[i] != got[i]]
+    assert not wrong, wrong[:3]
 
 
 def test_decode_entities_once(rows):

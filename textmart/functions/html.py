@@ -2,18 +2,20 @@
 
 Two paths read the same `Selector`s:
 
-* the native path is column expressions over regular markup: the selected element
-  has its own end tag and holds no element of the same name;
+* `native_fields` is column expressions over regular markup: a selected element
+  has its own end tag, holds no element of the same name and no stray end tag;
 * `parse_fields` walks the tags with the standard library's parser in Arrow
   batches, for any markup.
+
+`read_fields` sends each page down the first path if it is regular and down the
+second if not, so it is exact for both.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -48,15 +50,18 @@ class Selector:
         return Selector(m.group(1), tuple(re.findall(r"[\w-]+", m.group(2))), tuple(attrs))
 
     def start_tag(self) -> str:
-        """Regex of the start tag; its first group is the tag name."""
+        """Regex of the start tag; its first group is the tag name.
+
+        Names are compared without case, values with it.
+        """
         checks = "".join(
-            rf"""(?=[^>]*\sclass\s*=\s*["'](?:[^"'>]*\s)?{re.escape(c)}[\s"'])"""
+            rf"""(?=[^>]*\s(?i:class)\s*=\s*["'](?:[^"'>]*\s)?{re.escape(c)}[\s"'])"""
             for c in self.classes
         ) + "".join(
-            rf"""(?=[^>]*\s{re.escape(k)}\s*=\s*["']{re.escape(v)}["'])"""
+            rf"""(?=[^>]*\s(?i:{re.escape(k)})\s*=\s*["']{re.escape(v)}["'])"""
             for k, v in self.attrs
         )
-        return rf"<({self.tag or '[a-zA-Z][a-zA-Z0-9]*'})(?=[\s/>]){checks}{_IN_TAG}>"
+        return rf"<((?i:{self.tag or '[a-z][a-z0-9]*'}))(?=[\s/>]){checks}{_IN_TAG}>"
 
     def matches(self, tag: str, attrs: dict[str, str | None]) -> bool:
         return (
@@ -91,22 +96,28 @@ def visible_markup(html: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Named (HTML 4) and numeric character references, each decoded once."""
-    common = ["amp", "quot", "lt", "gt", "nbsp"]
-    names = common + [n for n in name2codepoint if n not in common]
-    table = string_map({f"&{n};": chr(name2codepoint[n]) for n in names} | {"&apos;": "'"})
+    """Named and numeric character references with a semicolon, each decoded once."""
+    common = ["amp;", "quot;", "lt;", "gt;", "nbsp;"]
+    names = common + [n for n in html5 if n.endswith(";") and n not in common]
+    table = string_map({f"&{n}": html5[n] for n in names})
     pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9a-zA-Z]+;|[^&]+|&)"), F.lit(1))
 
-    def decode(piece: Column) -> Column:
+    def numeric(piece: Column) -> Column:
         digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
         base_16 = piece.rlike("^&#[xX]")
         code = F.when(base_16, F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
-        known = (F.length(code) <= 5) | ((F.length(code) == 6) & code.startswith("10"))
-        numeric = F.when(
+        known = code.rlike("^(?:[1-9A-F][0-9A-F]{0,2}|(?!D[89A-F])[1-9A-F][0-9A-F]{3}"
+                           "|[1-9A-F][0-9A-F]{4}|10[0-9A-F]{4})$")
+        char = F.when(
             known, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
         ).otherwise("�")
-        return F.when(piece.rlike("^&#(?:[0-9]+|[xX][0-9a-fA-F]+);$"), numeric).otherwise(
-            F.coalesce(F.try_element_at(table, piece), piece)
+        return F.when(piece.rlike("^&#(?:[0-9]+|[xX][0-9a-fA-F]+);$"), char).otherwise(piece)
+
+    def decode(piece: Column) -> Column:
+        return (
+            F.when(~piece.startswith("&"), piece)
+            .when(piece.startswith("&#"), numeric(piece))
+            .otherwise(F.coalesce(F.try_element_at(table, piece), piece))
         )
 
     return F.array_join(F.transform(pieces, decode), "")
@@ -123,32 +134,126 @@ def _text_nodes(inner: Column) -> Column:
     )
 
 
-def _inner(markup: Column, selector: Selector) -> Column:
-    """Markup inside the first match, NULL if there is none."""
-    pattern = rf"(?is){selector.start_tag()}(.*?)</\1\s*>"
-    whole = F.regexp_substr(markup, F.lit(pattern))
-    return F.regexp_extract(whole, pattern, 2)
+def _element(markup: Column, selector: Selector) -> Column:
+    """The first match with its tags, NULL if there is none."""
+    return F.regexp_substr(markup, F.lit(rf"(?s){selector.start_tag()}.*?</(?i:\1)\s*>"))
+
+
+def _inner(element: Column) -> Column:
+    return F.regexp_extract(element, rf"(?s)^<{_IN_TAG}>(.*)</[^<]*$", 1)
+
+
+def _attribute(markup: Column, field: Field) -> Column:
+    tag = F.regexp_substr(markup, F.lit(f"(?s){field.selector.start_tag()}"))
+    name = re.escape(field.how.removeprefix("attr:"))
+    quoted = rf"""(?s)\s(?i:{name})\s*=\s*(["'])(.*?)\1"""
+    return let(tag, lambda t: F.when(t.rlike(quoted), F.regexp_extract(t, quoted, 2)))
+
+
+def _is_attribute(field: Field) -> bool:
+    return field.how.startswith("attr:")
+
 
+def _source(markup: Column, field: Field) -> Column:
+    """What a field is read from: the markup of its element, or the raw attribute."""
+    return _attribute(markup, field) if _is_attribute(field) else _element(markup, field.selector)
 
-def native_field(markup: Column, field: Field) -> Column:
-    """One field of `visible_markup(html)`."""
-    if field.how.startswith("attr:"):
-        tag = F.regexp_substr(markup, F.lit(f"(?is){field.selector.start_tag()}"))
-        name = re.escape(field.how.removeprefix("attr:"))
-        quoted = rf"""(?is)\s{name}\s*=\s*(["'])(.*?)\1"""
-        value = let(tag, lambda t: F.when(t.rlike(quoted), F.regexp_extract(t, quoted, 2)))
-        return decode_entities(value)
-    nodes = _text_nodes(_inner(markup, field.selector))
+
+def _value(source: Column, field: Field) -> Column:
+    if _is_attribute(field):
+        return decode_entities(source)
+    nodes = _text_nodes(_inner(source))
     if field.how == "text":
         return F.coalesce(strip(decode_entities(F.array_join(nodes, "\n"))), F.lit(""))
     return F.array_join(F.transform(nodes, lambda n: strip(decode_entities(n))), "")
 
 
 def native_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) -> DataFrame:
-    """(key, one STRING per field) by column expressions."""
+    """(key, one STRING per field) by column expressions, for regular markup."""
     markup = df.select(key, visible_markup(F.col(html)).alias("_markup"))
     return markup.select(
-        key, *[native_field(F.col("_markup"), f).alias(n) for n, f in fields.items()]
+        key, *[_value(_source(F.col("_markup"), f), f).alias(n) for n, f in fields.items()]
+    )
+
+
+# --- which pages are regular ---------------------------------------------------
+
+# Names of elements without content.
+_VOID = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split()
+)
+# Markup in the visible part that the native path does not read as a parser does:
+# elements of other text rules, hidden ones left open, declarations, attributes
+# without quotes or with a ">" inside.
+_ODD_MARKUP = (
+    r"<(?i:textarea|xmp|iframe|noembed|noframes|plaintext|pre|rt|rp)\b"
+    r"|</?(?i:script|style|template)\b|<!(?!>|(?i:doctype))|<\?"
+    r"""|<[a-zA-Z][^<>]*=\s*(?:"[^"<]*>|'[^'<]*>)|<[a-zA-Z][^<>]*\s(?i:ATTRIBUTES)\s*=\s*[^\s"']"""
+)
+# References that a parser decodes and `decode_entities` does not: those without a
+# semicolon, zero, and the range read as Windows characters.
+_ODD_REFERENCE = (
+    r"&#?[0-9a-zA-Z]+(?![0-9a-zA-Z;])|&#[xX]?0*(?![0-9a-fA-F])"
+    r"|&#0*(?:12[89]|1[3-5][0-9]);|&#[xX]0*[89][0-9a-fA-F];"
+)
+
+
+def _open_after(inner: Column) -> Column:
+    """Names of the elements still open at the end, innermost first, as '|b|p|'.
+
+    NULL if an end tag closes nothing inside, as it may close something outside.
+    """
+    tags = F.regexp_extract_all(
+        F.lower(inner), F.lit(r"<(/?[a-z][a-z0-9]*)(?=[\s/>])(?![^<>]*/>)"), F.lit(1)
+    )
+    names = F.filter(tags, lambda t: ~F.ltrim(t, F.lit("/")).isin(*sorted(_VOID)))
+
+    def step(path: Column, tag: Column) -> Column:
+        name = F.concat(F.lit("|"), F.ltrim(tag, F.lit("/")), F.lit("|"))
+        at = F.instr(path, name)
+        closed = F.when(at > 0, F.substr(path, at + F.length(name) - 1))
+        return F.when(tag.startswith("/"), closed).otherwise(
+            F.concat(F.lit("|"), tag, path)
+        )
+
+    return F.aggregate(names, F.lit("|"), step)
+
+
+def _is_regular(markup: Column, source: Column, field: Field) -> Column:
+    if _is_attribute(field):
+        return F.coalesce(~source.rlike(_ODD_REFERENCE), F.lit(True))
+    name = F.concat(F.lit("|"), F.lower(F.regexp_extract(source, "^<([a-zA-Z0-9]+)", 1)), F.lit("|"))
+    text = F.array_join(F.split(_inner(source), f"(?:{_TAG})+"), " ")
+    whole = (F.instr(_open_after(_inner(source)), name) == 0) & ~text.rlike(_ODD_REFERENCE)
+    absent = ~markup.rlike(field.selector.start_tag())
+    return F.coalesce(F.when(source.isNull(), absent).otherwise(whole), F.lit(False))
+
+
+def read_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) -> DataFrame:
+    """(key, one STRING per field) for any markup: native where the page is regular.
+
+    Both paths are one pass. Only the pages that are not regular are handed to the
+    Python workers; of the others they get a NULL, and the values stay in the JVM.
+    """
+    used = {"class"} | {k for f in fields.values() for k, _ in f.selector.attrs}
+    used |= {f.how.removeprefix("attr:") for f in fields.values() if _is_attribute(f)}
+    odd = _ODD_MARKUP.replace("ATTRIBUTES", "|".join(map(re.escape, sorted(used))))
+    m = F.col("_markup")
+    read = df.select(key, html, visible_markup(F.col(html)).alias("_markup")).select(
+        key, html, "_markup", *[_source(m, f).alias(f"_s_{n}") for n, f in fields.items()]
+    )
+    regular = F.coalesce(~m.rlike(odd), F.lit(True))
+    for name, field in fields.items():
+        regular = regular & _is_regular(m, F.col(f"_s_{name}"), field)
+    judged = read.withColumn("_odd", F.when(~regular, F.col(html)))
+    parsed = judged.withColumn("_parsed", _page_reader(fields)(F.col("_odd")))
+    native = F.col("_odd").isNull()
+    return parsed.select(
+        key,
+        *[
+            F.when(native, _value(F.col(f"_s_{n}"), f)).otherwise(F.col(f"_parsed.{n}")).alias(n)
+            for n, f in fields.items()
+        ],
     )
 
 
@@ -159,9 +264,6 @@ def extract_ids(html: Column, pattern: str) -> Column:
 
 # --- any markup --------------------------------------------------------------
 
-_VOID = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
 _NO_TEXT = frozenset("script style template rt rp".split())
 
 
@@ -236,20 +338,24 @@ class _FieldReader(HTMLParser):
         return self.attrs[i]
 
 
+def _page_reader(fields: dict[str, Field]):
+    """Pandas UDF: page -> one struct of fields; NULL pages give NULL fields."""
+    names, specs = list(fields), list(fields.values())
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+    @F.pandas_udf(schema)
+    def read(pages: pd.Series) -> pd.DataFrame:
+        absent = [None] * len(specs)
+        rows = [absent if p is None else _FieldReader(specs).values(p) for p in pages]
+        return pd.DataFrame(rows, columns=names, dtype=object)
+
+    return read
+
+
 def parse_fields(
     df: DataFrame, key: str, html: str, fields: dict[str, Field]
 ) -> DataFrame:
     """(key, one STRING per field) for any markup, in one pass over each page."""
-    names, specs = list(fields), list(fields.values())
-    schema = T.StructType(
-        [df.schema[key]] + [T.StructField(n, T.StringType(), True) for n in names]
-    )
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pages in batches:
-            rows = [_FieldReader(specs).values(page or "") for page in pages[html]]
-            out = pd.DataFrame(rows, columns=names, dtype=object)
-            out.insert(0, key, pages[key].to_numpy())
-            yield out
-
-    return df.select(key, html).mapInPandas(read, schema)
+    page = F.coalesce(F.col(html), F.lit(""))
+    parsed = df.select(key, _page_reader(fields)(page).alias("_parsed"))
+    return parsed.select(key, *[F.col(f"_parsed.{n}") for n in fields])

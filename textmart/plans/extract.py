@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from textmart import rules as R
 from textmart.functions.classify import work_mode
 from textmart.functions.dictionary import match_dictionary
-from textmart.functions.html import Field, native_fields, parse_fields
+from textmart.functions.html import Field, native_fields, parse_fields, read_fields
 from textmart.functions.text import first_nonempty, fold
 from textmart.operators.incremental import in_cache, not_in
 
@@ -46,14 +46,14 @@ def page_fields(
     layout: PageLayout = POSTING,
     key: str = "job_id",
     html: str = "html_text",
-    path: str = "native",
+    path: str = "checked",
 ) -> DataFrame:
     """(key, title, company, city, description) of each page.
 
-    path 'native' keeps to column expressions and regular markup, 'parser' reads
-    any markup in Arrow batches.
+    path 'checked' is exact for any markup and native where a page is regular,
+    'native' is for markup known to be regular, 'parser' parses every page.
     """
-    read = {"native": native_fields, "parser": parse_fields}[path]
+    read = {"checked": read_fields, "native": native_fields, "parser": parse_fields}[path]
     places = layout.places()
     raw = read(pages, key, html, places)
 
@@ -73,7 +73,7 @@ def build_entries(
     layout: PageLayout = POSTING,
     key: str = "job_id",
     html: str = "html_text",
-    path: str = "native",
+    path: str = "checked",
     mode_words: Sequence[tuple[str, str]] = R.MODE_WORDS,
 ) -> DataFrame:
     """(key, title, company, city, work_mode, skills) of each page."""
