@@ -14,11 +14,13 @@ second if not, so it is exact for both.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,10 @@ from pyspark.sql import types as T
 from textmart.functions.literals import let, string_map
 from textmart.functions.text import STRIP_CHARS, strip
 
+# The parser goes to the Python workers with the query, so they need no copy of
+# this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _IN_TAG = r"""(?:[^>"']+|"[^"]*"|'[^']*')*+"""
 _TAG = rf"<[a-zA-Z/!?]{_IN_TAG}>"
 # Markup whose content is no text of the page.
@@ -184,17 +190,18 @@ _VOID = frozenset(
 )
 # Markup in the visible part that the native path does not read as a parser does:
 # elements of other text rules, hidden ones left open, declarations, attributes
-# without quotes or with a ">" inside.
+# without quotes or with a ">" inside. Patterns start with one character, which
+# the regex engine looks for before it tries any alternative.
 _ODD_MARKUP = (
-    r"<(?i:textarea|xmp|iframe|noembed|noframes|plaintext|pre|rt|rp)\b"
-    r"|</?(?i:script|style|template)\b|<!(?!>|(?i:doctype))|<\?"
-    r"""|<[a-zA-Z][^<>]*=\s*(?:"[^"<]*>|'[^'<]*>)|<[a-zA-Z][^<>]*\s(?i:ATTRIBUTES)\s*=\s*[^\s"']"""
+    r"<(?:(?i:textarea|xmp|iframe|noembed|noframes|plaintext|pre|rt|rp)\b"
+    r"|/?(?i:script|style|template)\b|!(?!>|(?i:doctype))|\?"
+    r"""|[a-zA-Z][^<>]*=\s*(?:"[^"<]*>|'[^'<]*>|(?<=\s(?i:ATTRIBUTES)\s{0,9}=\s{0,9})[^\s"']))"""
 )
 # References that a parser decodes and `decode_entities` does not: those without a
 # semicolon, zero, and the range read as Windows characters.
 _ODD_REFERENCE = (
-    r"&#?[0-9a-zA-Z]+(?![0-9a-zA-Z;])|&#[xX]?0*(?![0-9a-fA-F])"
-    r"|&#0*(?:12[89]|1[3-5][0-9]);|&#[xX]0*[89][0-9a-fA-F];"
+    r"&(?:#?[0-9a-zA-Z]+(?![0-9a-zA-Z;])|#[xX]?0*(?![0-9a-fA-F])"
+    r"|#0*(?:12[89]|1[3-5][0-9]);|#[xX]0*[89][0-9a-fA-F];)"
 )
 
 
