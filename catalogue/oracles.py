@@ -372,6 +372,10 @@ ORACLES: dict[str, str] = {
         "SELECT l_partkey, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1 "
         "ORDER BY n DESC, l_partkey LIMIT 20"
     ),
+    "first_rows": (
+        "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders "
+        "ORDER BY o_orderpriority, o_orderkey LIMIT 10"
+    ),
     "level_share": (
         f"WITH x AS (SELECT l_orderkey, unnest(levels) AS level FROM ({PART_ITEMS}) "
         "WHERE position_group NOT IN ('Machine', 'Warm Stock')) "

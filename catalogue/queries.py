@@ -432,7 +432,7 @@ def upsert_html(spark, sf):
         F.col("text").alias("html_text"),
         moment("2024-06-01 00:00:00").alias("fetched_at"),
     )
-    return O.upsert(pages, newer, "job_id", ["html_text", "fetched_at"])
+    return O.upsert_pages(pages, newer)
 
 
 def _order_parts(spark, sf):
@@ -551,6 +551,12 @@ def top_skills(spark, sf):
     return M.top(counts, "n", "l_partkey", 20)
 
 
+@query
+def first_rows(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return M.first_rows(orders, 10, "o_orderpriority", "o_orderkey")
+
+
 @query
 def level_share(spark, sf):
     """Groups left out of both sides; an order counts in each of its levels."""

@@ -23,6 +23,15 @@ def test_upsert_overwrites_even_with_null_and_keeps_creation(spark):
     assert rows(twice) == rows(once)
 
 
+def test_upsert_pages_stamps_the_fetch_time(spark):
+    schema = "job_id STRING, html_text STRING, fetched_at TIMESTAMP"
+    cache = spark.createDataFrame([("1", "old", OLD), ("2", "kept", OLD)], schema)
+    new = spark.createDataFrame([("1", "new"), ("3", "first")], "job_id STRING, html_text STRING")
+    got = {r["job_id"]: r for r in M.upsert_pages(cache, new).collect()}
+    assert {k: r["html_text"] for k, r in got.items()} == {"1": "new", "2": "kept", "3": "first"}
+    assert got["2"]["fetched_at"] == OLD and got["1"]["fetched_at"] > NEW < got["3"]["fetched_at"]
+
+
 def test_latest_wins_inside_a_batch(spark):
     df = spark.createDataFrame([("1", 1, "a"), ("1", 3, None), ("1", 2, "b"), ("2", 1, "z")],
                                "job_id STRING, seq INT, v STRING").repartition(4)

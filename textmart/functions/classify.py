@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmart import rules as R
-from textmart.functions.literals import let, string_map
+from textmart.functions.literals import explode_computed, let, string_map
 from textmart.functions.text import (
     fold,
     join_nonempty,
@@ -90,38 +90,48 @@ def cascade_from_table(table: DataFrame) -> list[tuple[str, list[str]]] | None:
     return [(label, keywords) for (_, label), keywords in grouped.items()]
 
 
+# Lengths of keyword beginnings to join on; few, and each of at most twice the last.
+_PIECE_LENGTHS = (1, 2, 4, 8, 16, 32)
+
+
 def rule_join_first_match(
     df: DataFrame, text: str, table: DataFrame, out: str, default: str | None
 ) -> DataFrame:
     """`rule_cascade` for rule tables of any size, as an equi-join.
 
-    A text contains a keyword only if it contains the keyword's first letters, so
-    texts and rules meet on that short piece and `contains` is tested on the
-    pairs that share it. Texts are made distinct first: titles repeat, and a title
-    that a third of all postings bear is classified once.
+    A text contains a keyword only if it contains the keyword's beginning, so texts
+    and rules meet on a beginning of 1, 2, 4, 8, 16 or 32 letters, the longest that
+    the keyword has, and `contains` is tested on the pairs that share it. Texts are
+    made distinct first: titles repeat, and a title that a third of all postings
+    bear is classified once.
     """
-    rules = table.where(F.length("keyword") > 0)
-    shortest = rules.agg(F.min(F.length("keyword")).alias("n")).first()["n"]
-    if shortest is None:
-        return df.withColumn(out, F.lit(default))
-    size = min(shortest, 4)
-    rules = broadcast_if_small(
-        rules.select("priority", "keyword", "label", F.substring("keyword", 1, size).alias("piece"))
+    length = F.greatest(
+        *[F.when(F.length("keyword") >= n, n).otherwise(0) for n in _PIECE_LENGTHS]
     )
-    texts = df.select(F.col(text).alias("text")).where(F.length(text) >= size).distinct()
-    pieces = texts.select(
-        "text",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.length("text") - size + 1),
-                    lambda i: F.substr(F.col("text"), i, F.lit(size)),
-                )
-            )
-        ).alias("piece"),
+    rules = (
+        table.where(F.length("keyword") > 0)
+        .select("priority", "keyword", "label", length.alias("n"))
+        .withColumn("piece", F.substr(F.col("keyword"), F.lit(1), F.col("n")))
     )
+    sizes = [r["n"] for r in rules.select("n").distinct().collect()]
+    if not sizes:
+        return df.withColumn(out, F.lit(default))
+    rules = broadcast_if_small(rules.drop("n"))
+
+    def pieces_of(text: Column) -> Column:
+        of_size = lambda n: F.when(
+            F.length(text) >= n,
+            F.transform(
+                F.sequence(F.lit(1), F.length(text) - n + 1),
+                lambda i: F.substr(text, i, F.lit(n)),
+            ),
+        )
+        return F.array_distinct(F.flatten(F.array_compact(F.array(*[of_size(n) for n in sizes]))))
+
+    texts = df.select(F.col(text).alias("text")).distinct()
     winners = (
-        pieces.join(rules, "piece")
+        explode_computed(texts, ["text"], pieces_of(F.col("text")), "piece")
+        .join(rules, "piece")
         .where(F.contains("text", "keyword"))
         .groupBy("text")
         .agg(F.min(F.struct("priority", "label"))["label"].alias(out))

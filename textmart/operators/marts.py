@@ -69,6 +69,11 @@ def top(df: DataFrame, count: str, name: str, k: int = 20) -> DataFrame:
     return ranked(df, count, name).limit(k)
 
 
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """A sample for the eye: the first n rows of a stated order."""
+    return df.orderBy(*order).limit(n)
+
+
 def top_per_group(df: DataFrame, group: str, count: str, name: str, k: int) -> DataFrame:
     """The k largest per group with their rank; `df` holds one row per (group, name).
 

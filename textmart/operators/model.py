@@ -107,6 +107,15 @@ def upsert(
     return updated.unionByName(inserted)
 
 
+def upsert_pages(
+    cache: DataFrame, pages: DataFrame, key: str = "job_id", html: str = "html_text"
+) -> DataFrame:
+    """The page cache with newer pages; known ids get the new text and fetch time."""
+    if "fetched_at" not in pages.columns:
+        pages = pages.withColumn("fetched_at", F.current_timestamp())
+    return upsert(cache, pages, key, [html, "fetched_at"])
+
+
 def insert_ignore(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the rows whose composite key is not there yet, one per key."""
     fresh = new.dropDuplicates(list(keys)).join(

@@ -53,6 +53,9 @@ def write_model(
 ) -> None:
     """Persist the model to the sink the setting names.
 
+    `jobs` and the pairs in `skills` may come from `normalize`; jobs new to the tables
+    get the current time unless they carry a `created_at`.
+
     'local': both relations are overwritten as CSV, every skill row kept, with or
     without a parent. 'database': jobs are upserted into the `current` tables and
     the skills of exactly these jobs are replaced, orphans dropped; the result is
@@ -65,6 +68,8 @@ def write_model(
         if current is None:
             raise ValueError("the database sink merges into current tables")
         base, children = current
+        if "created_at" not in jobs.columns:
+            jobs = jobs.withColumn("created_at", F.current_timestamp())
         upsert(base, jobs, key, columns, keep=["created_at"]).write.parquet(f"{path}/jobs")
         replace_children(children, jobs, skills, key, item).write.parquet(f"{path}/job_skills")
     else:

@@ -29,13 +29,16 @@ def stream_first_seen(
     spark = pages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = first_seen(batch, ids, page, id_name)
+        # Narrow and used twice by each check against a store.
+        shown = first_seen(batch, ids, page, id_name).persist()
+        new = shown
         if batch_id > 0:
             earlier = read_store(spark, store).where(F.col("batch_id") < batch_id)
             new = not_in_store(new, earlier, id_name)
         if existing is not None:
             new = not_in_store(new, existing, id_name)
         new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        shown.unpersist()
 
     return _run_available(pages, write, checkpoint)
 
