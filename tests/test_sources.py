@@ -164,6 +164,14 @@ def test_extract_and_analyse(spark, tmp_path):
     assert rows(spark.read.option("header", True).csv(str(tmp_path / "mart"))) == rows(mart)
 
 
+def test_unprocessed_pages_both_ways(spark):
+    cache = spark.createDataFrame([(str(i), f"p{i}") for i in range(9)], "job_id STRING, html_text STRING")
+    jobs = spark.createDataFrame([("1",), ("1",), ("4",), ("77",)], "job_id STRING")
+    want = [(str(i), f"p{i}") for i in range(9) if i not in (1, 4)]
+    for small in (100, 0):
+        assert rows(extract.unprocessed_pages(cache, jobs, small=small)) == want
+
+
 def test_dictionary_csv(spark, tmp_path):
     file = tmp_path / "dictionary.csv"
     file.write_text('canonical,alias,pos\nIngles,"english (advanced)",1\n"PL/SQL",pl/sql,2\n')

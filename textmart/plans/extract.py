@@ -14,6 +14,7 @@ from textmart.functions.dictionary import match_dictionary
 from textmart.functions.html import Field, native_fields, parse_fields, read_fields
 from textmart.functions.text import first_nonempty, fold
 from textmart.operators.incremental import in_cache, not_in
+from textmart.sizes import MAX_BROADCAST_ROWS, is_small
 
 
 @dataclass(frozen=True)
@@ -101,9 +102,14 @@ def fetch_backlog(ids: DataFrame, cache: DataFrame, key: str = "job_id") -> Data
 def extract_pending(
     ids: DataFrame, cache: DataFrame, jobs: DataFrame, dictionary: DataFrame, **how
 ) -> DataFrame:
-    """Entries of listed, cached and not yet processed postings."""
+    """Entries of listed, cached and not yet processed postings.
+
+    What is pending is found on ids alone; the pages meet it in one semi join, with
+    the ids on the side that AQE can broadcast.
+    """
     key = how.get("key", "job_id")
-    return build_entries(not_in(in_cache(cache, ids, key), jobs, key), dictionary, **how)
+    pending = not_in(ids.select(key).distinct(), jobs, key)
+    return build_entries(in_cache(cache, pending, key), dictionary, **how)
 
 
 def extract_offline(
@@ -115,4 +121,18 @@ def extract_offline(
     run against an empty target.
     """
     key = how.get("key", "job_id")
-    return build_entries(not_in(cache, jobs, key), dictionary, **how)
+    return build_entries(unprocessed_pages(cache, jobs, key), dictionary, **how)
+
+
+def unprocessed_pages(
+    cache: DataFrame, jobs: DataFrame, key: str = "job_id", small: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Cached pages of jobs not yet processed, without shuffling pages if possible.
+
+    At first few jobs are processed: their ids are broadcast against the pages.
+    Later most are: then the few pending ids are found on ids alone first. The
+    wide pages are shuffled only if both sets are large.
+    """
+    if is_small(jobs, small):
+        return not_in(cache, jobs, key)
+    return in_cache(cache, not_in(cache.select(key), jobs, key), key)
