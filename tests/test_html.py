@@ -99,6 +99,7 @@ ODD = [
     ('<div class="a">x <i> </i>\n<i>\n</i> y</div>', "x \n \n\n\n\n\n y"),
     ('<div class="a">&#128; &#0; &#xD800; &#xE9;</div>', "€ \ufffd \ufffd é"),
     ('<div class="a">R&D a&b=c</div>', "R&D a&b=c"),
+    ('<div class="a">x<b>&#32; </b>y</div>', "x\n \ny"),
     ('<div class="aa">x</div>', ""),
     ('<p class="x"><span class="a">s</span></p>', ""),
     (None, ""),
@@ -111,7 +112,7 @@ def test_any_markup(spark):
     parsed = H.parse_fields(df, "id", "html", fields).orderBy("id").collect()
     assert [r["t"] for r in parsed] == [t for _, t in ODD]
     assert H.read_fields(df, "id", "html", fields).orderBy("id").collect() == parsed
-    assert parsed[20]["c"] == "s" and parsed[19]["s"] is None and parsed[0]["s"] == "xyz"
+    assert parsed[21]["c"] == "s" and parsed[20]["s"] is None and parsed[0]["s"] == "xyz"
 
 
 def test_checked_path_equals_parser_on_random_markup(spark):

@@ -130,14 +130,16 @@ def decode_entities(text: Column) -> Column:
 
 
 def _text_nodes(inner: Column) -> Column:
-    """Text between tags; a node of whitespace alone becomes one newline or blank."""
-    nodes = F.filter(F.split(inner, f"(?:{_TAG})+"), lambda n: n != "")
-    return F.transform(
-        nodes,
-        lambda n: F.when(
-            n.rlike(r"^[ \t\n\r\f\x0B]+$"), F.when(F.contains(n, F.lit("\n")), "\n").otherwise(" ")
-        ).otherwise(n),
-    )
+    """Text between tags, not yet decoded."""
+    return F.filter(F.split(inner, f"(?:{_TAG})+"), lambda n: n != "")
+
+
+def _collapsed(node: Column) -> Column:
+    """A node of whitespace alone becomes one newline or one blank."""
+    return F.when(
+        node.rlike(r"^[ \t\n\r\f\x0B]+$"),
+        F.when(F.contains(node, F.lit("\n")), "\n").otherwise(" "),
+    ).otherwise(node)
 
 
 def _element(markup: Column, selector: Selector) -> Column:
@@ -165,20 +167,37 @@ def _source(markup: Column, field: Field) -> Column:
     return _attribute(markup, field) if _is_attribute(field) else _element(markup, field.selector)
 
 
-def _value(source: Column, field: Field) -> Column:
+def _decoded(sources: list[Column], fields: list[Field]) -> Column:
+    """Decoded text nodes of all fields, one array each; an attribute is one node.
+
+    One expression for all fields, since the decoder is by far the largest part of
+    the plan.
+    """
+    nodes = [
+        F.when(s.isNotNull(), F.array(s)) if _is_attribute(f) else _text_nodes(_inner(s))
+        for s, f in zip(sources, fields)
+    ]
+    return F.transform(F.array(*nodes), lambda of_field: F.transform(of_field, decode_entities))
+
+
+def _value(nodes: Column, field: Field) -> Column:
     if _is_attribute(field):
-        return decode_entities(source)
-    nodes = _text_nodes(_inner(source))
+        return F.get(nodes, F.lit(0))
     if field.how == "text":
-        return F.coalesce(strip(decode_entities(F.array_join(nodes, "\n"))), F.lit(""))
-    return F.array_join(F.transform(nodes, lambda n: strip(decode_entities(n))), "")
+        lines = F.array_join(F.transform(nodes, _collapsed), "\n")
+        return F.coalesce(strip(lines), F.lit(""))
+    return F.array_join(F.transform(nodes, strip), "")
 
 
 def native_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) -> DataFrame:
     """(key, one STRING per field) by column expressions, for regular markup."""
     markup = df.select(key, visible_markup(F.col(html)).alias("_markup"))
-    return markup.select(
-        key, *[_value(_source(F.col("_markup"), f), f).alias(n) for n, f in fields.items()]
+    specs = list(fields.values())
+    sources = [_source(F.col("_markup"), f) for f in specs]
+    nodes = markup.select(key, _decoded(sources, specs).alias("_nodes"))
+    return nodes.select(
+        key,
+        *[_value(F.get("_nodes", F.lit(i)), f).alias(n) for i, (n, f) in enumerate(fields.items())],
     )
 
 
@@ -252,14 +271,20 @@ def read_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) ->
     regular = F.coalesce(~m.rlike(odd), F.lit(True))
     for name, field in fields.items():
         regular = regular & _is_regular(m, F.col(f"_s_{name}"), field)
-    judged = read.withColumn("_odd", F.when(~regular, F.col(html)))
+    judged = read.select(
+        key,
+        F.when(~regular, F.col(html)).alias("_odd"),
+        _decoded([F.col(f"_s_{n}") for n in fields], list(fields.values())).alias("_nodes"),
+    )
     parsed = judged.withColumn("_parsed", _page_reader(fields)(F.col("_odd")))
     native = F.col("_odd").isNull()
     return parsed.select(
         key,
         *[
-            F.when(native, _value(F.col(f"_s_{n}"), f)).otherwise(F.col(f"_parsed.{n}")).alias(n)
-            for n, f in fields.items()
+            F.when(native, _value(F.get("_nodes", F.lit(i)), f))
+            .otherwise(F.col(f"_parsed.{n}"))
+            .alias(n)
+            for i, (n, f) in enumerate(fields.items())
         ],
     )
 
