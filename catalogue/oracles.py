@@ -83,7 +83,9 @@ def mode(folded: str) -> str:
 def decode(text: str) -> str:
     for name, char in [("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"),
                        ("middot", "·"), ("apos", "'"), ("nbsp", "\xa0"), ("amp", "&")]:
-        text = f"replace({text}, '&{name};', {q(char)})"
+        # HTML lets a reference of these names end without its semicolon.
+        end = ";" if name == "apos" else ";?"
+        text = f"regexp_replace({text}, '&{name}{end}', {q(char)}, 'g')"
     return text
 
 

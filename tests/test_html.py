@@ -100,6 +100,7 @@ ODD = [
     ('<div class="a">&#128; &#0; &#xD800; &#xE9;</div>', "€ \ufffd \ufffd é"),
     ('<div class="a">R&D a&b=c</div>', "R&D a&b=c"),
     ('<div class="a">x<b>&#32; </b>y</div>', "x\n \ny"),
+    ('<div class="a"><b>cut &amp</b> &ampx &lt</div>', "cut &\n &x <"),
     ('<div class="aa">x</div>', ""),
     ('<p class="x"><span class="a">s</span></p>', ""),
     (None, ""),
@@ -112,7 +113,7 @@ def test_any_markup(spark):
     parsed = H.parse_fields(df, "id", "html", fields).orderBy("id").collect()
     assert [r["t"] for r in parsed] == [t for _, t in ODD]
     assert H.read_fields(df, "id", "html", fields).orderBy("id").collect() == parsed
-    assert parsed[21]["c"] == "s" and parsed[20]["s"] is None and parsed[0]["s"] == "xyz"
+    assert parsed[22]["c"] == "s" and parsed[21]["s"] is None and parsed[0]["s"] == "xyz"
 
 
 def test_checked_path_equals_parser_on_random_markup(spark):
@@ -135,8 +136,8 @@ def test_checked_path_equals_parser_on_random_markup(spark):
 
 
 def test_decode_entities_once(rows):
-    values = ["&amp;lt;", "&lt;&gt;&quot;&#39;&apos;", "&#x1F600;&#233;", "&nope; & x", "", None]
-    want = ["&lt;", "<>\"''", "\U0001f600é", "&nope; & x", "", None]
+    values = ["cut &amp", "&amp;amp", "&copy 2", "&ampx;", "&amp;lt;", "&lt;&gt;&quot;&#39;&apos;", "&#x1F600;&#233;", "&nope; & x", "", None]
+    want = ["cut &", "&amp", "© 2", "&ampx;", "&lt;", "<>\"''", "\U0001f600é", "&nope; & x", "", None]
     assert rows(values, H.decode_entities) == want
 
 

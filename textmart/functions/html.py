@@ -102,11 +102,15 @@ def visible_markup(html: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references with a semicolon, each decoded once."""
+    """Character references, each decoded once.
+
+    Named ones may lack the semicolon where HTML allows it and no letter or digit
+    follows ("&amp" at the end of a cut text); numeric ones must have it.
+    """
     common = ["amp;", "quot;", "lt;", "gt;", "nbsp;"]
-    names = common + [n for n in html5 if n.endswith(";") and n not in common]
+    names = common + [n for n in html5 if n not in common]
     table = string_map({f"&{n}": html5[n] for n in names})
-    pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9a-zA-Z]+;|[^&]+|&)"), F.lit(1))
+    pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9a-zA-Z]+;?|[^&]+|&)"), F.lit(1))
 
     def numeric(piece: Column) -> Column:
         digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
