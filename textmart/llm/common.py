@@ -26,7 +26,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def input_bytes(df: DataFrame) -> int:
     """Spark's estimate of the size of a scan's output; used for partition counts only."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes().toString())
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def arrow_texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:

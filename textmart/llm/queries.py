@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textmart.llm import bpe, token_counts
+from textmart.llm import bpe, interpolation, segment_search, severity, token_counts, url_filter
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -14,13 +15,42 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+URL_RULES = [
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
+]
+
+
+def op1_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolation.score_texts(table(spark, folder, "documents"))
+
+
+def op3_severity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = severity.fit_severity(docs, table(spark, folder, "labels"))
+    scored = severity.score_severity(docs, model)
+    return scored.select("doc_id", "severity", "p_toxic", "grade", (F.col("p_toxic") >= severity.REJECT).alias("rejected"))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_filter.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.encode_decode(docs, public_tokenizers.path(WORD_BPE)).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op7_bpe)}
+def op8_segment_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return segment_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_interpolation, op3_severity, op4_token_counts, op5_url_filter, op7_bpe, op8_segment_search)
+}
