@@ -1,8 +1,9 @@
 """Severity of toxic text by cumulative-link ordinal regression.
 
 P(grade <= j) = sigmoid(threshold_j - w.x): one weight vector for all thresholds,
-which are kept in order. x holds 1 + log(count) of the words and word beginnings of a
-text, for the features that tell toxic from clean texts in the labelled sample. The
+which are kept in order. x holds log(1 + DENSITY * count / words) of the words and word
+beginnings of a text, for the features that tell toxic from clean texts in the labelled
+sample; shares of the text, so that long clean texts don't add up to toxic ones. The
 expected severity is the sum over j of P(grade > j).
 
 The labels say toxic or not. Grades 1..GRADES of toxic texts are the parts of equal
@@ -35,12 +36,13 @@ from textmart.llm.common import arrow_texts, ascii_words, by_value, gathered
 
 SAMPLE = 2000
 GRADES = 3
+DENSITY = 500.0
 MARKED = 8.0
 PREFIX = 5
 # P(grade > 0) from which a text is rejected.
 REJECT = 0.5
-# Chi-square of one degree of freedom at 0.001, and the least number of sample texts with the feature.
-LEAST_CHI2, LEAST_DF = 10.83, 4
+# Chi-square beyond chance among 100,000 features, and the least number of sample texts with the feature.
+LEAST_CHI2, LEAST_DF = 20.0, 3
 PUNCTUATION = ".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
@@ -54,8 +56,8 @@ def word_features(word: str) -> list[int]:
     return out
 
 
-def text_features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Each text's distinct features (or their places in sorted `wanted`) and counts."""
+def text_features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each text's distinct features (or their places in sorted `wanted`), counts and values."""
     index, vocabulary, first = ascii_words(texts)
     of_word = [word_features(w) for w in vocabulary.to_pylist()]
     flat = np.array([f for fs in of_word for f in fs], np.uint64)
@@ -72,7 +74,8 @@ def text_features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator
         words = words[sizes[words] > 0]
         n = sizes[words]
         place = np.repeat(starts[words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        yield np.unique(flat[place], return_counts=True)
+        found, counts = np.unique(flat[place], return_counts=True)
+        yield found, counts, np.log1p(DENSITY * counts / max(high - low, 1))
 
 
 @dataclass
@@ -88,7 +91,7 @@ class Severity:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
 
 
-def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, l2: float = 1e-3, rounds: int = 300, step: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, l2: float = 1e-4, rounds: int = 400, step: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of highest penalised likelihood, by Adam on the whole sample."""
     n, levels = len(grades), int(grades.max())
     # thresholds = first + running sums of exp(gap), so that they stay in order
@@ -133,18 +136,19 @@ def fit_severity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             found = list(text_features(arrow_texts(table.column("_text"))))
             yield pa.RecordBatch.from_arrays([
                 table.column("_key").combine_chunks(), table.column("_grade").combine_chunks(),
-                pa.array([f.tobytes() for f, _ in found], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary()),
-            ], names=["_key", "_grade", "features", "counts"])
+                *[pa.array([x.tobytes() for x in xs], pa.binary()) for xs in ([f for f, _, _ in found], [c.astype(np.uint32) for _, c, _ in found], [v.astype(np.float32) for _, _, v in found])],
+            ], names=["_key", "_grade", "features", "counts", "values"])
 
     picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(low.unionAll(high)), "_key")
     kind = docs.schema[key].dataType.simpleString()
-    read = picked.select("_key", "_text", "_grade").mapInArrow(by_value(run), f"_key {kind}, _grade int, features binary, counts binary").collect()
+    read = picked.select("_key", "_text", "_grade").mapInArrow(by_value(run), f"_key {kind}, _grade int, features binary, counts binary, values binary").collect()
     read = sorted({r["_key"]: r for r in read}.values(), key=lambda r: r["_key"])  # a repeated document counts once
     grades = np.array([r["_grade"] for r in read], np.int64)
     if not len(grades) or grades.max() == 0 or grades.min() > 0:
         return nothing
     features, cols = np.unique(np.concatenate([np.frombuffer(r["features"], np.uint64) for r in read]), return_inverse=True)
     counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in read]).astype(np.float64)
+    values = np.concatenate([np.frombuffer(r["values"], np.float32) for r in read]).astype(np.float64)
     rows = np.repeat(np.arange(len(read)), [len(r["features"]) // 8 for r in read])
     bad = grades > 0
     n_bad, n_good = bad.sum(), (~bad).sum()
@@ -164,7 +168,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         grades = np.unique(grades, return_inverse=True)[1]
     place = np.cumsum(used) - 1
     keep = used[cols]
-    weights, thresholds = fit_ordinal(rows[keep], place[cols[keep]], 1 + np.log(counts[keep]), grades, int(used.sum()))
+    weights, thresholds = fit_ordinal(rows[keep], place[cols[keep]], values[keep], grades, int(used.sum()))
     return Severity(features[used], weights, thresholds)
 
 
@@ -178,7 +182,7 @@ def score_severity(docs: DataFrame, model: Severity, text: str = "text", severit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = sent.value
         for table in gathered(batches, text):
-            scores = [float(mine.weights[at] @ (1 + np.log(n))) for at, n in text_features(arrow_texts(table.column(text)), mine.features)]
+            scores = [float(mine.weights[at] @ x) for at, _, x in text_features(arrow_texts(table.column(text)), mine.features)]
             above = mine.above(np.array(scores))
             exactly = -np.diff(np.column_stack([np.ones(len(above)), above, np.zeros(len(above))]), axis=1)
             out = [table.column(f.name).combine_chunks() for f in kept]
