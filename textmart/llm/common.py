@@ -30,10 +30,14 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def arrow_texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    """Large strings without nulls (null: empty)."""
+    """Large strings without nulls (null: empty), in memory of their own.
+
+    Arrow's string functions misread slices that were cast to large strings.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    copied = pa.concat_arrays([column.cast(pa.large_string()), pa.array([], pa.large_string())])
+    return pc.fill_null(copied, "")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -97,6 +101,53 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def local_components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For n places and links between places a and b: the smallest place reachable from each."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while True:
+            next_label = label[label]
+            if (next_label == label).all():
+                break
+            label = next_label
+        open_ = label[a] != label[b]
+        a, b = a[open_], b[open_]
+    return label
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str], step: int = 20_000) -> Iterator[pa.Table]:
+    """Tables of whole groups: rows sorted by `keys` come in, and no group is cut between two tables.
+
+    A table has the rows of many small groups, or one larger group.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def last_start(table: pa.Table) -> int:
+        start = 0
+        for key in keys:
+            values = table.column(key).to_numpy()
+            change = np.flatnonzero(values[1:] != values[:-1])
+            start = max(start, int(change[-1]) + 1 if len(change) else 0)
+        return start
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= step:
+            table = pa.Table.from_batches(held)
+            cut = last_start(table)
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+            size = table.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class RowNumbers:
     """Numbers no other row of the stage has: the task's partition, then a count.
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import bpe, interpolation, segment_search, severity, token_counts, url_filter
+from textmart.llm import bpe, interpolation, lattice, segment_search, severity, token_counts, url_filter
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -50,7 +50,11 @@ def op8_segment_search(spark: SparkSession, folder: str) -> DataFrame:
     return segment_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_interpolation, op3_severity, op4_token_counts, op5_url_filter, op7_bpe, op8_segment_search)
+    for f in (op1_interpolation, op3_severity, op4_token_counts, op5_url_filter, op7_bpe, op8_segment_search, op10_lattice)
 }
