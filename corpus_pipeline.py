@@ -1,21 +1,60 @@
-"""Documents made ready for training: one stage after the other, each stored as Parquet."""
+"""Documents made ready for training: one stage after the other, each stored as Parquet.
+
+A stage takes what its predecessor kept, with the columns of `documents`; the last one
+gives each row's token count and digests instead of its text.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textmart.llm import bpe
+from textmart.llm import bottomk, bpe, mixing, severity, surrogates
 from textmart.llm.common import written
-from textmart.llm.queries import WORD_BPE
+from textmart.llm.queries import LANGUAGE_WEIGHTS, SURROGATE_KEY, WORD_BPE, table, with_domain
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the severity model takes for toxic go."""
+    model = severity.fit_severity(docs, table(spark, sf_dir, "labels"))
+    return severity.score_severity(docs, model).where(F.col("p_toxic") < severity.REJECT).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays; of a repeated id one row.
+
+    Rows without an id stay.
+    """
+    copies = written(bottomk.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "copies")
+    repeated = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    left = docs.join(copies, "doc_id", "left_anti")
+    once = left.join(repeated, "doc_id", "left_anti")
+    return once.select(*COLUMNS).unionAll(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with surrogates in place of personal data and secrets."""
+    changed = surrogates.replace_entities(docs, SURROGATE_KEY)
+    changed = changed.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("new_text").cast("long")).otherwise(F.col("n_chars")))
+    return changed.withColumn("text", F.col("new_text")).select(*COLUMNS)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text once, and another fifth of all tokens by weight; a row for each time a text is taken."""
+    weights = {"lang": spark.createDataFrame(LANGUAGE_WEIGHTS, "lang string, weight double")}
+    mixed = mixing.mix(with_domain(docs), None, weights=weights, share=1.2, least_epochs=1)
+    return mixed.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs")))).select(*COLUMNS)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token count and digests of ids and decoded text of each row; the text itself is left out."""
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of each row."""
     return bpe.encode_decode(docs, public_tokenizers.path(WORD_BPE)).drop("text")
 
 
-STAGES = [("bpe", encode)]
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mixture", mixture), ("encoding", encoding)]
 
 # The stages learn, hash and encode: SQL can't express them.
 ORACLE_SQL = None

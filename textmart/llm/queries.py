@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import bpe, interpolation, lattice, segment_search, severity, token_counts, url_filter
+from textmart.llm import bottomk, bpe, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -15,6 +15,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The key of the surrogates; a run on real data takes its own from where secrets are kept.
+SURROGATE_KEY = "corpus"
+LANGUAGE_WEIGHTS = [("en", 0.4), ("de", 0.2), ("fr", 0.2), ("es", 0.2)]
 URL_RULES = [
     ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"),
 ]
@@ -24,6 +27,11 @@ def op1_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return interpolation.score_texts(table(spark, folder, "documents"))
 
 
+def op2_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY).select("doc_id", "n_entities", "new_text")
+
+
 def op3_severity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = severity.fit_severity(docs, table(spark, folder, "labels"))
@@ -40,6 +48,18 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The documents with a domain: one of four groups of sources."""
+    return docs.withColumn("domain", F.concat(F.lit("domain"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4))
+
+
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_domain(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    weights = {"lang": spark.createDataFrame(LANGUAGE_WEIGHTS, "lang string, weight double")}
+    # Half of all tokens; sources by the root of their size.
+    return mixing.mix(docs, None, weights=weights, share=0.5).drop("text")
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.encode_decode(docs, public_tokenizers.path(WORD_BPE)).drop("text")
@@ -50,11 +70,15 @@ def op8_segment_search(spark: SparkSession, folder: str) -> DataFrame:
     return segment_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op9_bottomk(spark: SparkSession, folder: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_interpolation, op3_severity, op4_token_counts, op5_url_filter, op7_bpe, op8_segment_search, op10_lattice)
+    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice)
 }
