@@ -24,7 +24,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Spark's estimate of the size of a scan's output; used for partition counts only."""
+    """Size of the files a scan reads; used for partition counts only."""
     plan = df._jdf.queryExecution().optimizedPlan()
     return int(str(plan.stats().sizeInBytes()))
 

@@ -44,8 +44,8 @@ from textmart.llm.common import RowNumbers, arrow_texts, ascii_words, by_value,
 # Kinds of texts.
 TRAINING, SET_ASIDE, HELD_OUT = 0, 1, 2
 NO_ID = 4  # added to the kind of a text whose id is null
-# Text bytes whose keys one share adds up.
-SHARE_BYTES = 4 << 20
+# Bytes of stored chunks whose keys one share adds up.
+SHARE_BYTES = 3 << 20
 STEPS = 8  # per octave, of the event histogram
 END, START = np.uint64(0x45E4D), np.uint64(0x57A27)
 BUCKETS = 64
@@ -61,12 +61,12 @@ def folds(key: Column) -> Column:
 def squeeze(a: np.ndarray) -> bytes:
     """The length, then the bytes of like weight side by side, compressed."""
     planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+    return len(planes).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
 
 
 def expand(raw: bytes, kind: type) -> np.ndarray:
     size = int.from_bytes(raw[:8], "little")
-    flat = np.frombuffer(pa.decompress(raw[8:], size, "zstd", asbytes=True), np.uint8)
+    flat = np.frombuffer(pa.decompress(raw[8:], size, "zstd", asbytes=True) if size else b"", np.uint8)
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(flat.reshape(width, size // width).T).view(kind).ravel()
 
@@ -109,6 +109,12 @@ def chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
     return written(picked.mapInArrow(by_value(run), TEXT_COLUMNS), "chunks")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row after the other; a row is a chunk, so not all are unpacked at once."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Chunk:
     """The tokens of a chunk's texts, one after the other, and its distinct keys."""
 
@@ -152,11 +158,11 @@ class Chunk:
 
 def totals(stored: DataFrame, shares: int) -> DataFrame:
     """(chunk, parts): for each chunk and share, the counts of its keys over all training texts,
-    and over those set aside."""
+    and for chunks set aside also over the texts set aside."""
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 mine = Chunk(row)
                 at = mine.spans(shares).tolist()
                 full = [(i, a, b) for i, (a, b) in enumerate(zip(at, at[1:])) if b > a]
@@ -175,10 +181,11 @@ def totals(stored: DataFrame, shares: int) -> DataFrame:
         apart = np.bincount(at, counts * aside, minlength=len(every)).astype(np.int64)
         ends = np.cumsum([len(p) for p in parts])
         answers = [at[e - len(p) : e] for p, e in zip(parts, ends)]
+        kinds = table.column("kind").to_pylist()
         return pa.table({
             "chunk": table.column("chunk"), "share": table.column("share"),
             "every": pa.array([squeeze(every[a].astype(np.uint64)) for a in answers], pa.binary()),
-            "apart": pa.array([squeeze(apart[a].astype(np.uint64)) for a in answers], pa.binary()),
+            "apart": pa.array([squeeze(apart[a].astype(np.uint64)) if k == SET_ASIDE else None for a, k in zip(answers, kinds)], pa.binary()),
         })
 
     given = stored.mapInArrow(by_value(give), "share int, chunk string, kind int, keys binary, counts binary")
@@ -191,7 +198,7 @@ def corpus_size(stored: DataFrame, shares: int) -> tuple[int, int, int]:
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 kinds, sizes = expand(row["kinds"], np.uint8) % NO_ID, expand(row["sizes"], np.uint32).astype(np.int64)
                 words, places = expand_sorted(row["vocabulary"]), expand(row["places"], np.uint32)
                 trained = np.repeat(kinds != HELD_OUT, sizes)
@@ -233,7 +240,7 @@ def event_histogram(stored: DataFrame, answers: DataFrame, n: int, v: int) -> li
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 mine = Chunk(row)
                 bucket, two, one, zero = estimates(mine, counts_of(row, "every") - counts_of(row, "apart"), n, v)
                 steps = [np.where(x > 0, np.round(STEPS * np.log2(np.where(x > 0, x, 1) / zero)), -9999).astype(np.int64) for x in (two, one)]
@@ -268,15 +275,15 @@ SCORES = "held_out boolean, n_tokens long, n_known long, train_tokens long, base
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", share_bytes: int = SHARE_BYTES) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
-    shares = max(32, input_bytes(docs) // share_bytes)
     stored = chunks(docs, key, text)
+    shares = max(32, input_bytes(stored) // share_bytes)
     n, v, aside = corpus_size(stored, 16 * (1 + shares // 64))
     answers = written(totals(stored, shares), "counts")
     weights = learn_weights(event_histogram(stored, answers, n - aside, v))
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 mine, counts = Chunk(row), counts_of(row, "every")
                 bucket, two, one, zero = estimates(mine, counts, n, v)
                 mix = weights[bucket]

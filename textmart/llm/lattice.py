@@ -16,8 +16,8 @@ list of pairs is made.
 
 Defined cases: vectors that are null, zero, empty, or hold null or non-finite components
 link with nothing. Vectors of different lengths link with nothing. Rows of one id are
-one node: their links are added up. A null id is a node of its own kind and links with
-nothing. An empty table gives no rows.
+one node: their links are added up. A row with a null id links with nothing and has no
+component. An empty table gives no rows.
 
 Not every pair is certain to meet: see the README for the measured share.
 """
@@ -222,6 +222,7 @@ def linked_vectors(rows: DataFrame, least: float = 0.9, id: str = "vec_id", vect
     counted = counted.select("vector", "node", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     keyed = rows.select(F.col(id), F.col(vector).cast("array<double>").alias("vector"))
     out = keyed.join(counted, "vector", "left").select(
-        id, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", F.col(id).cast("long")).alias("component_id")
-    )
+        id, F.when(F.col(id).isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+        F.when(F.col(id).isNotNull(), F.coalesce("component", F.col(id).cast("long"))).alias("component_id"),
+    )
     return out.withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))

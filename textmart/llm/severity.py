@@ -88,7 +88,8 @@ class Severity:
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > j) for each score and threshold j."""
-        return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
+        with np.errstate(over="ignore"):  # an overflow is a probability of 0
+            return 1.0 / (1.0 + np.exp(self.thresholds[None, :] - score[:, None]))
 
 
 def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, l2: float = 1e-4, rounds: int = 400, step: float = 0.1) -> tuple[np.ndarray, np.ndarray]:

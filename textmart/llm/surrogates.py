@@ -42,7 +42,7 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "hex": r"[0-9a-f]{32,64}(?![A-Za-z0-9])",
-    "ipv4": r"(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
+    "ipv4": r"(?<!\d\.)(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "card": r"(?:\d{16}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3})(?!\d)",
     "phone": r"(?:\+\d{1,3}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
