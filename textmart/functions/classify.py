@@ -79,17 +79,35 @@ def position_group(
     return F.when(shown.isin(names), shown).otherwise(group)
 
 
-def cascade_from_table(table: DataFrame) -> list[tuple[str, list[str]]] | None:
-    """(priority, keyword, label) rows -> ordered rules; None if too many for literals."""
-    rows = collect_if_small(table.select("priority", "keyword", "label"), MAX_LITERAL_ROWS)
+def cascade_from_table(
+    table: DataFrame, limit: int = MAX_LITERAL_ROWS
+) -> list[tuple[str, list[str]]] | None:
+    """(priority, keyword, label) rows -> ordered rules; None if too many for literals.
+
+    Rules of one priority are tried in the order of their labels. Rows without a
+    keyword are no rules; an empty keyword is in every text.
+    """
+    picked = table.select("priority", "keyword", "label").dropna(subset=["keyword"])
+    rows = collect_if_small(picked, limit)
     if rows is None:
         return None
     grouped: dict[tuple[int, str], list[str]] = {}
-    for r in sorted(rows, key=lambda r: r["priority"]):
+    for r in sorted(rows, key=lambda r: (r["priority"], r["label"])):
         grouped.setdefault((r["priority"], r["label"]), []).append(r["keyword"])
     return [(label, keywords) for (_, label), keywords in grouped.items()]
 
 
+def classify_by_rules(
+    df: DataFrame, text: str, table: DataFrame, out: str, default: str | None,
+    limit: int = MAX_LITERAL_ROWS,
+) -> DataFrame:
+    """First matching rule of a rule table of any size: as literals if it fits, else by a join."""
+    rules = cascade_from_table(table, limit)
+    if rules is None:
+        return rule_join_first_match(df, text, table, out, default)
+    return df.withColumn(out, rule_cascade(F.col(text), rules, default))
+
+
 # Lengths of keyword beginnings to join on; few, and each of at most twice the last.
 _PIECE_LENGTHS = (1, 2, 4, 8, 16, 32)
 
@@ -108,14 +126,19 @@ def rule_join_first_match(
     length = F.greatest(
         *[F.when(F.length("keyword") >= n, n).otherwise(0) for n in _PIECE_LENGTHS]
     )
+    table = table.dropna(subset=["keyword"])
+    everywhere = table.where("keyword = ''").agg(F.min(F.struct("priority", "label")).alias("r")).first()["r"]
     rules = (
         table.where(F.length("keyword") > 0)
         .select("priority", "keyword", "label", length.alias("n"))
         .withColumn("piece", F.substr(F.col("keyword"), F.lit(1), F.col("n")))
     )
     sizes = [r["n"] for r in rules.select("n").distinct().collect()]
+    fallback = F.lit(default)
+    if everywhere is not None:  # an empty keyword is in every text
+        fallback = F.when(F.col(text).isNotNull(), everywhere["label"]).otherwise(fallback)
     if not sizes:
-        return df.withColumn(out, F.lit(default))
+        return df.withColumn(out, fallback)
     rules = broadcast_if_small(rules.drop("n"))
 
     def pieces_of(text: Column) -> Column:
@@ -129,15 +152,20 @@ def rule_join_first_match(
         return F.array_distinct(F.flatten(F.array_compact(F.array(*[of_size(n) for n in sizes]))))
 
     texts = df.select(F.col(text).alias("text")).distinct()
+    rank = F.struct("priority", "label")
+    before = (
+        F.lit(True) if everywhere is None
+        else rank < F.struct(F.lit(everywhere["priority"]).alias("priority"), F.lit(everywhere["label"]).alias("label"))
+    )
     winners = (
         explode_computed(texts, ["text"], pieces_of(F.col("text")), "piece")
         .join(rules, "piece")
-        .where(F.contains("text", "keyword"))
+        .where(F.contains("text", "keyword") & before)
         .groupBy("text")
-        .agg(F.min(F.struct("priority", "label"))["label"].alias(out))
+        .agg(F.min(rank)["label"].alias("_label"))
     )
     labelled = df.join(winners, df[text] == winners["text"], "left").drop(winners["text"])
-    return labelled.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
+    return labelled.withColumn(out, F.coalesce(F.col("_label"), fallback)).drop("_label")
 
 
 # --- several labels ----------------------------------------------------------

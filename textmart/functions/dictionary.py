@@ -80,9 +80,10 @@ def compile_dictionary(aliases: list[tuple[str, str]]) -> Matcher:
     return Matcher(f"{_BOUNDARY[0]}(?:{body}){_BOUNDARY[1]}", names)
 
 
-def load_matcher(dictionary: DataFrame, limit: int = MAX_LITERAL_ROWS) -> Matcher | None:
-    """Compile a dictionary table, or None if it is too large to be a literal."""
-    rows = collect_if_small(dictionary.select("canonical", "alias", "pos"), limit)
+def load_matcher(dictionary: DataFrame, limit: int | None = MAX_LITERAL_ROWS) -> Matcher | None:
+    """Compile a dictionary table, or None if it is too large to be a literal (no limit: never)."""
+    picked = dictionary.select("canonical", "alias", "pos").dropna(subset=["alias", "canonical"])
+    rows = picked.collect() if limit is None else collect_if_small(picked, limit)
     if rows is None:
         return None
     ordered = sorted(rows, key=lambda r: r["pos"])
@@ -97,12 +98,26 @@ def match_dictionary(
     out: str = "skills",
     literal_limit: int = MAX_LITERAL_ROWS,
 ) -> DataFrame:
-    """Add the array of canonical names found in `text`, by whichever form fits."""
-    matcher = load_matcher(dictionary, literal_limit)
+    """Add the array of canonical names found in `text`, by whichever form fits.
+
+    Both forms answer row by row: repeated and NULL values of `key` play no part. A
+    stream has no join form (it would group unbounded rows), so its dictionary is a
+    literal at any size.
+    """
+    matcher = load_matcher(dictionary, None if df.isStreaming else literal_limit)
     if matcher is not None:
         return df.withColumn(out, matcher.match(F.col(text)))
-    found = match_by_join(df.select(key, text), key, text, dictionary, out)
-    return df.join(found, key, "left").withColumn(out, F.coalesce(out, no_strings()))
+    named = df.withColumn("_text_id", _text_id(F.col(text)))
+    found = _matches(named.select("_text_id", text), text, dictionary, out)
+    return (
+        named.join(found, "_text_id", "left")
+        .select(*df.columns, F.coalesce(out, no_strings()).alias(out))
+    )
+
+
+def _text_id(text: Column) -> Column:
+    """Equal for equal texts only (a 256-bit digest); NULL for NULL."""
+    return F.sha2(text.cast("binary"), 256)
 
 
 # --- the join form -----------------------------------------------------------
@@ -160,22 +175,62 @@ def _dictionary_keys(dictionary: DataFrame) -> DataFrame:
     return keyed.drop("canonical").join(owner, "key")
 
 
+def _heads(dictionary: DataFrame) -> DataFrame:
+    """(head, longest): each token a stretch of some alias can begin with, and the most tokens it has.
+
+    Where the words of an alias are joined in the text, its first token holds several
+    of them: "spark sql" begins with "spark" or "sparksql".
+    """
+    alnum = lambda w: w.rlike("^[a-z0-9]+$")
+    start = F.struct(F.lit("").alias("before"), F.lit(True).alias("open"), no_strings().alias("heads"))
+
+    def step(acc: Column, word: Column) -> Column:
+        first = F.regexp_extract(word, "^(?:[a-z0-9]+|.)", 0)
+        fits = acc["open"] & ((acc["before"] == "") | alnum(first))
+        return F.struct(
+            F.concat(acc["before"], word).alias("before"),
+            (fits & (first == word) & alnum(word)).alias("open"),
+            F.when(fits, F.array_append(acc["heads"], F.concat(acc["before"], first)))
+            .otherwise(acc["heads"])
+            .alias("heads"),
+        )
+
+    folded = dictionary.select(fold(F.col("alias")).alias("folded"))
+    words = F.split(F.btrim("folded", F.lit(SEPARATORS)), "[ /-]+")
+    heads = folded.select(
+        F.size(_tokens(F.col("folded"))).alias("n_tokens"),
+        F.explode(F.aggregate(words, start, step, lambda acc: acc["heads"])).alias("head"),
+    )
+    return heads.where("head <> ''").groupBy("head").agg(F.max("n_tokens").alias("longest"))
+
+
 def match_by_join(
     df: DataFrame, key: str, text: str, dictionary: DataFrame, out: str = "skills"
 ) -> DataFrame:
-    """(key, canonical array) for each text with a match, without a pattern literal.
+    """(key, canonical array) for each row with a match, without a pattern literal."""
+    named = df.select(key, text, _text_id(F.col(text)).alias("_text_id"))
+    found = _matches(named.select("_text_id", text), text, dictionary, out)
+    return named.select(key, "_text_id").join(found, "_text_id").select(key, out)
+
+
+def _matches(texts: DataFrame, text: str, dictionary: DataFrame, out: str) -> DataFrame:
+    """(_text_id, canonical array) for each distinct text with a match.
 
-    Every stretch of up to as many tokens as the longest alias has is a candidate;
-    its key is looked up by an equi-join, the alias decides where separators may
-    stand, and the survivors of one text are consumed left to right. Only matches,
-    not candidates, are grouped per text, so a group is bounded by its own text.
-    A very frequent key is split by AQE's skew join or avoided by the broadcast.
+    A stretch of tokens is a candidate if its first token can begin an alias, up to as
+    many tokens as the longest alias so begun has; its key is looked up by an equi-join,
+    the alias decides where separators may stand, and the survivors of one text are
+    consumed left to right. Only distinct matches, not candidates, are grouped per text,
+    so a group is bounded by its own text, however often the text is repeated. A very
+    frequent key is split by AQE's skew join or avoided by the broadcast.
     """
+    dictionary = dictionary.dropna(subset=["alias", "canonical"])
     entries = _dictionary_keys(dictionary)
-    longest = entries.agg(F.coalesce(F.max("n_tokens"), F.lit(1)).alias("n")).first()["n"]
+    heads = _heads(dictionary)
+    longest = heads.agg(F.coalesce(F.max("longest"), F.lit(1)).alias("n")).first()["n"]
     entries = broadcast_if_small(entries.drop("n_tokens").withColumnRenamed("key", "_key"))
+    key = "_text_id"
 
-    tokens = df.select(key, _tokens(fold(F.col(text))).alias("tokens"))
+    tokens = texts.where(F.col(key).isNotNull()).select(key, _tokens(fold(F.col(text))).alias("tokens"))
     # A start carries the few tokens from it on, not the whole text.
     starts = tokens.select(
         key,
@@ -184,16 +239,18 @@ def match_by_join(
                 "tokens",
                 lambda token, i: F.struct(
                     i.alias("at"),
+                    F.btrim(token, F.lit(SEPARATORS)).alias("head"),
                     F.get("tokens", i - 1).alias("before"),
                     F.slice("tokens", i + 1, longest + 1).alias("ahead"),
                 ),
             )
         ),
     ).where(F.col("at").isNotNull()).where((F.col("at") == 0) | _opens_apart(F.get("ahead", F.lit(0))) | ~_is_word(F.col("before")))
+    starts = starts.join(broadcast_if_small(heads), "head")
     after = F.get("ahead", F.col("n"))
     candidates = (
         starts.withColumn(
-            "n", F.explode_outer(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("ahead"))))
+            "n", F.explode_outer(F.sequence(F.lit(1), F.least(F.col("longest"), F.size("ahead"))))
         )
         .where(after.isNull() | _opens_apart(after) | ~_is_word(after))
         .select(
@@ -207,7 +264,7 @@ def match_by_join(
         F.size(F.array_except(_joints(F.col("span")), "alias_joints")) == 0
     )
     per_text = hits.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("at", "rank", "end", "canonical"))).alias("spans")
+        F.array_sort(F.collect_set(F.struct("at", "rank", "end", "canonical"))).alias("spans")
     )
     start = F.struct(F.lit(0).alias("free_from"), no_strings().alias("names"))
     consumed = F.aggregate(

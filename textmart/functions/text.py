@@ -41,6 +41,24 @@ SPELLINGS = {
     "\xad": "",
 }
 
+# Spellings of the Cyrillic and Greek small letters. Capitals are spelled alike,
+# with a capital first.
+CYRILLIC = (
+    "а a б b в v г g д d е e ё io ж zh з z и i й i к k л l м m н n о o п p р r с s т t у u ф f х kh ц ts "
+    "ч ch ш sh щ shch ъ \" ы y ь ' э e ю iu я ia є ie і i ї yi"
+)
+GREEK = (
+    "α a β b γ g δ d ε e ζ z η e θ th ι i κ k λ l μ m ν n ξ x ο o π p ρ r ς s σ s τ t υ u φ ph χ kh ψ ps ω o "
+    "ά a έ e ή e ί i ό o ύ u ώ o ϊ i ϋ u"
+)
+
+
+def _letters(pairs: str) -> dict[str, str]:
+    cells = pairs.split(" ")
+    small = dict(zip(cells[::2], cells[1::2]))
+    return {k.upper(): v.capitalize() for k, v in small.items() if len(k.upper()) == 1} | small
+
+
 # Last code point scanned for decompositions to ASCII: beyond it there are none.
 _LAST_CODE_POINT = 0x1FFFF
 # End of the common Latin blocks.
@@ -62,7 +80,7 @@ def _decompositions() -> dict[str, str]:
 
 @lru_cache(maxsize=None)
 def _spelling_table() -> dict[str, str]:
-    return {**_decompositions(), **SPELLINGS}
+    return {**_decompositions(), **_letters(CYRILLIC), **_letters(GREEK), **SPELLINGS}
 
 
 def _to_ascii(col: Column, table: dict[str, str]) -> Column:
@@ -110,17 +128,20 @@ def _one_blank(col: Column) -> Column:
 
 
 def transliterate(col: Column) -> Column:
-    """Spell Latin letters and punctuation in ASCII; keeps case and whitespace.
+    """Spell Latin, Cyrillic and Greek letters and punctuation in ASCII; keeps case and whitespace.
 
-    Covers decomposable characters and `SPELLINGS`; other scripts are dropped.
+    Covers decomposable characters and the tables above; other scripts are dropped.
     """
     return _to_ascii(col, _spelling_table())
 
 
 def fold_text(value: str) -> str:
-    """`fold` for one driver-side value (a rule or a dictionary alias)."""
-    ascii_part = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode()
-    return re.sub(r"\s+", " ", ascii_part).lower()
+    """`fold` for one driver-side value (a rule or a dictionary alias), from the same tables."""
+    spelled = {ord(c): a for c, a in _decompositions().items()} | dict.fromkeys(map(ord, ASCII_SPACE), " ")
+    plain = "".join(c for c in value.translate(spelled) if c.isascii())
+    words = plain.split(" ")
+    # Inner runs of blanks are one blank; a run at an end stays as one.
+    return " ".join(w for i, w in enumerate(words) if w or i in (0, len(words) - 1)).lower()
 
 
 def strip(col: Column) -> Column:

@@ -135,4 +135,6 @@ def unprocessed_pages(
     """
     if is_small(jobs, small):
         return not_in(cache, jobs, key)
-    return in_cache(cache, not_in(cache.select(key), jobs, key), key)
+    # A page without an id is never processed, in either form.
+    pending = in_cache(cache, not_in(cache.select(key), jobs, key), key)
+    return pending.unionAll(cache.where(F.col(key).isNull()))
