@@ -198,6 +198,11 @@ def share(source: str, group: str, entity: str) -> str:
     )
 
 
+PENDING = entries(
+    "f.job_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) "
+    "AND f.job_id IN (SELECT CAST(user_id AS VARCHAR) FROM events)"
+)
+
 # --- one statement per query ---------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -224,17 +229,26 @@ ORACLES: dict[str, str] = {
         f"SELECT page_id, {TITLE} AS title, {COMPANY} AS company, {CITY} AS city, {LANG} AS lang, "
         f"{BODY} AS body FROM {VISIBLE}"
     ),
-    "html_parsed": (
-        f"SELECT page_id, {TITLE} AS title, {COMPANY} AS company, {CITY} AS city, {LANG} AS lang, "
-        f"{BODY} AS body FROM {VISIBLE}"
-    ),
     "extract_ids": (
         "SELECT page_id, CAST(unnest(range(len(ids))) AS BIGINT) AS pos, unnest(ids) AS job_id FROM "
         "(SELECT page_id, regexp_extract_all(html, 'href=\"/([^\"]+)\"', 1) AS ids FROM pages)"
     ),
     "build_entries": entries(),
     "build_entries_native": entries(),
-    "build_entries_parsed": entries(),
+    "full_run": (
+        "SELECT p.job_id, title, company, city, work_mode, skill FROM "
+        f"({PENDING}) p JOIN (WITH f AS ({FIELDS}) {terms('f', 'job_id', 'body')}) c ON p.job_id = c.job_id"
+    ),
+    "dictionary_match_repeated_keys": (
+        f"SELECT d.doc_id, d.lang, t.skills FROM ({term_lists('documents', 'doc_id', 'text')}) t "
+        "JOIN documents d ON d.doc_id = t.doc_id"
+    ),
+    "rule_table_large": (
+        "WITH t AS (SELECT p_partkey, 'a ' || p_partkey || ' ' || p_name || ' b' AS title FROM part), "
+        "w AS (SELECT t.p_partkey, any_value(title) AS title, min_by(p_brand, r.p_partkey) AS label "
+        "FROM t JOIN part r ON contains(title, r.p_partkey || ' ' || p_name) GROUP BY t.p_partkey) "
+        "SELECT l_orderkey, l_linenumber, title, label FROM lineitem JOIN w ON l_partkey = p_partkey"
+    ),
     "normalize_entries": f"WITH f AS ({FIELDS}) {terms('f', 'job_id', 'body')}",
     "normalize_parents": f"SELECT job_id, title, company, city, work_mode FROM ({entries()})",
     "rule_cascade": f"SELECT p_partkey, p_name, {GROUP} AS label FROM part",
@@ -291,12 +305,12 @@ ORACLES: dict[str, str] = {
     ),
     "collect_new_ids": (
         "WITH p AS (SELECT page_id, page_id // 10 AS term, url, "
-        "regexp_extract_all(html, 'href=\"/(\\p{L}{6,})', 1) AS ids FROM pages), "
+        "regexp_extract_all(html, 'href=\"/([^\"]+)\"', 1) AS ids FROM pages), "
         "r AS (SELECT * FROM p QUALIFY max(CASE WHEN len(ids) = 0 THEN 1 ELSE 0 END) OVER "
         "(PARTITION BY term ORDER BY page_id ROWS UNBOUNDED PRECEDING) = 0), "
         "s AS (SELECT page_id, url, unnest(ids) AS job_id FROM r) "
         "SELECT job_id, url FROM s WHERE job_id NOT IN "
-        "(SELECT regexp_extract(text, '^(\\p{L}+)', 1) FROM documents) "
+        "(SELECT unnest(regexp_extract_all(text, '\\p{L}+')) FROM documents) "
         "QUALIFY page_id = min(page_id) OVER (PARTITION BY job_id)"
     ),
     "last_write_wins": f"SELECT user_id, event_id, event_type, value FROM ({LAST_EVENT})",
@@ -305,10 +319,7 @@ ORACLES: dict[str, str] = {
         "CAST(i AS BIGINT) AS page, 'https://example.com/search/' || replace(lower(r_name), ' ', '-') "
         "|| '-jobs?start=' || (i * 10) AS url FROM region, range(3) t(i)"
     ),
-    "pending_extract": entries(
-        "f.job_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) "
-        "AND f.job_id IN (SELECT CAST(user_id AS VARCHAR) FROM events)"
-    ),
+    "pending_extract": PENDING,
     "offline_extract": entries("f.job_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)"),
     "upsert_jobs": (
         f"WITH u AS (SELECT user_id * 20 AS job_id, nullif(event_type, 'error') AS title, "
@@ -319,9 +330,8 @@ ORACLES: dict[str, str] = {
         f"UNION ALL SELECT *, {OLD} FROM b WHERE job_id NOT IN (SELECT job_id FROM u)"
     ),
     "upsert_html": (
-        f"SELECT doc_id AS job_id, text AS html_text, {NEW} AS fetched_at FROM documents WHERE lang <> 'en' "
-        f"UNION ALL SELECT page_id, html, {OLD} FROM pages WHERE page_id NOT IN "
-        "(SELECT doc_id FROM documents WHERE lang <> 'en')"
+        f"SELECT 2 * doc_id AS job_id, text AS html_text, {NEW} AS fetched_at FROM documents "
+        f"UNION ALL SELECT page_id, html, {OLD} FROM pages WHERE page_id NOT IN (SELECT 2 * doc_id FROM documents)"
     ),
     "replace_children": (
         "SELECT DISTINCT l_orderkey AS job_id, l_partkey AS skill FROM lineitem JOIN orders "
@@ -331,7 +341,8 @@ ORACLES: dict[str, str] = {
     ),
     "insert_ignore": (
         "SELECT l_orderkey AS job_id, l_partkey AS skill FROM lineitem WHERE l_linestatus = 'F' "
-        "UNION SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'A'"
+        "UNION SELECT l_orderkey, l_partkey FROM lineitem "
+        "WHERE l_returnflag = 'A' OR l_linestatus <> 'F'"
     ),
     "cascade_delete": (
         "SELECT l_orderkey AS o_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN "
@@ -431,7 +442,7 @@ ORACLES: dict[str, str] = {
         "WHERE event_type NOT IN ('error', 'view')"
     ),
     "src_cache_last_wins": (
-        "WITH d AS (SELECT doc_id AS id, text FROM documents WHERE lang <> 'en'), "
+        "WITH d AS (SELECT 2 * doc_id AS id, text FROM documents), "
         "a AS (SELECT * FROM d UNION ALL SELECT page_id, html FROM pages WHERE page_id NOT IN "
         "(SELECT id FROM d)) SELECT CAST(id AS VARCHAR) AS job_id, "
         "regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS html_text FROM a"
@@ -446,7 +457,18 @@ ORACLES: dict[str, str] = {
         "CAST(NULL AS VARCHAR) AS work_mode FROM orders"
     ),
     "stream_first_seen": FIRST_SEEN,
-    "stream_distinct_within": "SELECT DISTINCT user_id FROM events",
+    "stream_extract_upsert": entries(),
+    "child_counts": (
+        "SELECT o_orderkey, l_suppkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem "
+        "ON o_orderkey = l_orderkey GROUP BY o_orderkey, l_suppkey"
+    ),
+    "sink_model_repeated_ids": (
+        f"WITH u AS (SELECT user_id AS job_id, event_type AS title, props AS work_mode FROM ({LAST_EVENT})), "
+        "b AS (SELECT c_custkey AS job_id, c_name AS title, c_mktsegment AS work_mode FROM customer) "
+        f"SELECT job_id, title, work_mode, CASE WHEN job_id IN (SELECT job_id FROM b) THEN {OLD} "
+        f"ELSE {NEW} END AS created_at FROM u "
+        f"UNION ALL SELECT *, {OLD} FROM b WHERE job_id NOT IN (SELECT job_id FROM u)"
+    ),
     "stream_upsert": (
         "SELECT user_id, event_id, event_type, replace(props, ':', '|') AS skills "
         f"FROM ({LAST_EVENT})"

@@ -132,14 +132,6 @@ def html_container_text(spark, sf):
     return H.native_fields(pages, "page_id", "html", {"body": N.PAGE.body})
 
 
-@query
-def html_parsed(spark, sf):
-    """The path for any markup: the fields of both queries above in one pass."""
-    pages = texts(spark, sf, "pages", "page_id", "html")
-    places = {**N.PAGE.places(), "lang": N.LANG}
-    return _meta(H.parse_fields(pages, "page_id", "html", places), "lang", "body")
-
-
 @query
 def html_checked(spark, sf):
     """The default path: native where a page is regular, parsed where it is not."""
@@ -162,13 +154,48 @@ def build_entries(spark, sf):
 
 
 @query
-def build_entries_native(spark, sf):
-    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="native")
+def full_run(spark, sf):
+    """Ids -> pending pages -> entries, stored once -> both relations in the table sink -> joined."""
+    path = scratch_path(spark, "model")
+    entries = _raw_extract(spark, sf, listed=True)
+    jobs, skills = extract.staged(entries)
+    jobs = jobs.withColumn("created_at", moment("2024-06-01 00:00:00"))
+    current = (jobs.where("false"), skills.where("false"))
+    sources.write_model(jobs, skills, "database", path, current=current)
+    return M.join_children(
+        spark.read.parquet(f"{path}/jobs").drop("created_at"), spark.read.parquet(f"{path}/job_skills"), "job_id"
+    )
 
 
 @query
-def build_entries_parsed(spark, sf):
-    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="parser")
+def dictionary_match_repeated_keys(spark, sf):
+    """The join form on rows that share their keys: a language is no key of a document."""
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
+    found = D.match_dictionary(docs, "lang", "text", N.dictionary(spark), literal_limit=0)
+    return found.select("doc_id", "lang", joined("skills").alias("skills"))
+
+
+@query
+def rule_table_large(spark, sf):
+    """The join form on a rule for each part: its number and name, labelled by its brand. A
+    line item's title holds its own part's keyword, and those of numbers that end alike."""
+    part = table(spark, sf, "part")
+    rules = part.select(
+        F.col("p_partkey").cast("int").alias("priority"),
+        F.concat_ws(" ", F.col("p_partkey").cast("string"), "p_name").alias("keyword"),
+        F.col("p_brand").alias("label"),
+    )
+    titles = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    named = part.select("p_partkey", F.concat_ws(" ", F.col("p_partkey").cast("string"), "p_name").alias("text"))
+    titles = titles.join(named, titles["l_partkey"] == named["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("a "), "text", F.lit(" b")).alias("title")
+    )
+    return C.classify_by_rules(titles, "title", rules, "label", "none", limit=100)
+
+
+@query
+def build_entries_native(spark, sf):
+    return _entries(spark, texts(spark, sf, "pages", "page_id", "html"), path="native")
 
 
 def _raw_entries(spark, pages, path="checked"):
@@ -319,6 +346,13 @@ def _links(spark, sf, pattern=N.LINK_PATTERN):
     return pages.select("page_id", H.extract_ids(F.col("html"), pattern).alias("ids"))
 
 
+@query
+def child_counts(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    items = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
+    return O.child_counts(orders, items, "o_orderkey", "l_suppkey", "n")
+
+
 @query
 def first_seen_ids(spark, sf):
     return I.first_seen(_links(spark, sf), "ids", "page_id")
@@ -337,7 +371,7 @@ def take_while_pages(spark, sf):
 
 @query
 def collect_new_ids(spark, sf):
-    """Ten pages make a term; the first word of each document is a stored id."""
+    """Ten pages make a term; the words of the documents are stored ids."""
     pages = table(spark, sf, "pages").select(
         F.floor(F.col("page_id") / 10).alias("term_ord"),
         (F.col("page_id") - 10 * F.floor(F.col("page_id") / 10)).alias("page"),
@@ -345,8 +379,9 @@ def collect_new_ids(spark, sf):
         "html",
     )
     docs = table(spark, sf, "documents")
-    stored = docs.select(F.regexp_extract("text", r"^(\p{L}+)", 1).alias("job_id"))
-    return collect.collect_ids(pages, stored, N.LONG_LINK_PATTERN)
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1)))
+    stored = explode_computed(docs, [], words, "job_id")
+    return collect.collect_ids(pages, stored, N.LINK_PATTERN)
 
 
 @query
@@ -367,15 +402,15 @@ def url_frontier(spark, sf):
 @query
 def pending_extract(spark, sf):
     """Listed, cached and unprocessed: event users, pages, labelled ids."""
-    return _extract(spark, sf, listed=True)
+    return _raw_extract(spark, sf, listed=True).withColumn("skills", joined("skills"))
 
 
 @query
 def offline_extract(spark, sf):
-    return _extract(spark, sf, listed=False)
+    return _raw_extract(spark, sf, listed=False).withColumn("skills", joined("skills"))
 
 
-def _extract(spark, sf, listed):
+def _raw_extract(spark, sf, listed):
     cache = texts(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").cast("string").alias("job_id"), F.col("html").alias("html_text")
     )
@@ -383,10 +418,8 @@ def _extract(spark, sf, listed):
     how = dict(layout=N.PAGE, mode_words=N.MODE_WORDS)
     if listed:
         ids = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("job_id"))
-        out = extract.extract_pending(ids, cache, jobs, N.dictionary(spark), **how)
-    else:
-        out = extract.extract_offline(cache, jobs, N.dictionary(spark), **how)
-    return out.withColumn("skills", joined("skills"))
+        return extract.extract_pending(ids, cache, jobs, N.dictionary(spark), **how)
+    return extract.extract_offline(cache, jobs, N.dictionary(spark), **how)
 
 
 # --- merging ------------------------------------------------------------------
@@ -427,8 +460,8 @@ def upsert_html(spark, sf):
         F.col("html").alias("html_text"),
         moment("2024-01-01 00:00:00").alias("fetched_at"),
     )
-    newer = table(spark, sf, "documents").where(F.col("lang") != "en").select(
-        F.col("doc_id").alias("job_id"),
+    newer = table(spark, sf, "documents").select(
+        (2 * F.col("doc_id")).alias("job_id"),  # every second page stays old
         F.col("text").alias("html_text"),
         moment("2024-06-01 00:00:00").alias("fetched_at"),
     )
@@ -458,7 +491,7 @@ def replace_children(spark, sf):
 def insert_ignore(spark, sf):
     items = _order_parts(spark, sf)
     base = items.where("l_linestatus = 'F'").select("job_id", "skill").distinct()
-    new = items.where("l_returnflag = 'A'").select("job_id", "skill")
+    new = items.where("l_returnflag = 'A' OR l_linestatus <> 'F'").select("job_id", "skill")
     return O.insert_ignore(base, new, ["job_id", "skill"])
 
 
@@ -708,6 +741,22 @@ def sink_model_csv_roundtrip(spark, sf):
     )
 
 
+@query
+def sink_model_repeated_ids(spark, sf):
+    """A user's events arrive as versions of one job; the last of each counts."""
+    path = scratch_path(spark, "model")
+    batch = table(spark, sf, "events").select(
+        F.col("user_id").alias("job_id"), F.col("event_type").alias("title"), F.col("props").alias("work_mode"),
+        moment("2024-06-01 00:00:00").alias("created_at"), "event_id",
+    )
+    children = _order_parts(spark, sf).select("job_id", "skill").distinct()
+    sources.write_model(
+        batch, children, "database", path, current=(_customers(spark, sf), children),
+        columns=["title", "work_mode"], seq="event_id",
+    )
+    return spark.read.parquet(f"{path}/jobs")
+
+
 @query
 def sink_model_table_roundtrip(spark, sf):
     """The table sink: open orders are upserted, their children replaced."""
@@ -749,11 +798,12 @@ def src_cache_last_wins(spark, sf):
         F.concat(F.lit(" "), F.col("page_id").cast("string")).alias("job_id"),
         F.col("html").alias("html_text"),
     )
-    docs = table(spark, sf, "documents").where("lang <> 'en'").select(
-        F.col("doc_id").cast("string").alias("job_id"), F.col("text").alias("html_text")
+    docs = table(spark, sf, "documents").select(
+        (2 * F.col("doc_id")).cast("string").alias("job_id"), F.col("text").alias("html_text")
     )
-    sources.write_html_csv(pages, path)
-    sources.write_html_csv(docs, path)
+    # Many tasks write each append, under names in no order.
+    sources.write_html_csv(pages.repartition(5), path, batch=0)
+    sources.write_html_csv(docs.repartition(5), path, batch=1)
     return sources.read_html_cache_csv(spark, path)
 
 
@@ -823,16 +873,22 @@ def stream_first_seen(spark, sf):
 
 
 @query
-def stream_distinct_within(spark, sf):
-    """Bounded variant: the watermark is longer than the feed, so each user once."""
-    events = spark.readStream.schema(table(spark, sf, "events").schema).option(
-        "pathGlobFilter", "events.parquet"
-    ).parquet(sf)
-    path, checkpoint = scratch_path(spark, "distinct"), scratch_path(spark, "checkpoint")
-    SF.stream_distinct_within(
-        events.select("user_id", "ts"), "user_id", "ts", "3650 days", path, checkpoint
+def stream_extract_upsert(spark, sf):
+    """Pages arrive in three parts, the stream is restarted for each; entries with their terms."""
+    store, checkpoint = scratch_path(spark, "entries"), scratch_path(spark, "checkpoint")
+    folder = scratch_path(spark, "feed")
+    pages = table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("job_id"), F.col("html").alias("html_text"), "page_id"
     )
-    return spark.read.parquet(path).select("user_id")
+    for i in range(3):
+        part = pages.where(F.col("page_id") % 3 == i)
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        SU.stream_extract_upsert(
+            stream, N.dictionary(spark), "page_id", store, checkpoint, layout=N.PAGE, mode_words=N.MODE_WORDS
+        )
+    now = SU.current(spark, store, "job_id").drop("created_at", "batch_id")
+    return now.withColumn("skills", joined("skills"))
 
 
 @query

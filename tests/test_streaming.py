@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -38,16 +38,17 @@ def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
     assert rows(SF.read_store(spark, store).select("job_id", "page")) == rows(batch)
 
 
-def test_bounded_variant_drops_copies(spark, tmp_path):
-    start = datetime(2024, 1, 1)
-    data = [(k, start + timedelta(minutes=i)) for i, k in enumerate(["a", "b", "a", "c", "b"])]
-    feed = str(tmp_path / "feed")
-    df = spark.createDataFrame(data, "k STRING, ts TIMESTAMP_NTZ")
-    df.write.parquet(feed)
-    stream = spark.readStream.schema(df.schema).parquet(feed)
-    out = str(tmp_path / "out")
-    SF.stream_distinct_within(stream, "k", "ts", "1 day", out, str(tmp_path / "checkpoint"))
-    assert rows(spark.read.parquet(out).select("k")) == [("a",), ("b",), ("c",)]
+def test_a_new_checkpoint_over_an_old_store(spark, tmp_path):
+    """Several batches, then all of them again from the start: nothing is stored twice."""
+    schema = "page INT, ids ARRAY<STRING>"
+    feed, store = str(tmp_path / "feed"), str(tmp_path / "store")
+    for page in PAGES:
+        spark.createDataFrame([page], schema).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(schema).parquet(feed)
+        SF.stream_first_seen(stream, "ids", "page", store, str(tmp_path / "one"))
+    SF.stream_first_seen(spark.readStream.schema(schema).parquet(feed), "ids", "page", store, str(tmp_path / "two"))
+    batch = first_seen(spark.createDataFrame(PAGES, schema), "ids", "page")
+    assert rows(SF.read_store(spark, store).select("job_id", "page")) == rows(batch)
 
 
 UPSERT = "job_id STRING, seq INT, title STRING, skills ARRAY<STRING>, created_at TIMESTAMP"

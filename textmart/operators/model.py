@@ -43,9 +43,8 @@ def children_by_parent(
 ) -> DataFrame:
     """Each parent with the sorted list of its children, [] if it has none.
 
-    Equal children are counted per (parent, child) first, so what is gathered for
-    one parent is bounded by the number of different children, however many rows
-    a hot parent has.
+    Equal children are counted per (parent, child) before they are gathered, but the
+    list holds them all: for parents with very many children use `child_counts`.
     """
     counted = children.groupBy(key, item).agg(F.count(F.lit(1)).cast("int").alias("_n"))
     lists = counted.groupBy(key).agg(
@@ -62,6 +61,17 @@ def children_by_parent(
     )
 
 
+def child_counts(
+    parents: DataFrame, children: DataFrame, key: str, item: str, out: str = "n"
+) -> DataFrame:
+    """A row for each parent and different child with its count; (NULL, 0) without a child.
+
+    Counted map-side and spread over (parent, child): no parent makes a large row or task.
+    """
+    counted = children.groupBy(key, item).agg(F.count(F.lit(1)).alias(out))
+    return parents.join(counted, key, "left").withColumn(out, F.coalesce(out, F.lit(0)))
+
+
 # --- merging -----------------------------------------------------------------
 
 
@@ -77,6 +87,20 @@ def latest(df: DataFrame, key: str | Sequence[str], seq: str | Column) -> DataFr
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
+def one_per_key(batch: DataFrame, key: str, seq: str | None = None) -> DataFrame:
+    """A batch as a sink may merge it: with `seq` the last write of each key, without the column.
+
+    Without `seq` there is no telling which write is the last; a batch with a repeated
+    key is refused.
+    """
+    if seq is not None:
+        return latest(batch, key, seq).drop(seq)
+    repeated = key_violations(batch.where(F.col(key).isNotNull()), [key])
+    if not repeated.isEmpty():
+        raise ValueError(f"the batch repeats values of {key}: name a column that orders its rows")
+    return batch
+
+
 def upsert(
     base: DataFrame,
     updates: DataFrame,
@@ -108,9 +132,14 @@ def upsert(
 
 
 def upsert_pages(
-    cache: DataFrame, pages: DataFrame, key: str = "job_id", html: str = "html_text"
-) -> DataFrame:
-    """The page cache with newer pages; known ids get the new text and fetch time."""
+    cache: DataFrame, pages: DataFrame, key: str = "job_id", html: str = "html_text",
+    seq: str | None = None,
+) -> DataFrame:
+    """The page cache with newer pages; known ids get the new text and fetch time.
+
+    Of a page fetched more than once the last write, by `seq`, counts.
+    """
+    pages = one_per_key(pages, key, seq)
     if "fetched_at" not in pages.columns:
         pages = pages.withColumn("fetched_at", F.current_timestamp())
     return upsert(cache, pages, key, [html, "fetched_at"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textmart import rules as R
 from textmart.functions.html import extract_ids
 from textmart.operators.incremental import first_seen, not_in, take_while
+from textmart.session import scratch_path
 
 
 def page_ids(pages: DataFrame, pattern: str = R.ID_PATTERN) -> DataFrame:
@@ -22,9 +23,11 @@ def new_ids(found: DataFrame, stored: DataFrame) -> DataFrame:
 
     A term's pages count up to its first page without any id; a page that shows
     only known ids does not stop it. Pages are ordered by (term_ord, page).
-    `found` is read more than once: write it to a table first if the pages are
-    large, it is narrow.
+    Of a repeated page one row counts, that with the first URL. `found` is read more
+    than once: `collect_ids` stores it, it is narrow.
     """
+    once = found.groupBy("term_ord", "page").agg(F.min(F.struct("url", "ids")).alias("p"))
+    found = once.select("term_ord", "page", "p.url", "p.ids")
     read = take_while(found, "term_ord", "page", F.size("ids") > 0)
     new = not_in(first_seen(_ordered(read), "ids", "page_ord"), stored, "job_id")
     return new.join(_ordered(found).select("page_ord", "url"), "page_ord").select("job_id", "url")
@@ -33,7 +36,11 @@ def new_ids(found: DataFrame, stored: DataFrame) -> DataFrame:
 def collect_ids(
     pages: DataFrame, stored: DataFrame, pattern: str = R.ID_PATTERN
 ) -> DataFrame:
-    return new_ids(page_ids(pages, pattern), stored)
+    """New (job_id, url) rows; the pages are read once."""
+    path = scratch_path(pages.sparkSession, "page-ids")
+    found = page_ids(pages, pattern)
+    found.write.parquet(path)
+    return new_ids(pages.sparkSession.read.schema(found.schema).parquet(path), stored)
 
 
 def _ordered(pages: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from textmart.functions.dictionary import match_dictionary
 from textmart.functions.html import Field, native_fields, parse_fields, read_fields
 from textmart.functions.text import first_nonempty, fold
 from textmart.operators.incremental import in_cache, not_in
+from textmart.operators.model import normalize
+from textmart.session import scratch_path
 from textmart.sizes import MAX_BROADCAST_ROWS, is_small
 
 
@@ -94,6 +96,17 @@ def build_entries(
     )
 
 
+def staged(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parents, children) of entries that are extracted once and stored in the scratch folder.
+
+    `normalize` gives two plans, and a sink reads each several times; from the stored
+    entries none of them reads or parses a page again.
+    """
+    path = scratch_path(entries.sparkSession, "entries")
+    entries.write.parquet(path)
+    return normalize(entries.sparkSession.read.schema(entries.schema).parquet(path))
+
+
 def fetch_backlog(ids: DataFrame, cache: DataFrame, key: str = "job_id") -> DataFrame:
     """Distinct ids that have no page in the cache yet."""
     return not_in(ids.select(key).distinct(), cache, key)

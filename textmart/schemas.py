@@ -10,7 +10,9 @@ def _text(*names: str) -> list[T.StructField]:
 
 
 JOB_IDS = T.StructType(_text("job_id", "url"))
-JOB_HTML_CSV = T.StructType(_text("job_id", "html_text"))
+JOB_HTML_CSV = T.StructType(
+    _text("job_id", "html_text") + [T.StructField("seq", T.LongType(), True)]
+)
 JOB_HTML = T.StructType(
     [
         T.StructField("job_id", T.StringType(), False),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmart import schemas as S
@@ -12,38 +12,42 @@ from textmart.operators.incremental import nonblank
 from textmart.operators.model import latest
 
 
-def _csv(spark: SparkSession, schema, multi_line: bool = False):
+def _csv(spark: SparkSession, schema, path: str, *more: Column, multi_line: bool = False) -> DataFrame:
+    """The schema's columns by their names in the header, in any order; absent ones are NULL.
+
+    Files of one folder share their header. Nothing is inferred but the names.
+    """
     # Quotes inside a field are doubled.
-    return (
-        spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"')
+    raw = (
+        spark.read.option("header", True).option("multiLine", multi_line)
+        .option("quote", '"').option("escape", '"').option("inferSchema", False).csv(path)
     )
+    named = [F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None) for f in schema]
+    return raw.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(named, schema)], *more)
 
 
 def read_job_ids_csv(spark: SparkSession, path: str) -> DataFrame:
     """(job_id, url) rows with an id; a missing path gives no row."""
-    rows = _load_or_empty(spark, lambda: _csv(spark, S.JOB_IDS).csv(path), S.JOB_IDS)
+    rows = _load_or_empty(spark, lambda: _csv(spark, S.JOB_IDS, path), S.JOB_IDS)
     return nonblank(rows, "job_id")
 
 
 def read_html_cache_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """(job_id, html_text): ids trimmed, blank ids dropped, last row of an id wins.
 
-    Rows are ordered file by file (by modification time) and by position inside a
-    file, as an append-only cache writes them. The cache's writer collapses
-    newlines, so one line is one record and large files are split; set
-    `multi_line` for files that others wrote.
+    Rows are ordered by their `seq`, as `write_html_csv` numbers them. Files without it
+    (a cache that others appended to, one file) are ordered by position in the file.
+    The cache's writer collapses newlines, so one line is one record and large files
+    are split; set `multi_line` for files that others wrote.
     """
-    place = ["file_modification_time", "file_name", "file_block_start"]
+    place = F.struct(*[F.col(f"_metadata.{p}") for p in ("file_name", "file_block_start")])
     raw = _load_or_empty(
         spark,
-        lambda: _csv(spark, S.JOB_HTML_CSV, multi_line).csv(path).select(
-            "*", F.struct(*[F.col(f"_metadata.{p}") for p in place]).alias("_place")
-        ),
+        lambda: _csv(spark, S.JOB_HTML_CSV, path, place.alias("_place"), multi_line=multi_line),
         S.JOB_HTML_CSV,
     )
     ordered = raw.withColumn("_pos", F.monotonically_increasing_id())
-    seq = F.struct(*[c for c in ("_place", "_pos") if c in ordered.columns])
+    seq = F.struct(*[c for c in ("seq", "_place", "_pos") if c in ordered.columns])
     rows = nonblank(ordered.withColumn("job_id", strip(F.col("job_id"))), "job_id")
     return latest(rows, "job_id", seq).select(
         "job_id", F.coalesce("html_text", F.lit("")).alias("html_text")
@@ -56,17 +60,26 @@ def read_html_cache_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def read_html_cache_jdbc(
-    spark: SparkSession, url: str, table: str, partitions: int = 1, **options: str
-) -> DataFrame:
+    spark: SparkSession, url: str, table: str, partitions: int = 1,
+    hash_of_id: str = "hashtext(job_id)", **options: str,
+) -> DataFrame:
     """The cache kept in a database, read in `partitions` parts by a hash of the id.
 
-    Needs the database's JDBC driver on the class path. `options` are passed on;
-    with more than one part give partitionColumn, lowerBound and upperBound.
+    Text ids have no bounds to split by, so each part is a condition on `hash_of_id`,
+    a whole number in the database's own SQL. Needs the database's JDBC driver on the
+    class path; `options` are passed on. Not tested: no database is at hand.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    if partitions > 1:
-        reader = reader.option("numPartitions", partitions)
-    return reader.options(**options).load().select(F.col("job_id").cast("string"), "html_text")
+    conditions = hash_conditions(hash_of_id, partitions)
+    rows = spark.read.jdbc(url, table, predicates=conditions, properties=options)
+    return rows.select(F.col("job_id").cast("string"), "html_text")
+
+
+def hash_conditions(hash_of_id: str, partitions: int) -> list[str]:
+    """SQL conditions that hold for one part each, and together for every row."""
+    if partitions <= 1:
+        return ["1 = 1"]
+    part = f"ABS(MOD({hash_of_id}, {partitions}))"
+    return [f"{part} = 0 OR {hash_of_id} IS NULL", *[f"{part} = {i}" for i in range(1, partitions)]]
 
 
 def read_entries_json(spark: SparkSession, path: str) -> DataFrame:
@@ -97,13 +110,13 @@ def read_processed_ids(jobs: DataFrame, key: str = "job_id") -> DataFrame:
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Skill dictionary (canonical, alias, pos) from a CSV with header."""
-    return _csv(spark, S.DICTIONARY).csv(path)
+    return _csv(spark, S.DICTIONARY, path)
 
 
 def _load_or_empty(spark: SparkSession, load, schema) -> DataFrame:
     try:
         return load()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], schema)

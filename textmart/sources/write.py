@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmart import schemas as S
 from textmart.functions.text import collapse_newlines
-from textmart.operators.model import project, replace_children, upsert
+from textmart.operators.model import one_per_key, project, replace_children, upsert
 
 
 def _csv(df: DataFrame, mode: str, quote_all: bool = False):
@@ -24,8 +24,14 @@ def append_ids_csv(ids: DataFrame, path: str) -> None:
     _csv(project(ids, S.JOB_IDS), "append").csv(path)
 
 
-def write_html_csv(pages: DataFrame, path: str) -> None:
-    """Append (job_id, html_text), all fields quoted, newline runs as one blank."""
+def write_html_csv(pages: DataFrame, path: str, batch: int = 0) -> None:
+    """Append (job_id, html_text, seq), all fields quoted, newline runs as one blank.
+
+    Tasks write at any time and under any name, so the order of appends is kept in
+    `seq`: the rows' own, or else the number of the append, `batch`.
+    """
+    if "seq" not in pages.columns:
+        pages = pages.withColumn("seq", F.lit(batch).cast("long"))
     clean = project(pages, S.JOB_HTML_CSV).withColumn(
         "html_text", collapse_newlines(F.col("html_text"))
     )
@@ -50,6 +56,7 @@ def write_model(
     columns: list[str] = S.JOB_COLUMNS[1:],
     key: str = "job_id",
     item: str = "skill",
+    seq: str | None = None,
 ) -> None:
     """Persist the model to the sink the setting names.
 
@@ -59,7 +66,9 @@ def write_model(
     'local': both relations are overwritten as CSV, every skill row kept, with or
     without a parent. 'database': jobs are upserted into the `current` tables and
     the skills of exactly these jobs are replaced, orphans dropped; the result is
-    written as parquet to `path`, which must not be where `current` is read from.
+    written as parquet to `path`, which must not be where `current` is read from. Of a
+    repeated job the last row by `seq` counts; without `seq` repeated jobs are refused.
+    Both relations are read several times: `plans.extract.staged` stores them first.
     """
     if sink == "local":
         _csv(jobs.select(key, *columns), "overwrite").csv(f"{path}/jobs")
@@ -68,6 +77,7 @@ def write_model(
         if current is None:
             raise ValueError("the database sink merges into current tables")
         base, children = current
+        jobs = one_per_key(jobs, key, seq)
         if "created_at" not in jobs.columns:
             jobs = jobs.withColumn("created_at", F.current_timestamp())
         upsert(base, jobs, key, columns, keep=["created_at"]).write.parquet(f"{path}/jobs")

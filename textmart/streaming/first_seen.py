@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,52 +24,38 @@ def stream_first_seen(
     """Exact form: ids seen in any earlier batch are never stored again.
 
     Each micro-batch keeps the ids of its first page per id and drops those stored
-    before. It writes to its own folder below `store`, so a replayed batch
-    overwrites its own output and reads only older ones. In-page duplicates stay.
+    before. It writes to a folder of its own below `store`, named by the checkpoint's
+    id and the batch number: a replayed batch overwrites its own output and reads all
+    others, and a new checkpoint over an old store takes nothing for its own. In-page
+    duplicates stay.
     """
     spark = pages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Narrow and used twice by each check against a store.
         shown = first_seen(batch, ids, page, id_name).persist()
+        run = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         new = shown
-        if batch_id > 0:
-            earlier = read_store(spark, store).where(F.col("batch_id") < batch_id)
-            new = not_in_store(new, earlier, id_name)
+        stored = read_store(spark, store)
+        if stored is not None:
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            new = not_in_store(new, stored.where(~own), id_name)
         if existing is not None:
             new = not_in_store(new, existing, id_name)
-        new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        new.write.mode("overwrite").parquet(f"{store}/run={run}/batch_id={batch_id}")
         shown.unpersist()
 
     return _run_available(pages, write, checkpoint)
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(store)
-
-
-def stream_distinct_within(
-    rows: DataFrame, key: str, event_time: str, delay: str, path: str, checkpoint: str
-) -> StreamingQuery:
-    """Bounded-state variant: one row per key within the watermark delay.
-
-    It differs from the exact form on purpose: keys older than the watermark are
-    forgotten, and in-page duplicates are dropped.
-    """
-    deduplicated = (
-        rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark([key])
-    )
-    query = (
-        deduplicated.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+def read_store(spark: SparkSession, store: str) -> DataFrame | None:
+    """What is stored, with its run and batch; None before the first batch."""
+    try:
+        return spark.read.parquet(store).withColumn("run", F.col("run").cast("string"))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
 def _run_available(

@@ -12,11 +12,12 @@ a parent, the latest row of a key holds exactly its current children.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textmart.operators.model import latest
+from textmart.plans.extract import build_entries
 from textmart.streaming.first_seen import _run_available
 
 _COMMIT = "kind STRING, batch_id LONG"
@@ -37,6 +38,26 @@ def stream_upsert(
     return _run_available(rows, write, checkpoint)
 
 
+def stream_extract_upsert(
+    pages: DataFrame, dictionary: DataFrame, seq: str, store: str, checkpoint: str,
+    key: str = "job_id", html: str = "html_text", **how,
+) -> StreamingQuery:
+    """Pages as they arrive -> entries -> upsert with their children.
+
+    Of a page that arrives more than once in a micro-batch the largest `seq` is extracted.
+    Each micro-batch is extracted once, with a dictionary of any size.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pages_once = latest(batch, key, seq).select(key, html)
+        entries = build_entries(pages_once, dictionary, key=key, html=html, **how)
+        entries = entries.withColumn("created_at", F.current_timestamp())
+        entries.write.mode("overwrite").parquet(f"{store}/changes/batch_id={batch_id}")
+        _commit(batch.sparkSession, store, "changes", batch_id)
+
+    return _run_available(pages, write, checkpoint)
+
+
 def current(
     spark: SparkSession, store: str, key: str, created: str = "created_at"
 ) -> DataFrame:
@@ -49,14 +70,21 @@ def current(
         .where((F.col("batch_id") > upto) & (F.col("batch_id") <= last))
         .withColumn("batch_id", F.col("batch_id").cast("long"))
     )
-    everything = changes if base is None else base.unionByName(changes)
-    columns = [c for c in changes.columns if c not in (key, created, "batch_id")]
-    merged = everything.groupBy(key).agg(
-        F.max_by(F.struct(*columns), "batch_id").alias("_latest"),
-        F.min_by(created, "batch_id").alias(created),
-        F.max("batch_id").alias("batch_id"),
+    # Only the changes are resolved; the snapshot has one row per key and stays in place.
+    by_batch = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
+    whole = by_batch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    resolved = (
+        changes.withColumn(created, F.last(created).over(whole))
+        .withColumn("_rn", F.row_number().over(by_batch))
+        .where("_rn = 1")
+        .drop("_rn")
     )
-    return merged.select(key, "_latest.*", created, "batch_id")
+    if base is None:
+        return resolved
+    known = base.select(key, F.col(created).alias("_known"))
+    renewed = resolved.join(known, key, "left").withColumn(created, F.coalesce("_known", created))
+    untouched = base.join(resolved.select(key), key, "left_anti")
+    return untouched.unionByName(renewed.drop("_known"))
 
 
 def compact(spark: SparkSession, store: str, key: str, created: str = "created_at") -> None:
