@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmart.llm import bottomk, bpe, mixing, severity, surrogates
-from textmart.llm.common import written
+from textmart.llm.common import small_batches, written
 from textmart.llm.queries import LANGUAGE_WEIGHTS, SURROGATE_KEY, WORD_BPE, table, with_domain
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,6 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows without an id stay.
     """
+    small_batches(spark)
     copies = written(bottomk.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "copies")
     repeated = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     left = docs.join(copies, "doc_id", "left_anti")
@@ -51,6 +52,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of each row."""
+    small_batches(spark)
     return bpe.encode_decode(docs, public_tokenizers.path(WORD_BPE)).drop("text")
 
 

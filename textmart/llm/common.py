@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from textmart.session import scratch_path
 
@@ -16,6 +16,15 @@ from textmart.session import scratch_path
 CHUNK_BYTES = 4 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few MB at a time; Spark's own setting is up to 10,000 rows.
+
+    A batch lies in memory outside the heap on both sides, for each task of an executor.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, stored once in the shared scratch folder and read from there."""
     path = scratch_path(df.sparkSession, name)
@@ -60,6 +69,7 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_
         if size >= limit:
             yield pa.Table.from_batches(held)
             held, size = [], 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield pa.Table.from_batches(held)
 

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmart.llm import bottomk, bpe, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
+from textmart.llm.common import small_batches
 
 WORD_BPE = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
