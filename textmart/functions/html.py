@@ -250,11 +250,13 @@ def _open_after(inner: Column) -> Column:
 
 
 def _is_regular(markup: Column, source: Column, field: Field) -> Column:
+    # References are looked for only where there can be one.
     if _is_attribute(field):
-        return F.coalesce(~source.rlike(_ODD_REFERENCE), F.lit(True))
+        return F.coalesce(~(F.contains(source, F.lit("&")) & source.rlike(_ODD_REFERENCE)), F.lit(True))
     name = F.concat(F.lit("|"), F.lower(F.regexp_extract(source, "^<([a-zA-Z0-9]+)", 1)), F.lit("|"))
     text = F.array_join(F.split(_inner(source), f"(?:{_TAG})+"), " ")
-    whole = (F.instr(_open_after(_inner(source)), name) == 0) & ~text.rlike(_ODD_REFERENCE)
+    plain = F.when(F.contains(source, F.lit("&")), ~text.rlike(_ODD_REFERENCE)).otherwise(True)
+    whole = (F.instr(_open_after(_inner(source)), name) == 0) & plain
     absent = ~markup.rlike(field.selector.start_tag())
     return F.coalesce(F.when(source.isNull(), absent).otherwise(whole), F.lit(False))
 
