@@ -43,6 +43,7 @@ from textmart.llm.common import RowNumbers, arrow_texts, ascii_words, by_value,
 
 # Kinds of texts.
 TRAINING, SET_ASIDE, HELD_OUT = 0, 1, 2
+CHUNK_BYTES = 2 << 20  # of text, so that a chunk and its totals are a few dozen MB when unpacked
 NO_ID = 4  # added to the kind of a text whose id is null
 # Bytes of stored chunks whose keys one share adds up.
 SHARE_BYTES = 3 << 20
@@ -84,7 +85,7 @@ def chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = RowNumbers()
-        for table in gathered(batches, "_text"):
+        for table in gathered(batches, "_text", CHUNK_BYTES):
             kinds = table.column("_kind").to_numpy()
             rows = numbers.take(table.num_rows)
             for aside in (True, False):
@@ -113,6 +114,7 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
     """One row after the other; a row is a chunk, so not all are unpacked at once."""
     for i in range(batch.num_rows):
         yield batch.slice(i, 1).to_pylist()[0]
+        pa.default_memory_pool().release_unused()
 
 
 class Chunk:
@@ -137,7 +139,7 @@ class Chunk:
         inner[self.first] = False
         contexts[inner] = places
         names = np.append(words, [END, START])
-        pair, self.pair_of = np.unique(tokens * (n + 2) + contexts, return_inverse=True)
+        pair, pair_of = np.unique(tokens * (n + 2) + contexts, return_inverse=True)
         pairs = mixed(names[pair % (n + 2)], names[pair // (n + 2)])
         # One sorted list of keys: words, end, start, pairs.
         every = np.concatenate([names, pairs])
@@ -145,7 +147,7 @@ class Chunk:
         self.every = every[order]
         at = np.empty(len(every), np.int64)
         at[order] = np.arange(len(every))
-        self.token_at, self.context_at, self.pair_at = at[tokens], at[contexts], at[n + 2 :][self.pair_of]
+        self.token_at, self.context_at, self.pair_at = at[tokens], at[contexts], at[n + 2 :][pair_of]
         trained = np.repeat(self.kinds != HELD_OUT, self.sizes + 1)
         counted = [self.token_at[trained], self.pair_at[trained], at[[n + 1]].repeat((self.kinds != HELD_OUT).sum())]
         self.counts = np.bincount(np.concatenate(counted), minlength=len(every))
