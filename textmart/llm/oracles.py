@@ -1,3 +1,25 @@
 """SQL that DuckDB runs over the same tables, where SQL can express an operator."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from textmart.llm.queries import URL_RULES
+
+
+def url_rules() -> str:
+    """Fits of each rule as rows (rule host, rule path, rule, verdict)."""
+    return ", ".join(f"('{r[: r.index('/')]}', '{r[r.index('/') :]}', '{r}', '{v}')" for r, v in URL_RULES)
+
+
+ORACLES: dict[str, str] = {
+    "op5_url_filter": (
+        "WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), "
+        "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, "
+        "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages), "
+        f"r(rule_host, rule_path, rule, verdict) AS (VALUES {url_rules()}), "
+        "f AS (SELECT page_id, host, path, rule, verdict FROM u LEFT JOIN r "
+        "ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) "
+        "QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST, "
+        "length(rule_host) DESC, rule) = 1) "
+        "SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f"
+    ),
+}
