@@ -62,6 +62,29 @@ def test_collisions_are_resolved(spark, monkeypatch):
     assert beyond and len(set(values)) == len(values) and "s7" not in values
 
 
+def test_entities_without_a_free_form_of_their_own_get_a_wider_one(spark):
+    secrets = ["****", "....", "пароль", "ПАРОЛЬ", "κωδικός", "密码密码", "пароль1"]
+    frame = spark.createDataFrame([(i, f"password={s} ok") for i, s in enumerate(secrets)] + [(9, "to --@-.com now")], "doc_id int, text string")
+    new = {r.doc_id: r.new_text for r in replace_entities(frame, "k").collect()}
+    made = [re.fullmatch(r"password=(\S+) ok", new[i])[1] for i in range(len(secrets))]
+    assert len({m.lower() for m in made} | {s.lower() for s in secrets}) == 2 * len(secrets) - 1  # пароль in two cases
+    assert all(not set(m.lower()) & set("*.密码") for m in made) and re.fullmatch(r"[А-Я]{6}[а-яa-z]*", made[3])
+    assert re.fullmatch(r"to [a-z]+--@-\.com now", new[9])
+
+
+def test_more_entities_than_forms(spark, monkeypatch):
+    few = {s: (c[:2], v[:1], {k: e[:1] for k, e in ends.items()}) for s, (c, v, ends) in sur.SYLLABLES.items()}
+    monkeypatch.setattr(sur, "SYLLABLES", few)  # 8 names of each script and kind
+    rows = [(k, f"{a}{i}") for k in ("surname", "givenF") for a in ("n", "н", "ν") for i in range(40)]
+    rows += [("email", f"{a}@{b}.co") for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    entities = spark.createDataFrame(rows, "kind string, entity string")
+    beyond = sur.exceptions(entities, "k")
+    tried = entities.join(beyond, ["kind", "entity"], "left").select("kind", "entity", F.coalesce("attempt", F.lit(0)).alias("attempt"))
+    made = tried.select("kind", F.lower(sur.surrogate("k", F.col("kind"), F.col("entity"), F.col("entity"), F.col("attempt"))).alias("made"))
+    got = [tuple(r) for r in made.collect()]
+    assert len(set(got)) == len(rows) and not set(got) & set(rows)
+
+
 def test_attempts_reach_the_texts(spark, monkeypatch):
     frame = spark.createDataFrame([(1, "a@b.co c@d.co")], "doc_id int, text string")
     first = replace_entities(frame, "k").first().new_text.split(" ")

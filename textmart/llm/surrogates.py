@@ -16,7 +16,10 @@ surname has a form of its own, so that "Mrs Anna Smith" and "Mr Smith" share a s
 Collision check: over all distinct entities of a type no two may get one surrogate, and
 none may get what occurs as an entity itself. Those that do try again with the next
 attempt, until no collision is left (of those that share one, that with the lowest
-attempt, then the first in order of text, keeps it). Only entities beyond attempt 0 are
+attempt, then the first in order of text, keeps it). So that a free form is always found,
+forms widen with the attempt: names by a syllable, addresses and passwords by a letter,
+telephone numbers by a digit (from the second on); a password's signs are drawn like letters from the first.
+Types of fixed length get longer only after FORMAT_ATTEMPTS attempts. Only entities beyond attempt 0 are
 sent back to their texts, so that the texts are not shuffled for the others.
 
 Defined cases: a null text stays null, an empty one empty. Overlapping finds: the one
@@ -57,6 +60,9 @@ ANY = "(?<![A-Za-z0-9])(?:" + "|".join(
     + [PATTERNS["password"]]
 ) + ")"
 DIGITS, LOWER, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
+LETTERS = {"Cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+# The attempt from which forms get longer where that breaks a type's format.
+FORMAT_ATTEMPTS = 16
 SYLLABLES = {
     "cyrillic": (list("бвгдзклмнпрст"), list("аеиоу"), {"M": ["ан", "ор", "ил"], "F": ["ана", "ина", "ея"], "S": ["енко", "ук", "ич"]}),
     "greek": (list("βγδκλμνπρστ"), list("αειου"), {"M": ["ος", "ης", "ας"], "F": ["η", "ια", "ω"], "S": ["ίδης", "άκης", "ίου"]}),
@@ -133,24 +139,32 @@ def pick(values: Column | str, from_seed: Column, place: Column | int) -> Column
     return F.get(values, F.pmod(F.xxhash64(from_seed, place), F.size(values)).cast("int"))
 
 
-def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column], Column], hexadecimal: bool = False) -> Column:
-    """Each letter and digit exchanged for one of its class; `kept(place, order)` says which stay."""
+def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column], Column], hexadecimal: bool = False, spelled: bool = False) -> Column:
+    """Each letter and digit exchanged for one of its class and script; `kept(place, order)` says which stay.
 
-    def one(p: Column) -> Column:
-        return let(F.substring(surface, p, F.lit(1)), lambda c: exchanged(p, c))
+    A character is drawn by its place, or, where an entity can be `spelled` with other punctuation,
+    by its order among letters and digits.
+    """
 
-    def exchanged(p: Column, c: Column) -> Column:
-        order = F.length(F.regexp_replace(F.substring(surface, F.lit(1), p), "[^0-9A-Za-z]", ""))
+    def one(c: Column, i: Column) -> Column:
+        p = i + 1
+        return let(F.length(F.regexp_replace(F.substring(surface, F.lit(1), p), "[^0-9A-Za-z]", "")), lambda o: exchanged(p, o, c)) if spelled else exchanged(p, p, c)
+
+    def exchanged(p: Column, order: Column, c: Column) -> Column:
         low = F.when(c.rlike("[0-9a-f]"), pick(HEX, from_seed, order)) if hexadecimal else F.when(F.lit(False), c)
-        free = (
-            low.when(c.rlike("[0-9]"), pick(DIGITS, from_seed, order))
-            .when(c.rlike("[a-z]"), pick(LOWER, from_seed, order))
-            .when(c.rlike("[A-Z]"), F.upper(pick(LOWER, from_seed, order)))
-            .otherwise(c)
-        )
-        return F.when(kept(p, order), c).otherwise(free)
+        free = low.when(c.rlike("[0-9]"), pick(DIGITS, from_seed, order)).when(c.rlike("[a-z]"), pick(LOWER, from_seed, order)).when(c.rlike("[A-Z]"), F.upper(pick(LOWER, from_seed, order)))
+        for script, letters in LETTERS.items():
+            free = free.when(c.rlike(rf"(?=\p{{Lu}})\p{{Is{script}}}"), F.upper(pick(letters, from_seed, order))).when(c.rlike(rf"(?=\p{{L}})\p{{Is{script}}}"), pick(letters, from_seed, order))
+        free = free.when(c.rlike(r"\p{Lu}"), F.upper(pick(LOWER, from_seed, order))).when(c.rlike(r"\p{L}"), pick(LOWER, from_seed, order)).when(c.rlike(r"\p{N}"), pick(DIGITS, from_seed, order))
+        return F.when(kept(p, order), c).otherwise(free.otherwise(c))
+
+    return F.array_join(F.transform(F.split(surface, ""), one), "")
+
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(surface)), one), "")
+def drawn(values: str, from_seed: Column, count: Column) -> Column:
+    """As many keyed characters as `count` says; none where it is below one."""
+    places = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.array_join(F.transform(places, lambda i: pick(values, from_seed, i + 100_000)), "")
 
 
 def with_check_digit(number: Column) -> Column:
@@ -168,39 +182,45 @@ def with_check_digit(number: Column) -> Column:
     return F.concat(F.substring(number, F.lit(1), F.length(number) - 1), F.pmod(10 - total % 10, F.lit(10)).cast("string"))
 
 
-def name_of(entity: Column, sort: Column, from_seed: Column) -> Column:
-    """A capitalised name of the entity's script with an ending of its sort (M, F or S)."""
+def name_of(entity: Column, sort: Column, from_seed: Column, attempt: Column) -> Column:
+    """A capitalised name of the entity's script with an ending of its sort (M, F or S); a syllable more for each attempt."""
     names = {}
     for script, (consonants, vowels, endings) in SYLLABLES.items():
         heads, tails = F.array(*map(F.lit, consonants)), F.array(*map(F.lit, vowels))
         ending = F.array(*map(F.lit, endings["S"]))
         ending = F.when(sort == "M", F.array(*map(F.lit, endings["M"]))).when(sort == "F", F.array(*map(F.lit, endings["F"]))).otherwise(ending)
-        names[script] = F.concat(*[pick(heads if i % 2 == 0 else tails, from_seed, i) for i in range(4)], pick(heads, from_seed, 4), pick(ending, from_seed, 5))
+        more = F.when(attempt > 0, F.sequence(F.lit(1), attempt)).otherwise(F.array().cast("array<int>"))
+        longer = F.array_join(F.transform(more, lambda i: F.concat(pick(heads, from_seed, 2 * i + 4), pick(tails, from_seed, 2 * i + 5))), "")  # noqa: B023
+        names[script] = F.concat(*[pick(heads if i % 2 == 0 else tails, from_seed, i) for i in range(4)], longer, pick(heads, from_seed, 4), pick(ending, from_seed, 5))
     made = F.when(entity.rlike(r"\p{IsCyrillic}"), names["cyrillic"]).when(entity.rlike(r"\p{IsGreek}"), names["greek"]).otherwise(names["latin"])
     return F.initcap(made)
 
 
 def surrogate(key: str, kind: Column, entity: Column, surface: Column, attempt: Column) -> Column:
     """What stands for `surface`, a spelling of the entity, at an attempt."""
-    return let(seed(key, kind, entity, attempt), lambda s: seeded(s, kind, entity, surface))
+    return let(seed(key, kind, entity, attempt), lambda s: seeded(s, kind, entity, surface, attempt))
 
 
-def seeded(s: Column, kind: Column, entity: Column, surface: Column) -> Column:
+def seeded(s: Column, kind: Column, entity: Column, surface: Column, attempt: Column) -> Column:
     no = lambda p, o: F.lit(False)
     part = lambda i: (1 + F.pmod(F.xxhash64(s, F.lit(i)), F.lit(254))).cast("string")
     first = lambda p, o: o == 1
-    number = F.when(surface.startswith("+"), replaced(surface, s, first)).otherwise(replaced(surface, s, no))
+    number = F.when(surface.startswith("+"), replaced(surface, s, first, spelled=True)).otherwise(replaced(surface, s, no, spelled=True))
     domain_end = F.length(surface) - F.length(F.substring_index(surface, ".", -1))
+    # Forms with few or no free characters get longer soon, those of a fixed length only if no other is found.
+    soon, late = attempt - 1, attempt - FORMAT_ATTEMPTS
+    plain = replaced(F.when(attempt > 0, F.regexp_replace(surface, r"[^\p{L}\p{N}]", "x")).otherwise(surface), s, no)
     return (
-        F.when(kind == "ipv4", F.concat_ws(".", part(0), part(1), part(2), part(3)))
-        .when(kind == "card", with_check_digit(replaced(surface, s, first)))
-        .when(kind.isin("phone", "ssn"), number)
-        .when(kind == "email", replaced(surface, s, lambda p, o: p > domain_end))
-        .when(kind == "key", replaced(surface, s, lambda p, o: p <= 4))
-        .when(kind == "hex", replaced(surface, s, no, hexadecimal=True))
-        .when(kind.startswith("given"), name_of(entity, F.substring(kind, 6, 1), s))
-        .when(kind == "surname", name_of(entity, F.lit("S"), s))
-        .otherwise(replaced(surface, s, no))
+        F.when(kind == "ipv4", F.concat(F.concat_ws(".", part(0), part(1), part(2), part(3)), F.when(late > 0, F.concat(F.lit("."), drawn(DIGITS, s, late))).otherwise("")))
+        .when(kind == "card", F.concat(with_check_digit(replaced(surface, s, first, spelled=True)), drawn(DIGITS, s, late)))
+        .when(kind == "phone", F.concat(number, drawn(DIGITS, s, soon)))
+        .when(kind == "ssn", F.concat(number, drawn(DIGITS, s, late)))
+        .when(kind == "email", F.concat(drawn(LOWER, s, attempt), replaced(surface, s, lambda p, o: p > domain_end)))
+        .when(kind == "key", F.concat(replaced(surface, s, lambda p, o: p <= 4), F.upper(drawn(LOWER, s, late))))
+        .when(kind == "hex", F.concat(replaced(surface, s, no, hexadecimal=True), drawn(HEX, s, late)))
+        .when(kind.startswith("given"), name_of(entity, F.substring(kind, 6, 1), s, attempt))
+        .when(kind == "surname", name_of(entity, F.lit("S"), s, attempt))
+        .otherwise(F.concat(plain, drawn(LOWER, s, soon)))
     )
 
 
