@@ -72,6 +72,19 @@ def test_entities_without_a_free_form_of_their_own_get_a_wider_one(spark):
     assert re.fullmatch(r"to [a-z]+--@-\.com now", new[9])
 
 
+def test_secrets_in_either_case_and_of_any_length(spark):
+    token, sha512, letters = "9233a8ec" * 5, "0f1e2d3c" * 16, "deadbeef" * 4
+    texts = [f'TOKEN = "{token.upper()}"', f"token {token}", f"SUM {sha512.upper()}", sha512, f"PASSWORD=ABCDEFGH Password={'q' * 90} end", letters, "x " + "ab12" * 20_000, token.capitalize() + "A" * 40]
+    new = [r.new_text for r in replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), "k").orderBy("doc_id").collect()]
+    upper, lower = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', new[0])[1], re.fullmatch("token ([0-9a-f]{40})", new[1])[1]
+    assert upper.lower() == lower != token
+    assert re.fullmatch(r"SUM [0-9A-F]{128}", new[2]) and new[2][4:].lower() == new[3] != sha512
+    assert re.fullmatch(r"PASSWORD=[A-Z]{8} Password=[a-z]{90} end", new[4]) and "ABCDEFGH" not in new[4] and "q" * 9 not in new[4]
+    assert re.fullmatch("[0-9a-f]{32}", new[5]) and new[5] != letters
+    assert re.fullmatch("x [0-9a-f]{80000}", new[6]) and "ab12ab12" not in new[6]
+    assert new[7].lower() != texts[7].lower()
+
+
 def test_more_entities_than_forms(spark, monkeypatch):
     few = {s: (c[:2], v[:1], {k: e[:1] for k, e in ends.items()}) for s, (c, v, ends) in sur.SYLLABLES.items()}
     monkeypatch.setattr(sur, "SYLLABLES", few)  # 8 names of each script and kind

@@ -44,16 +44,16 @@ ANY_TITLE = "|".join(sorted(TITLES["M"] + TITLES["F"], key=len, reverse=True))
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "hex": r"[0-9a-f]{32,64}(?![A-Za-z0-9])",
+    "hex": r"[0-9a-fA-F]{32,}+(?![A-Za-z0-9])",
     "ipv4": r"(?<!\d\.)(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "card": r"(?:\d{16}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3})(?!\d)",
     "phone": r"(?:\+\d{1,3}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": rf"(?:{ANY_TITLE})\.? {NAME_WORD}(?: {NAME_WORD})?",
-    "password": r"(?<=password=)[^\s\"']{4,64}",
+    "password": r"(?<==)(?<=(?i:password=))[^\s\"']{4,}+",
 }
 # The first character decides which can fit, so that most places are passed over at once.
-FIRST = {r"[0-9a-fA+(]": ("key", "hex", "ipv4", "card", "phone", "ssn"), r"\p{Lu}": ("name",)}
+FIRST = {r"[0-9a-fA-F+(]": ("key", "hex", "ipv4", "card", "phone", "ssn"), r"\p{Lu}": ("name",)}
 ANY = "(?<![A-Za-z0-9])(?:" + "|".join(
     [PATTERNS["email"]]
     + [f"(?={first})(?:" + "|".join(PATTERNS[n] for n in names) + ")" for first, names in FIRST.items()]
@@ -82,7 +82,7 @@ def kind_of(surface: Column) -> Column:
 
 def may_hold(text: Column) -> Column:
     """False only for texts in which no pattern is found; far cheaper than the patterns."""
-    might = text.rlike("[0-9@]") | text.contains("password=")
+    might = text.rlike("[0-9@]|(?i:password=)|[a-fA-F]{32}")
     for title in TITLES["M"] + TITLES["F"]:
         might = might | text.contains(title)
     return might
@@ -151,7 +151,9 @@ def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column]
         return let(F.length(F.regexp_replace(F.substring(surface, F.lit(1), p), "[^0-9A-Za-z]", "")), lambda o: exchanged(p, o, c)) if spelled else exchanged(p, p, c)
 
     def exchanged(p: Column, order: Column, c: Column) -> Column:
-        low = F.when(c.rlike("[0-9a-f]"), pick(HEX, from_seed, order)) if hexadecimal else F.when(F.lit(False), c)
+        low = F.when(F.lit(False), c)
+        if hexadecimal:
+            low = F.when(c.rlike("[A-F]"), F.upper(pick(HEX, from_seed, order))).when(c.rlike("[0-9a-f]"), pick(HEX, from_seed, order))
         free = low.when(c.rlike("[0-9]"), pick(DIGITS, from_seed, order)).when(c.rlike("[a-z]"), pick(LOWER, from_seed, order)).when(c.rlike("[A-Z]"), F.upper(pick(LOWER, from_seed, order)))
         for script, letters in LETTERS.items():
             free = free.when(c.rlike(rf"(?=\p{{Lu}})\p{{Is{script}}}"), F.upper(pick(letters, from_seed, order))).when(c.rlike(rf"(?=\p{{L}})\p{{Is{script}}}"), pick(letters, from_seed, order))
@@ -209,6 +211,7 @@ def seeded(s: Column, kind: Column, entity: Column, surface: Column, attempt: Co
     domain_end = F.length(surface) - F.length(F.substring_index(surface, ".", -1))
     # Forms with few or no free characters get longer soon, those of a fixed length only if no other is found.
     soon, late = attempt - 1, attempt - FORMAT_ATTEMPTS
+    token = F.concat(replaced(surface, s, no, hexadecimal=True), drawn(HEX, s, late))
     plain = replaced(F.when(attempt > 0, F.regexp_replace(surface, r"[^\p{L}\p{N}]", "x")).otherwise(surface), s, no)
     return (
         F.when(kind == "ipv4", F.concat(F.concat_ws(".", part(0), part(1), part(2), part(3)), F.when(late > 0, F.concat(F.lit("."), drawn(DIGITS, s, late))).otherwise("")))
@@ -217,7 +220,7 @@ def seeded(s: Column, kind: Column, entity: Column, surface: Column, attempt: Co
         .when(kind == "ssn", F.concat(number, drawn(DIGITS, s, late)))
         .when(kind == "email", F.concat(drawn(LOWER, s, attempt), replaced(surface, s, lambda p, o: p > domain_end)))
         .when(kind == "key", F.concat(replaced(surface, s, lambda p, o: p <= 4), F.upper(drawn(LOWER, s, late))))
-        .when(kind == "hex", F.concat(replaced(surface, s, no, hexadecimal=True), drawn(HEX, s, late)))
+        .when(kind == "hex", F.when(surface.rlike("[A-F]") & ~surface.rlike("[a-f]"), F.upper(token)).otherwise(token))
         .when(kind.startswith("given"), name_of(entity, F.substring(kind, 6, 1), s, attempt))
         .when(kind == "surname", name_of(entity, F.lit("S"), s, attempt))
         .otherwise(F.concat(plain, drawn(LOWER, s, soon)))
