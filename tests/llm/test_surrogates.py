@@ -85,6 +85,29 @@ def test_secrets_in_either_case_and_of_any_length(spark):
     assert new[7].lower() != texts[7].lower()
 
 
+NAMES = {
+    "Mrs Anna Maria Smith": ["Anna", "Maria", "Smith"], "Mr McDonald": ["McDonald", "Donald"], "Mr O'Brien": ["Brien"], "Ms D’Angelo-Smith": ["Angelo", "Smith"], "Frau von Berg": ["Berg"],
+    "Mr. J. Smith": ["J.", "Smith"], "Mr J.R. van der Meer": ["J.R", "Meer"], "MR SMITH": ["SMITH"], "MRS ANNA MARIA SMITH": ["ANNA", "MARIA", "SMITH"], "Mr John McDONALD": ["John", "DONALD"],
+    "Dr Smith": ["Smith"], "Frau Prof. Dr. Ursula von der Leyen": ["Ursula", "Leyen"], "Señora María de la Cruz": ["María", "Cruz"], "Mr SMITH John": ["SMITH", "John"], "Г-жа Анна Мария Иванова": ["Анна", "Мария", "Иванова"],
+}
+
+
+def test_names_of_any_number_and_form_of_words(spark):
+    texts = [f"saw {name}, then Mrs. Smith." for name in NAMES] + ["Mr " + "Abc " * 30_000 + "end", "Señor García y Señora López", "MS SQL and Mr J. K. went"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [(r.new_text, r.n_entities) for r in replace_entities(rows, "k").orderBy("doc_id").collect()]
+    smith = re.fullmatch(r".*then Mrs\. (\w+)\.", got[0][0])[1]
+    for (new, n), (name, words) in zip(got, NAMES.items()):
+        assert n == 2 and new.startswith("saw " + name.split(" ")[0]) and new.endswith(f", then Mrs. {smith}."), (name, new)
+        assert not [w for w in words if w in new], (name, new)
+        if name.lower().endswith(" smith"):
+            assert new.lower().startswith("saw") and f" {smith.lower()}," in new.lower(), (name, new)
+    assert " von der " in got[11][0] and re.fullmatch(r"saw MRS [A-Z]+ [A-Z]+ [A-Z]+, then.*", got[8][0])
+    assert "Abc" not in got[-3][0] and got[-3][0].endswith(" end")
+    assert got[-2][1] == 2 and re.fullmatch(r"Señor \w+ y Señora \w+", got[-2][0])
+    assert got[-1] == (texts[-1], 0)
+
+
 def test_more_entities_than_forms(spark, monkeypatch):
     few = {s: (c[:2], v[:1], {k: e[:1] for k, e in ends.items()}) for s, (c, v, ends) in sur.SYLLABLES.items()}
     monkeypatch.setattr(sur, "SYLLABLES", few)  # 8 names of each script and kind

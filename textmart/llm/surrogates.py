@@ -10,8 +10,9 @@ canonical form and attempt, so all spellings of an entity change alike and keep
 punctuation and case. Kept are the end of an address's domain, a leading country digit,
 a card's first digit (and its last one is a valid check digit), the letters that mark an
 access key. IPv4 parts stay within 1 to 254. Names are made of syllables of their
-script (Latin, Cyrillic, Greek); a given name ends as names of the title's gender do; a
-surname has a form of its own, so that "Mrs Anna Smith" and "Mr Smith" share a surname.
+script (Latin, Cyrillic, Greek); a given name ends as names of the title's gender do ("Dr"
+tells none); a surname, the last word, has a form of its own, so that "Mrs Anna Smith" and
+"Mr Smith" share a surname. Particles stay, initials change without being distinct.
 
 Collision check: over all distinct entities of a type no two may get one surrogate, and
 none may get what occurs as an entity itself. Those that do try again with the next
@@ -37,9 +38,32 @@ from pyspark.sql import functions as F
 from textmart.functions.literals import let
 from textmart.llm.common import written
 
-TITLES = {"M": ["Mr", "Herr", "Monsieur", "Señor", "Г-н", "Κύριος"], "F": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Г-жа", "Κυρία"]}
-NAME_WORD = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
-ANY_TITLE = "|".join(sorted(TITLES["M"] + TITLES["F"], key=len, reverse=True))
+TITLES = {
+    "M": ["Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Г-н", "Господин", "Κύριος", "Κύριε"],
+    "F": ["Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "Srta", "Г-жа", "Госпожа", "Κυρία"],
+    "N": ["Mx", "Dr", "Prof", "Professor", "Professorin", "Doktor", "Doctor", "Д-р", "Доктор", "Профессор", "Δρ", "Καθ"],
+}
+ALL_TITLES = sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True)
+# Titles in capitals are followed by names in capitals only; "MS" is mostly a product's.
+CAPITAL_TITLES = sorted({t.upper() for t in ALL_TITLES} - {"MS"}, key=len, reverse=True)
+ANY_TITLE, ANY_CAPITAL = "|".join(ALL_TITLES), "|".join(CAPITAL_TITLES)
+LOWERS = r"[\p{Ll}\p{M}]"
+NAME_PART = rf"(?:\p{{Lu}}['’])?\p{{Lu}}{LOWERS}++(?:['’]?\p{{Lu}}{LOWERS}++)*+(?!\p{{Lu}}\p{{Lu}})"
+NAME_WORD = rf"{NAME_PART}(?:-{NAME_PART})*+"
+CAPITAL_PART = r"(?:\p{Lu}['’]|Ma?c)?\p{Lu}{2,}+"
+CAPITALS = rf"{CAPITAL_PART}(?:-{CAPITAL_PART})*+(?![\p{{Ll}}])"
+PARTICLE = r"(?:v[ao]n(?: de[rnm])? |vom |zu[rm]? |von und zu |de(?: la| los| las)? |del |della |d[aiu] |dos |das |ter |ten |af |bin |ibn |al[- ]|el[- ]|d['’])"
+TITLE_NEXT = rf"(?!(?:{ANY_TITLE}|{ANY_CAPITAL})(?![\p{{L}}]))"
+# Initials and particles before a name word; in what follows a word, "zu" and "das" are no particles.
+BEFORE = rf"(?:\p{{Lu}}\. ?)*+{PARTICLE}?"
+LATER = PARTICLE.replace("zu[rm]? |", "").replace("das |", "")
+NEXT = rf"(?: (?:\p{{Lu}}\. ?)*+{LATER}?{TITLE_NEXT}{NAME_WORD})"
+# Nothing tells where a name in capitals ends within a text in capitals: three words at most.
+IN_CAPITALS = rf"{TITLE_NEXT}{CAPITALS}(?: {TITLE_NEXT}{CAPITALS}){{0,2}}+"
+TITLE_RUN, CAPITAL_RUN = rf"(?:(?:{ANY_TITLE})\.? )", rf"(?:(?:{ANY_CAPITAL})\.? )"
+NAME = rf"(?:{TITLE_RUN}++{BEFORE}(?:{IN_CAPITALS}{NEXT}*+|{TITLE_NEXT}{NAME_WORD}{NEXT}*+(?: {TITLE_NEXT}{CAPITALS})?+)|{CAPITAL_RUN}++(?:\p{{Lu}}\. ?)*+{IN_CAPITALS})"
+# What is replaced in a name: words, and initials for themselves.
+TOKEN = rf"{CAPITALS}|{NAME_WORD}|\p{{Lu}}(?=\.)"
 # In this order where several fit at one place. None begins within a word or number.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -49,7 +73,7 @@ PATTERNS = {
     "card": r"(?:\d{16}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3})(?!\d)",
     "phone": r"(?:\+\d{1,3}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d-])",
-    "name": rf"(?:{ANY_TITLE})\.? {NAME_WORD}(?: {NAME_WORD})?",
+    "name": NAME,
     "password": r"(?<==)(?<=(?i:password=))[^\s\"']{4,}+",
 }
 # The first character decides which can fit, so that most places are passed over at once.
@@ -64,9 +88,9 @@ LETTERS = {"Cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя
 # The attempt from which forms get longer where that breaks a type's format.
 FORMAT_ATTEMPTS = 16
 SYLLABLES = {
-    "cyrillic": (list("бвгдзклмнпрст"), list("аеиоу"), {"M": ["ан", "ор", "ил"], "F": ["ана", "ина", "ея"], "S": ["енко", "ук", "ич"]}),
-    "greek": (list("βγδκλμνπρστ"), list("αειου"), {"M": ["ος", "ης", "ας"], "F": ["η", "ια", "ω"], "S": ["ίδης", "άκης", "ίου"]}),
-    "latin": (list("bdfgklmnprstvz"), list("aeiou"), {"M": ["an", "us", "or"], "F": ["a", "ina", "elle"], "S": ["son", "mann", "ez"]}),
+    "cyrillic": (list("бвгдзклмнпрст"), list("аеиоу"), {"M": ["ан", "ор", "ил"], "F": ["ана", "ина", "ея"], "N": ["ин", "ей", "аль"], "S": ["енко", "ук", "ич"]}),
+    "greek": (list("βγδκλμνπρστ"), list("αειου"), {"M": ["ος", "ης", "ας"], "F": ["η", "ια", "ω"], "N": ["ις", "ων", "ευς"], "S": ["ίδης", "άκης", "ίου"]}),
+    "latin": (list("bdfgklmnprstvz"), list("aeiou"), {"M": ["an", "us", "or"], "F": ["a", "ina", "elle"], "N": ["is", "ey", "in"], "S": ["son", "mann", "ez"]}),
 }
 
 
@@ -83,8 +107,9 @@ def kind_of(surface: Column) -> Column:
 def may_hold(text: Column) -> Column:
     """False only for texts in which no pattern is found; far cheaper than the patterns."""
     might = text.rlike("[0-9@]|(?i:password=)|[a-fA-F]{32}")
-    for title in TITLES["M"] + TITLES["F"]:
-        might = might | text.contains(title)
+    starts = {t[:4] for t in ALL_TITLES + CAPITAL_TITLES}
+    for start in sorted(t for t in starts if not any(t != u and t.startswith(u) for u in starts)):
+        might = might | text.contains(start)
     return might
 
 
@@ -102,27 +127,42 @@ def canonical(kind: Column, surface: Column) -> Column:
     return F.when(kind.isin("phone", "card", "ssn"), number).when(kind.isin("key", "password"), surface).otherwise(F.lower(surface))
 
 
-def name_parts(surface: Column) -> tuple[Column, Column, Column]:
-    """Title with what follows it, given name (may be empty), surname."""
-    title = F.regexp_extract(surface, rf"^(?:{ANY_TITLE})\.? ", 0)
-    rest = F.substring_index(surface, " ", -1)
-    given = F.regexp_extract(surface, rf"^(?:{ANY_TITLE})\.? ({NAME_WORD}) ", 1)
-    return title, given, rest
+def name_parts(surface: Column) -> tuple[Column, Column]:
+    """Titles, and the rest of a name."""
+    title = F.regexp_extract(surface, rf"^(?:{TITLE_RUN}++|{CAPITAL_RUN}++)", 0)
+    return title, F.substring(surface, F.length(title) + 1, F.length(surface))
 
 
 def gender_of(title: Column) -> Column:
-    return F.when(F.rtrim(F.regexp_replace(title, r"\. ?$", "")).isin(*TITLES["F"]), "F").otherwise("M")
+    def one(gender: str) -> Column:
+        names = "|".join(sorted({x for t in TITLES[gender] for x in (t, t.upper())}, key=len, reverse=True))
+        return title.rlike(rf"(?:^| )(?:{names})\.? ")
+
+    return F.when(one("F"), "F").when(one("M"), "M").otherwise("N")
+
+
+def name_kinds(title: Column, words: Column) -> Column:
+    """The words with their kinds: the last is the surname, initials have one of their own."""
+
+    def of(word: Column, i: Column) -> Column:
+        kind = F.when(i == F.size(words) - 1, "surname").when(F.length(word) == 1, "initial").otherwise(F.concat(F.lit("given"), gender_of(title)))
+        return F.struct(kind.alias("kind"), F.lower(word).alias("entity"), word.alias("word"))
+
+    return F.transform(words, of)
 
 
 def entities_of(surface: Column) -> Column:
-    """(kind, canonical) of what gets a surrogate of its own in a find: one, or a name's parts."""
-    title, given, surname = name_parts(surface)
-    last = F.struct(F.lit("surname").alias("kind"), F.lower(surname).alias("entity"))
-    first = F.struct(F.concat(F.lit("given"), gender_of(title)).alias("kind"), F.lower(given).alias("entity"))
+    """(kind, canonical) of what gets a surrogate of its own in a find: one, or a name's words.
+
+    Initials are too few to be distinct and are no entities.
+    """
+    title, rest = name_parts(surface)
+    kinds = let(F.regexp_extract_all(rest, F.lit(TOKEN), 0), lambda words: name_kinds(title, words))
+    parts = F.transform(F.filter(kinds, lambda w: w.kind != "initial"), lambda w: F.struct(w.kind.alias("kind"), w.entity.alias("entity")))
 
     def of(kind: Column) -> Column:
         whole = F.array(F.struct(kind.alias("kind"), canonical(kind, surface).alias("entity")))
-        return F.when(kind != "name", whole).when(given == "", F.array(last)).otherwise(F.array(first, last))
+        return F.when(kind == "name", parts).otherwise(whole)
 
     return let(kind_of(surface), of)
 
@@ -185,12 +225,13 @@ def with_check_digit(number: Column) -> Column:
 
 
 def name_of(entity: Column, sort: Column, from_seed: Column, attempt: Column) -> Column:
-    """A capitalised name of the entity's script with an ending of its sort (M, F or S); a syllable more for each attempt."""
+    """A capitalised name of the entity's script with an ending of its sort (M, F, N or S); a syllable more for each attempt."""
     names = {}
     for script, (consonants, vowels, endings) in SYLLABLES.items():
         heads, tails = F.array(*map(F.lit, consonants)), F.array(*map(F.lit, vowels))
         ending = F.array(*map(F.lit, endings["S"]))
-        ending = F.when(sort == "M", F.array(*map(F.lit, endings["M"]))).when(sort == "F", F.array(*map(F.lit, endings["F"]))).otherwise(ending)
+        for other in ("M", "F", "N"):
+            ending = F.when(sort == other, F.array(*map(F.lit, endings[other]))).otherwise(ending)
         more = F.when(attempt > 0, F.sequence(F.lit(1), attempt)).otherwise(F.array().cast("array<int>"))
         longer = F.array_join(F.transform(more, lambda i: F.concat(pick(heads, from_seed, 2 * i + 4), pick(tails, from_seed, 2 * i + 5))), "")  # noqa: B023
         names[script] = F.concat(*[pick(heads if i % 2 == 0 else tails, from_seed, i) for i in range(4)], longer, pick(heads, from_seed, 4), pick(ending, from_seed, 5))
@@ -262,6 +303,11 @@ def entity_mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
     return parts.select("_key", "_hash", "e.kind", "e.entity").distinct()
 
 
+def woven(pieces: Column, made: Column) -> Column:
+    """The pieces with what was made between them."""
+    return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), made.alias("made")), lambda z: F.array(z.piece, F.coalesce(z.made, F.lit(""))))), "")
+
+
 def rendered(text: Column, attempts: Column, secret: str) -> Column:
     """The text with surrogates; `attempts` maps mentions to attempts beyond 0."""
 
@@ -269,16 +315,17 @@ def rendered(text: Column, attempts: Column, secret: str) -> Column:
         return surrogate(secret, kind, entity, surface, F.coalesce(F.try_element_at(attempts, mention(kind, entity)), F.lit(0)))
 
     def one(surface: Column) -> Column:
-        title, given, surname = name_parts(surface)
-        given_kind = F.concat(F.lit("given"), gender_of(title))
-        first = F.when(given == "", "").otherwise(F.concat(of(given_kind, F.lower(given), given), F.lit(" ")))
-        name = F.concat(title, first, of(F.lit("surname"), F.lower(surname), surname))
+        title, rest = name_parts(surface)
+        as_word = lambda w, made: F.when((F.length(w) > 1) & (w == F.upper(w)), F.upper(made)).otherwise(made)
+        word = lambda w: as_word(w.word, of(w.kind, w.entity, w.word))
+        words = F.transform(let(F.regexp_extract_all(rest, F.lit(TOKEN), 0), lambda ws: name_kinds(title, ws)), word)
+        name = F.concat(title, woven(F.split(rest, TOKEN, -1), words))
         plain = lambda kind: let(canonical(kind, surface), lambda entity: of(kind, entity, surface))
         return let(kind_of(surface), lambda kind: F.when(kind == "name", name).otherwise(plain(kind)))
 
     pieces = F.split(text, ANY, -1)
     made = F.transform(found_in(text), one)
-    return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), made.alias("made")), lambda z: F.array(z.piece, F.coalesce(z.made, F.lit(""))))), "")
+    return woven(pieces, made)
 
 
 def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text", new_text: str = "new_text", n_entities: str = "n_entities") -> DataFrame:
