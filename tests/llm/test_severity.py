@@ -33,6 +33,18 @@ def test_held_out_accuracy_and_order(spark):
     assert mean(1) > 1 > mean(0)
 
 
+def test_clean_words_around_a_toxic_passage_do_not_hide_it(spark):
+    docs, labels = corpus(600, 1)
+    model = fit_severity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    rng = np.random.default_rng(5)
+    clean = lambda n: [f"w{i}" for i in rng.integers(0, 300, n)]
+    passage = [w for bad in BAD * 2 for w in [*clean(5), bad]]
+    texts = [clean(before) + toxic * passage + clean(n - before) for n in (0, 500, 5_000, 20_000) for before in (0, n // 3, n) for toxic in (0, 1)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.p_toxic >= 0.5 for r in score_severity(frame, model).collect()}
+    assert [got[i] for i in range(len(texts))] == [False, True] * (len(texts) // 2)
+
+
 def test_ordinal_fit_recovers_order():
     rng = np.random.default_rng(0)
     x = rng.normal(0, 1, (3000, 3))

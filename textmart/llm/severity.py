@@ -3,8 +3,11 @@
 P(grade <= j) = sigmoid(threshold_j - w.x): one weight vector for all thresholds,
 which are kept in order. x holds log(1 + DENSITY * count / words) of the words and word
 beginnings of a text, for the features that tell toxic from clean texts in the labelled
-sample; shares of the text, so that long clean texts don't add up to toxic ones. The
-expected severity is the sum over j of P(grade > j).
+sample; shares of windows of WINDOW words, so that long clean texts don't add up to toxic ones. A text's windows
+overlap by half and cover it all (a shorter one counts as WINDOW words), and the one of highest score gives the text's grade,
+so that clean words around a toxic passage don't hide it. The model is fitted on whole
+texts first, then REFITS times on the window of highest score of each text.
+The expected severity is the sum over j of P(grade > j).
 
 The labels say toxic or not. Grades 1..GRADES of toxic texts are the parts of equal
 size of their order by how many marked words they hold (features that are MARKED times
@@ -32,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmart.llm.common import arrow_texts, ascii_words, by_value, gathered
+from textmart.llm.common import arrow_texts, ascii_words, by_value, gathered, written
 
 SAMPLE = 2000
 GRADES = 3
 DENSITY = 500.0
 MARKED = 8.0
 PREFIX = 5
+WINDOW, REFITS = 200, 2
 # P(grade > 0) from which a text is rejected.
 REJECT = 0.5
 # Chi-square beyond chance among 100,000 features, and the least number of sample texts with the feature.
@@ -56,8 +60,11 @@ def word_features(word: str) -> list[int]:
     return out
 
 
-def text_features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Each text's distinct features (or their places in sorted `wanted`), counts and values."""
+def text_features(texts: pa.Array, wanted: np.ndarray | None = None, window: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each text's distinct features (or their places in sorted `wanted`), counts and values.
+
+    With a window: those of each window of so many words, overlapping by half, in a list for each text.
+    """
     index, vocabulary, first = ascii_words(texts)
     of_word = [word_features(w) for w in vocabulary.to_pylist()]
     flat = np.array([f for fs in of_word for f in fs], np.uint64)
@@ -69,13 +76,28 @@ def text_features(texts: pa.Array, wanted: np.ndarray | None = None) -> Iterator
         sizes = np.add.reduceat(known.astype(np.int64), np.cumsum(sizes) - sizes) if len(sizes) else sizes
         flat = at[known]
     starts = np.cumsum(sizes) - sizes
-    for low, high in zip(first, first[1:]):
+
+    def of(low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words = index[low:high]
         words = words[sizes[words] > 0]
         n = sizes[words]
         place = np.repeat(starts[words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         found, counts = np.unique(flat[place], return_counts=True)
-        yield found, counts, np.log1p(DENSITY * counts / max(high - low, 1))
+        return found, counts, np.log1p(DENSITY * counts / max(high - low, window or 1))
+
+    for low, high in zip(first, first[1:]):
+        if window is None:
+            yield of(low, high)
+        else:
+            step = window // 2
+            yield [of(x, min(x + window, high)) for x in range(low, max(high - step, low + 1), step)]
+
+
+def worst_window(windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The highest score of a text's windows, with that window's features and values."""
+    scores = [float(weights[at] @ x) for at, _, x in windows]
+    best = int(np.argmax(scores))
+    return scores[best], windows[best][0], windows[best][2]
 
 
 @dataclass
@@ -142,7 +164,8 @@ def fit_severity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(low.unionAll(high)), "_key")
     kind = docs.schema[key].dataType.simpleString()
-    read = picked.select("_key", "_text", "_grade").mapInArrow(by_value(run), f"_key {kind}, _grade int, features binary, counts binary, values binary").collect()
+    picked = written(picked.select("_key", "_text", "_grade"), "labelled")
+    read = picked.mapInArrow(by_value(run), f"_key {kind}, _grade int, features binary, counts binary, values binary").collect()
     read = sorted({r["_key"]: r for r in read}.values(), key=lambda r: r["_key"])  # a repeated document counts once
     grades = np.array([r["_grade"] for r in read], np.int64)
     if not len(grades) or grades.max() == 0 or grades.min() > 0:
@@ -170,7 +193,30 @@ def fit_severity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     place = np.cumsum(used) - 1
     keep = used[cols]
     weights, thresholds = fit_ordinal(rows[keep], place[cols[keep]], values[keep], grades, int(used.sum()))
-    return Severity(features[used], weights, thresholds)
+    model = Severity(features[used], weights, thresholds)
+    grade_of = {r["_key"]: g for r, g in zip(read, grades)}
+    for _ in range(REFITS):
+        model = refitted(picked, model, grade_of)
+    return model
+
+
+def refitted(picked: DataFrame, model: Severity, grade_of: dict) -> Severity:
+    """The model fitted anew on the window of highest score of each text."""
+    kind = picked.schema["_key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in gathered(batches, "_text"):
+            worst = [worst_window(ws, model.weights) for ws in text_features(arrow_texts(table.column("_text")), model.features, WINDOW)]
+            columns = [[at.astype(np.uint32).tobytes() for _, at, _ in worst], [x.astype(np.float32).tobytes() for _, _, x in worst]]
+            yield pa.RecordBatch.from_arrays([table.column("_key").combine_chunks(), *[pa.array(c, pa.binary()) for c in columns]], names=["_key", "at", "values"])
+
+    read = picked.select("_key", "_text").mapInArrow(by_value(run), f"_key {kind}, at binary, values binary").collect()
+    read = sorted({r["_key"]: r for r in read}.values(), key=lambda r: r["_key"])
+    cols = np.concatenate([np.frombuffer(r["at"], np.uint32) for r in read]).astype(np.int64)
+    values = np.concatenate([np.frombuffer(r["values"], np.float32) for r in read]).astype(np.float64)
+    rows = np.repeat(np.arange(len(read)), [len(r["at"]) // 4 for r in read])
+    weights, thresholds = fit_ordinal(rows, cols, values, np.array([grade_of[r["_key"]] for r in read]), len(model.features))
+    return Severity(model.features, weights, thresholds)
 
 
 def score_severity(docs: DataFrame, model: Severity, text: str = "text", severity: str = "severity", p_toxic: str = "p_toxic", grade: str = "grade") -> DataFrame:
@@ -183,7 +229,7 @@ def score_severity(docs: DataFrame, model: Severity, text: str = "text", severit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = sent.value
         for table in gathered(batches, text):
-            scores = [float(mine.weights[at] @ x) for at, _, x in text_features(arrow_texts(table.column(text)), mine.features)]
+            scores = [worst_window(ws, mine.weights)[0] for ws in text_features(arrow_texts(table.column(text)), mine.features, WINDOW)]
             above = mine.above(np.array(scores))
             exactly = -np.diff(np.column_stack([np.ones(len(above)), above, np.zeros(len(above))]), axis=1)
             out = [table.column(f.name).combine_chunks() for f in kept]
