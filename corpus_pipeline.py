@@ -44,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text once, and another fifth of all tokens by weight; a row for each time a text is taken."""
+    """Every text with a word once (null, empty and blank ones go), and another fifth of all tokens by weight; a row for each time a text is taken."""
     weights = {"lang": spark.createDataFrame(LANGUAGE_WEIGHTS, "lang string, weight double")}
     mixed = mixing.mix(with_domain(docs), None, weights=weights, share=1.2, least_epochs=1)
     return mixed.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("epochs")))).select(*COLUMNS)
