@@ -10,6 +10,14 @@ def url_rules() -> str:
     return ", ".join(f"('{r[: r.index('/')]}', '{r[r.index('/') :]}', '{r}', '{v}')" for r, v in URL_RULES)
 
 
+def lower(column: str) -> str:
+    return f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def share(count: str, total: str, kept: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({count} + 5)) // ({total} + 5 * {kept})"
+
+
 ORACLES: dict[str, str] = {
     "op5_url_filter": (
         "WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), "
@@ -22,4 +30,25 @@ ORACLES: dict[str, str] = {
         "length(rule_host) DESC, rule) = 1) "
         "SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f"
     ),
+    "op12_divergence": (
+        "WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, "
+        f"regexp_extract_all({lower('text')}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents), "
+        "o AS (SELECT r, lang, source, unnest(ts) AS term FROM d), "
+        "k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY ALL HAVING count(DISTINCT r) >= 30), "
+        "g AS (SELECT DISTINCT lang, source FROM d), "
+        "c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL), "
+        "l AS (SELECT lang, sum(n) AS total, count(*) AS v FROM k GROUP BY ALL), "
+        "t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL), "
+        f"s AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {share('coalesce(c.n, 0)', 'coalesce(t.total, 0)', 'l.v')} AS p, "
+        f"{share('k.n', 'l.total', 'l.v')} AS q FROM g JOIN k USING (lang) JOIN l USING (lang) "
+        "LEFT JOIN t ON t.lang = g.lang AND t.source = g.source "
+        "LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term), "
+        "f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM s a JOIN s b "
+        "ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL), "
+        "u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b "
+        "ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source "
+        "UNION ALL SELECT lang, source, 'term', term, p - q FROM s WHERE n > 0 AND p > q), "
+        "r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u) "
+        "SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50"
+    ),
 }

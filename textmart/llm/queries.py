@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import bottomk, bpe, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
+from textmart.llm import bottomk, bpe, divergence, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
 from textmart.llm.common import small_batches
 
 WORD_BPE = "word_bpe_49k.json"
@@ -80,7 +80,11 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, folder, "documents").select("text", "lang", "source"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice)
+    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice, op12_divergence)
 }
