@@ -51,4 +51,24 @@ ORACLES: dict[str, str] = {
         "r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u) "
         "SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 50"
     ),
+    "op13_collocations": (
+        f"WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {lower('text')} AS low FROM documents), "
+        "p AS (SELECT r, lang, unnest(regexp_split_to_array(low, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t), "
+        "w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p), "
+        "n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY ALL), "
+        "s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w), "
+        "g AS (SELECT lang, ws[i : least(i + 4, len(ws))] AS win FROM s), "
+        "e AS (SELECT lang, win, unnest(range(1, len(win) + 1)) AS m FROM g), "
+        "c AS (SELECT lang, array_to_string(win[1 : m], ' ') AS phrase, m, count(*) AS a FROM e GROUP BY ALL HAVING count(*) >= 100), "
+        "k AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM c WHERE m > 1), "
+        "x AS (SELECT k.lang, k.phrase, k.m, k.a, k.k, l.a AS l, r.a AS r, n.n, "
+        "(1000::HUGEINT * k.a * n.n) // (l.a::HUGEINT * r.a) AS score FROM k JOIN n ON n.lang = k.lang "
+        "JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1 : k.k], ' ') "
+        "JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k.k + 1 :], ' ')), "
+        "b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1), "
+        "o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM b y WHERE y.lang = b.lang AND y.m > b.m AND y.a >= b.a "
+        "AND contains(' ' || y.phrase || ' ', ' ' || b.phrase || ' '))), "
+        "z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o) "
+        "SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM z WHERE rank <= 2000"
+    ),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import bottomk, bpe, divergence, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
+from textmart.llm import bottomk, bpe, collocations, divergence, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
 from textmart.llm.common import small_batches
 
 WORD_BPE = "word_bpe_49k.json"
@@ -84,7 +84,11 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents").select("text", "lang", "source"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.phrases(table(spark, folder, "documents").select("text", "lang"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice, op12_divergence)
+    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice, op12_divergence, op13_collocations)
 }
