@@ -30,6 +30,12 @@ ORACLES: dict[str, str] = {
         "length(rule_host) DESC, rule) = 1) "
         "SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f"
     ),
+    "op11_warc": (
+        "WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages), "
+        "m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS top FROM p) "
+        "SELECT page_id, payload_bytes, payload_digest, CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, "
+        "CASE WHEN top <> page_id THEN top END AS refers_to FROM m"
+    ),
     "op12_divergence": (
         "WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, "
         f"regexp_extract_all({lower('text')}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents), "

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmart.llm import bottomk, bpe, collocations, divergence, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter
+from textmart.llm import bottomk, bpe, collocations, divergence, interpolation, lattice, mixing, segment_search, severity, surrogates, token_counts, url_filter, warc
 from textmart.llm.common import small_batches
 
 WORD_BPE = "word_bpe_49k.json"
@@ -80,6 +80,10 @@ def op10_lattice(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.linked_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.source_divergence(table(spark, folder, "documents").select("text", "lang", "source"))
 
@@ -90,5 +94,5 @@ def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice, op12_divergence, op13_collocations)
+    for f in (op1_interpolation, op2_surrogates, op3_severity, op4_token_counts, op5_url_filter, op6_mixing, op7_bpe, op8_segment_search, op9_bottomk, op10_lattice, op11_warc, op12_divergence, op13_collocations)
 }
