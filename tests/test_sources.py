@@ -176,3 +176,21 @@ def test_dictionary_csv(spark, tmp_path):
     file = tmp_path / "dictionary.csv"
     file.write_text('canonical,alias,pos\nIngles,"english (advanced)",1\n"PL/SQL",pl/sql,2\n')
     assert rows(sources.read_dictionary(spark, str(file))) == [("Ingles", "english (advanced)", 1), ("PL/SQL", "pl/sql", 2)]
+
+
+def test_default_appends_follow_any_stored_number(spark, tmp_path):
+    schema = "job_id STRING, html_text STRING"
+    one = lambda text: spark.createDataFrame([("1", text), ("2", "kept")], schema).repartition(2)
+    path = str(tmp_path / "html")
+    for text, how in (("a", {}), ("b", {"batch": 7}), ("c", {}), ("d", {})):
+        sources.write_html_csv(one(text), path, **how)
+        assert rows(sources.read_html_cache_csv(spark, path)) == [("1", text), ("2", "kept")]
+    sources.write_html_csv(one("e").withColumn("seq", F.lit(40)), path)
+    sources.write_html_csv(one("f"), path)
+    assert rows(sources.read_html_cache_csv(spark, path)) == [("1", "f"), ("2", "kept")]
+    # Without the note the files tell.
+    import shutil
+
+    shutil.copytree(path, tmp_path / "bare", ignore=lambda _, names: [n for n in names if n == "_appends"])
+    sources.write_html_csv(one("g"), str(tmp_path / "bare"))
+    assert rows(sources.read_html_cache_csv(spark, str(tmp_path / "bare"))) == [("1", "g"), ("2", "kept")]

@@ -87,3 +87,43 @@ def test_uncommitted_changes_are_not_read(spark, tmp_path):
     lost.write.parquet(f"{store}/changes/batch_id=1")
     assert rows(SU.current(spark, store, "job_id")) == before
     assert spark.createDataFrame(BATCHES[0], UPSERT).select(F.count("*")).first()[0] == 3
+
+
+def upsert(spark, store, checkpoint, feed, *batches):
+    for batch in batches:
+        spark.createDataFrame(batch, UPSERT).write.mode("append").parquet(feed)
+        SU.stream_upsert(spark.readStream.schema(UPSERT).parquet(feed), "job_id", "seq", store, checkpoint)
+
+
+def test_a_new_checkpoint_loses_no_stored_row(spark, tmp_path):
+    for compact in (False, True):
+        base = tmp_path / str(compact)
+        store = str(base / "store")
+        upsert(spark, store, str(base / "one"), str(base / "feed1"), *BATCHES)
+        if compact:
+            SU.compact(spark, store, "job_id")
+            SU.compact(spark, store, "job_id")
+        more = [("3", 1, "later", [], T2), ("4", 1, "new", ["n"], T2)]
+        upsert(spark, store, str(base / "two"), str(base / "feed2"), more)
+        want = [*FINAL[:2], ("3", 1, "later", []), ("4", 1, "new", ["n"])]
+        assert rows(SU.current(spark, store, "job_id").select("job_id", "seq", "title", "skills")) == want
+        # The first stream goes on after the second one wrote, and after another snapshot.
+        SU.compact(spark, store, "job_id")
+        upsert(spark, store, str(base / "one"), str(base / "feed1"), [("4", 9, "newest", [], T2)])
+        want[3] = ("4", 9, "newest", [])
+        assert rows(SU.current(spark, store, "job_id").select("job_id", "seq", "title", "skills")) == want
+
+
+def test_a_batch_is_applied_once_and_an_attempt_that_failed_is_not_read(spark, tmp_path):
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "c")
+    upsert(spark, store, checkpoint, str(tmp_path / "feed"), BATCHES[0])
+    before = rows(SU.current(spark, store, "job_id"))
+    # The same batch again, as after a crash between its commit and the checkpoint's: not written.
+    SU._apply(spark.createDataFrame(BATCHES[1], UPSERT), store, checkpoint, 0)
+    assert rows(SU.current(spark, store, "job_id")) == before
+    # An attempt that began and wrote, but did not commit; another run commits after it.
+    SU._commit(spark, store, "begun", 1, "lost", 0)
+    spark.createDataFrame(BATCHES[2], UPSERT).write.parquet(f"{store}/changes/batch_id=1")
+    upsert(spark, store, str(tmp_path / "other"), str(tmp_path / "feed2"), BATCHES[1])
+    now = rows(SU.current(spark, store, "job_id").select("job_id", "seq"))
+    assert now == [("1", 2), ("2", 3), ("3", 1)]

@@ -226,12 +226,12 @@ def _matches(texts: DataFrame, text: str, dictionary: DataFrame, out: str) -> Da
     dictionary = dictionary.dropna(subset=["alias", "canonical"])
     entries = _dictionary_keys(dictionary)
     heads = _heads(dictionary)
-    longest = heads.agg(F.coalesce(F.max("longest"), F.lit(1)).alias("n")).first()["n"]
     entries = broadcast_if_small(entries.drop("n_tokens").withColumnRenamed("key", "_key"))
     key = "_text_id"
 
     tokens = texts.where(F.col(key).isNotNull()).select(key, _tokens(fold(F.col(text))).alias("tokens"))
-    # A start carries the few tokens from it on, not the whole text.
+    # A text's tokens meet the heads by their places; a start that is one then takes
+    # from the text as many tokens as the longest alias of its own head.
     starts = tokens.select(
         key,
         F.inline_outer(
@@ -241,12 +241,26 @@ def _matches(texts: DataFrame, text: str, dictionary: DataFrame, out: str) -> Da
                     i.alias("at"),
                     F.btrim(token, F.lit(SEPARATORS)).alias("head"),
                     F.get("tokens", i - 1).alias("before"),
-                    F.slice("tokens", i + 1, longest + 1).alias("ahead"),
+                    token.alias("token"),
                 ),
             )
         ),
-    ).where(F.col("at").isNotNull()).where((F.col("at") == 0) | _opens_apart(F.get("ahead", F.lit(0))) | ~_is_word(F.col("before")))
-    starts = starts.join(broadcast_if_small(heads), "head")
+    ).where(F.col("at").isNotNull()).where((F.col("at") == 0) | _opens_apart(F.col("token")) | ~_is_word(F.col("before")))
+    starts = starts.select(key, "at", "head").join(broadcast_if_small(heads), "head")
+    by_text = starts.groupBy(key).agg(F.collect_list(F.struct("at", "longest")).alias("starts"))
+    starts = tokens.dropDuplicates([key]).join(by_text, key).select(
+        key,
+        F.inline(
+            F.transform(
+                "starts",
+                lambda s: F.struct(
+                    s["at"].alias("at"),
+                    s["longest"].alias("longest"),
+                    F.slice("tokens", s["at"] + 1, s["longest"] + 1).alias("ahead"),
+                ),
+            )
+        ),
+    )
     after = F.get("ahead", F.col("n"))
     candidates = (
         starts.withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmart import rules as R
 from textmart.functions.html import extract_ids
-from textmart.operators.incremental import first_seen, not_in, take_while
+from textmart.operators.incremental import first_seen, not_in_store, take_while
 from textmart.session import scratch_path
 
 
@@ -29,7 +29,7 @@ def new_ids(found: DataFrame, stored: DataFrame) -> DataFrame:
     once = found.groupBy("term_ord", "page").agg(F.min(F.struct("url", "ids")).alias("p"))
     found = once.select("term_ord", "page", "p.url", "p.ids")
     read = take_while(found, "term_ord", "page", F.size("ids") > 0)
-    new = not_in(first_seen(_ordered(read), "ids", "page_ord"), stored, "job_id")
+    new = not_in_store(first_seen(_ordered(read), "ids", "page_ord"), stored, "job_id")
     return new.join(_ordered(found).select("page_ord", "url"), "page_ord").select("job_id", "url")
 
 

@@ -12,7 +12,7 @@ from textmart.operators.incremental import nonblank
 from textmart.operators.model import latest
 
 
-def _csv(spark: SparkSession, schema, path: str, *more: Column, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, schema, path: str, *more: Column, multi_line: bool = False) -> DataFrame:
     """The schema's columns by their names in the header, in any order; absent ones are NULL.
 
     Files of one folder share their header. Nothing is inferred but the names.
@@ -28,7 +28,7 @@ def _csv(spark: SparkSession, schema, path: str, *more: Column, multi_line: bool
 
 def read_job_ids_csv(spark: SparkSession, path: str) -> DataFrame:
     """(job_id, url) rows with an id; a missing path gives no row."""
-    rows = _load_or_empty(spark, lambda: _csv(spark, S.JOB_IDS, path), S.JOB_IDS)
+    rows = load_or_empty(spark, lambda: read_csv(spark, S.JOB_IDS, path), S.JOB_IDS)
     return nonblank(rows, "job_id")
 
 
@@ -41,9 +41,9 @@ def read_html_cache_csv(spark: SparkSession, path: str, multi_line: bool = False
     are split; set `multi_line` for files that others wrote.
     """
     place = F.struct(*[F.col(f"_metadata.{p}") for p in ("file_name", "file_block_start")])
-    raw = _load_or_empty(
+    raw = load_or_empty(
         spark,
-        lambda: _csv(spark, S.JOB_HTML_CSV, path, place.alias("_place"), multi_line=multi_line),
+        lambda: read_csv(spark, S.JOB_HTML_CSV, path, place.alias("_place"), multi_line=multi_line),
         S.JOB_HTML_CSV,
     )
     ordered = raw.withColumn("_pos", F.monotonically_increasing_id())
@@ -92,12 +92,12 @@ def read_entries_json(spark: SparkSession, path: str) -> DataFrame:
             .json(path)
         )
 
-    return _load_or_empty(spark, load, S.ENTRY)
+    return load_or_empty(spark, load, S.ENTRY)
 
 
 def read_entries_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """The splittable form: one entry per line, as `write_entries_json` writes it."""
-    return _load_or_empty(
+    return load_or_empty(
         spark,
         lambda: spark.read.schema(S.ENTRY).option("mode", "DROPMALFORMED").json(path),
         S.ENTRY,
@@ -110,10 +110,10 @@ def read_processed_ids(jobs: DataFrame, key: str = "job_id") -> DataFrame:
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Skill dictionary (canonical, alias, pos) from a CSV with header."""
-    return _csv(spark, S.DICTIONARY, path)
+    return read_csv(spark, S.DICTIONARY, path)
 
 
-def _load_or_empty(spark: SparkSession, load, schema) -> DataFrame:
+def load_or_empty(spark: SparkSession, load, schema) -> DataFrame:
     try:
         return load()
     except AnalysisException as error:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textmart import schemas as S
 from textmart.functions.text import collapse_newlines
 from textmart.operators.model import one_per_key, project, replace_children, upsert
+from textmart.sources.read import load_or_empty, read_csv
 
 
 def _csv(df: DataFrame, mode: str, quote_all: bool = False):
@@ -24,18 +25,48 @@ def append_ids_csv(ids: DataFrame, path: str) -> None:
     _csv(project(ids, S.JOB_IDS), "append").csv(path)
 
 
-def write_html_csv(pages: DataFrame, path: str, batch: int = 0) -> None:
+def write_html_csv(pages: DataFrame, path: str, batch: int | None = None) -> None:
     """Append (job_id, html_text, seq), all fields quoted, newline runs as one blank.
 
     Tasks write at any time and under any name, so the order of appends is kept in
-    `seq`: the rows' own, or else the number of the append, `batch`.
+    `seq`: the rows' own, or the number of the append, `batch`; without either the
+    number after the highest stored one. What was given out is noted in a folder beside
+    the files, so that the pages are read for it only where that note is missing. One
+    append runs at a time.
     """
+    spark, seen = pages.sparkSession, Observation()
     if "seq" not in pages.columns:
-        pages = pages.withColumn("seq", F.lit(batch).cast("long"))
-    clean = project(pages, S.JOB_HTML_CSV).withColumn(
+        number = _last_seq(spark, path) + 1 if batch is None else batch
+        pages = pages.withColumn("seq", F.lit(number).cast("long"))
+        # Noted before the rows are there: an append that fails leaves a gap.
+        _note_seq(spark, path, number)
+        observed = pages
+    else:
+        observed = pages.observe(seen, F.max(F.col("seq").cast("long")).alias("seq"))
+    clean = project(observed, S.JOB_HTML_CSV).withColumn(
         "html_text", collapse_newlines(F.col("html_text"))
     )
     _csv(clean, "append", quote_all=True).csv(path)
+    if observed is not pages and seen.get["seq"] is not None:
+        _note_seq(spark, path, seen.get["seq"])
+
+
+# Spark's readers pass over names with an underscore.
+_SEQS = "_appends"
+
+
+def _note_seq(spark: SparkSession, path: str, number: int) -> None:
+    spark.createDataFrame([(number,)], "seq LONG").coalesce(1).write.mode("append").json(f"{path}/{_SEQS}")
+
+
+def _last_seq(spark: SparkSession, path: str) -> int:
+    """The highest number given to an append; -1 where there is none."""
+    noted = load_or_empty(spark, lambda: spark.read.schema("seq LONG").json(f"{path}/{_SEQS}"), "seq LONG")
+    last = noted.agg(F.max("seq")).first()[0]
+    if last is None:
+        stored = load_or_empty(spark, lambda: read_csv(spark, S.JOB_HTML_CSV, path), S.JOB_HTML_CSV)
+        last = stored.agg(F.max("seq")).first()[0]
+    return -1 if last is None else last
 
 
 def write_entries_json(entries: DataFrame, path: str) -> None:

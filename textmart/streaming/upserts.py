@@ -6,6 +6,12 @@ the table each time. So a batch appends its own resolved rows under
 makes them visible, and `current` resolves last-write-wins when read. `compact`
 folds the changes into a snapshot now and then.
 
+N counts the writes to the store, whichever checkpoint they come from. A batch is known by its
+checkpoint's id and its number there: once committed it is not written again, and an
+attempt that ended before its commit is written anew under a new N, after all writes
+committed meanwhile. So a new checkpoint over an old store overwrites nothing, and no
+write is numbered below a snapshot. One stream writes to a store at a time.
+
 A row carries its children as an array: since an upsert replaces all children of
 a parent, the latest row of a key holds exactly its current children.
 """
@@ -18,9 +24,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textmart.operators.model import latest
 from textmart.plans.extract import build_entries
+from textmart.sizes import broadcast_if_small
+from textmart.sources.read import load_or_empty
 from textmart.streaming.first_seen import _run_available
 
-_COMMIT = "kind STRING, batch_id LONG"
+_COMMIT = "kind STRING, batch_id LONG, run STRING, run_batch LONG"
 
 
 def stream_upsert(
@@ -32,8 +40,7 @@ def stream_upsert(
         resolved = latest(batch, key, seq)
         if created not in resolved.columns:
             resolved = resolved.withColumn(created, F.current_timestamp())
-        resolved.write.mode("overwrite").parquet(f"{store}/changes/batch_id={batch_id}")
-        _commit(batch.sparkSession, store, "changes", batch_id)
+        _apply(resolved, store, checkpoint, batch_id)
 
     return _run_available(rows, write, checkpoint)
 
@@ -52,8 +59,7 @@ def stream_extract_upsert(
         pages_once = latest(batch, key, seq).select(key, html)
         entries = build_entries(pages_once, dictionary, key=key, html=html, **how)
         entries = entries.withColumn("created_at", F.current_timestamp())
-        entries.write.mode("overwrite").parquet(f"{store}/changes/batch_id={batch_id}")
-        _commit(batch.sparkSession, store, "changes", batch_id)
+        _apply(entries, store, checkpoint, batch_id)
 
     return _run_available(pages, write, checkpoint)
 
@@ -63,12 +69,14 @@ def current(
 ) -> DataFrame:
     """The upserted table: latest values per key, creation time of the first write."""
     base, upto = _snapshot(spark, store)
-    last = _last_commit(spark, store, "changes")
+    # One narrow row for each write since the snapshot.
+    made = _commits(spark, store).where((F.col("kind") == "changes") & (F.col("batch_id") > upto))
+    made = broadcast_if_small(made.select("batch_id").distinct())
     changes = (
         spark.read.option("basePath", f"{store}/changes")
         .parquet(f"{store}/changes")
-        .where((F.col("batch_id") > upto) & (F.col("batch_id") <= last))
         .withColumn("batch_id", F.col("batch_id").cast("long"))
+        .join(made, "batch_id", "left_semi")
     )
     # Only the changes are resolved; the snapshot has one row per key and stays in place.
     by_batch = Window.partitionBy(key).orderBy(F.col("batch_id").desc())
@@ -89,7 +97,9 @@ def current(
 
 def compact(spark: SparkSession, store: str, key: str, created: str = "created_at") -> None:
     """Write the current table as a new snapshot; older changes are no longer read."""
-    last = _last_commit(spark, store, "changes")
+    last, upto = _last_commit(spark, store, "changes"), _last_commit(spark, store, "snapshot")
+    if last <= upto:
+        return
     current(spark, store, key, created).write.mode("overwrite").parquet(
         f"{store}/snapshot-{last}"
     )
@@ -100,16 +110,35 @@ def children_of(table: DataFrame, key: str, items: str, item: str) -> DataFrame:
     return table.select(key, F.explode(items).alias(item))
 
 
-def _commit(spark: SparkSession, store: str, kind: str, batch_id: int) -> None:
-    # An appended row appears at once or not at all; a replay appends an equal one.
-    spark.createDataFrame([(kind, batch_id)], _COMMIT).coalesce(1).write.mode("append").json(
-        f"{store}/commits"
-    )
+def _apply(rows: DataFrame, store: str, checkpoint: str, run_batch: int) -> None:
+    """Write a micro-batch's rows and commit them, unless this batch is committed already."""
+    spark = rows.sparkSession
+    run = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+    commits = _commits(spark, store)
+    own = (F.col("kind") == "changes") & (F.col("run") == run) & (F.col("run_batch") == run_batch)
+    if not commits.where(own).isEmpty():
+        return
+    # Numbers once begun are not given again: what was not committed is never read.
+    number = commits.agg(F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).first()[0]
+    _commit(spark, store, "begun", number, run, run_batch)
+    rows.write.mode("overwrite").parquet(f"{store}/changes/batch_id={number}")
+    _commit(spark, store, "changes", number, run, run_batch)
+
+
+def _commit(
+    spark: SparkSession, store: str, kind: str, number: int, run: str | None = None, run_batch: int | None = None
+) -> None:
+    # An appended row appears at once or not at all.
+    row = spark.createDataFrame([(kind, number, run, run_batch)], _COMMIT)
+    row.coalesce(1).write.mode("append").json(f"{store}/commits")
+
+
+def _commits(spark: SparkSession, store: str) -> DataFrame:
+    return load_or_empty(spark, lambda: spark.read.schema(_COMMIT).json(f"{store}/commits"), _COMMIT)
 
 
 def _last_commit(spark: SparkSession, store: str, kind: str) -> int:
-    commits = spark.read.schema(_COMMIT).json(f"{store}/commits")
-    last = commits.where(F.col("kind") == kind).agg(F.max("batch_id")).first()[0]
+    last = _commits(spark, store).where(F.col("kind") == kind).agg(F.max("batch_id")).first()[0]
     return -1 if last is None else last
 
 
