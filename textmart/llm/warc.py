@@ -185,6 +185,11 @@ def write_archives(pages: DataFrame, root: str, page_id: str = "page_id", url: s
     return written(rows.mapInArrow(by_value(write), "key string, file string, offset long, length long"), "captures")
 
 
+def tasks(df: DataFrame) -> int:
+    """The session's shuffle partitions. Said as a number, they are not made fewer because rows are narrow: each costs a read."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 class Index(NamedTuple):
     """The index files' folder and, in order, their first keys and names; and the archives' folder."""
 
@@ -225,8 +230,7 @@ def build_index(captures: DataFrame, folder: str, archives: str, block_lines: in
         if directory:
             yield pa.record_batch([pa.array([directory[0][0]]), pa.array([name])], names=["first", "file"])
 
-    n_files = captures.count() / file_lines
-    n_files = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_FILES, math.ceil(n_files)))
+    n_files = max(tasks(captures), min(MOST_FILES, math.ceil(captures.count() / file_lines)))
     rows = captures.repartitionByRange(n_files, "key", "file", "offset").sortWithinPartitions("key", "file", "offset")
     files = written(rows.mapInArrow(by_value(write), "first string, file string"), "index_files")
     # One row for each index file, n_files at most.
@@ -289,7 +293,7 @@ def lookup(wanted: DataFrame, index: Index, key: str = "key") -> DataFrame:
             yield pa.record_batch([pa.array(keys, pa.string()), pa.array(files, pa.string()), pa.array(map(int, offsets), pa.int64()), pa.array(map(int, lengths), pa.int64())], names=["key", "file", "offset", "length"])
 
     keys = written(wanted.select(F.col(key).alias("key")).where("key is not null").distinct(), "wanted")
-    rows = keys.repartitionByRange("key").sortWithinPartitions("key")
+    rows = keys.repartitionByRange(tasks(keys), "key").sortWithinPartitions("key")
     return written(rows.mapInArrow(by_value(probe), "key string, file string, offset long, length long"), "found")
 
 
@@ -320,7 +324,7 @@ def read_records(captures: DataFrame, index: Index, payload: bool = True) -> Dat
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()])], names=list(Record._fields))
                 i = j
 
-    rows = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    rows = captures.select("file", "offset", "length").repartitionByRange(tasks(captures), "file", "offset").sortWithinPartitions("file", "offset")
     return rows.mapInArrow(by_value(read), "page_id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload binary")
 
 
