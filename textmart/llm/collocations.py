@@ -51,6 +51,7 @@ SAMPLE = 400_000
 HELD = 3_000_000
 # Looked-up parts of one task.
 LOOKUPS = 50_000
+DEAL = 32
 # Kinds of bytes: 1 between words, 2 between pieces. Bytes of longer characters belong to words.
 KIND = np.zeros(256, np.uint8)
 KIND[[0x20, 0x09]] = 1
@@ -182,7 +183,7 @@ def count_phrases(docs: DataFrame, bounds: list[tuple[str, ...]], low: int, high
     rows = docs.mapInArrow(by_value(count), "range int, salt int, counts binary")
     if width > 1:
         rows = rows.repartition("range", "salt").sortWithinPartitions("range").mapInArrow(by_value(recut), rows.schema)
-    ranged = rows.repartition(min(len(bounds) + 1, 4 * FAN), "range").sortWithinPartitions("range")
+    ranged = rows.repartitionById(len(bounds) + 1, "range").sortWithinPartitions("range")
     return written(ranged.mapInArrow(by_value(unite), "range int, counts binary, bits array<long>, totals map<string, long>"), f"phrases{high}")
 
 
@@ -280,5 +281,9 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     told = found.where("longer is not null").select("lang", "phrase", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("n"), F.lit(None).cast(scored.schema["cut"].dataType).alias("cut"), "longer")
     best = scored.unionAll(told).groupBy("lang", "phrase").agg(F.max("a").alias("a"), F.max("n").alias("n"), F.min("cut").alias("cut"), F.max("longer").alias("longer"))
     best = best.where("a is not null and (longer is null or longer < a)").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    return best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # Of a language's DEAL parts each gives its first ones, so the last task has DEAL * top rows at most.
+    best = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(DEAL)))
+    best = best.withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("place") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
