@@ -474,3 +474,10 @@ ORACLES: dict[str, str] = {
         f"FROM ({LAST_EVENT})"
     ),
 }
+
+# The same rows by another way.
+ORACLES |= {
+    "stream_take_while": ORACLES["take_while_pages"],
+    "src_cache_default_appends": ORACLES["src_cache_last_wins"],
+    "stream_upsert_two_checkpoints": f"SELECT user_id, event_id, event_type FROM ({LAST_EVENT})",
+}

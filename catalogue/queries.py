@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogue import standins as N
@@ -22,6 +22,7 @@ from textmart.plans import analyse, collect, extract
 from textmart.session import scratch_path
 from textmart.sizes import spread
 from textmart.streaming import first_seen as SF
+from textmart.streaming import take_while as TW
 from textmart.streaming import upserts as SU
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -827,6 +828,22 @@ def src_json_tolerant(spark, sf):
     return sources.read_entries_json_lines(spark, path).withColumn("skills", joined("skills"))
 
 
+@query
+def src_cache_default_appends(spark, sf):
+    """Two appends without a number or a column that orders them: the later one wins."""
+    path = scratch_path(spark, "html")
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.lit(" "), F.col("page_id").cast("string")).alias("job_id"),
+        F.col("html").alias("html_text"),
+    )
+    docs = table(spark, sf, "documents").select(
+        (2 * F.col("doc_id")).cast("string").alias("job_id"), F.col("text").alias("html_text")
+    )
+    sources.write_html_csv(pages.repartition(5), path)
+    sources.write_html_csv(docs.repartition(5), path)
+    return sources.read_html_cache_csv(spark, path)
+
+
 @query
 def ensure_schema(spark, sf):
     """The tables, created twice, in a database of their own below the scratch folder."""
@@ -872,6 +889,20 @@ def stream_first_seen(spark, sf):
     return SF.read_store(spark, store).select("job_id", "page_id")
 
 
+@query
+def stream_take_while(spark, sf):
+    """A user's events are its pages, numbered in order; they arrive in three parts across that order."""
+    store, checkpoint, folder = (scratch_path(spark, n) for n in ("read", "checkpoint", "feed"))
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    pages = events.withColumn("page", number.cast("long"))
+    for i in (2, 0, 1):
+        pages.where(F.col("event_id") % 3 == i).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(pages.schema).parquet(folder)
+        TW.stream_take_while(stream, "user_id", "page", F.col("event_type") != "error", store, checkpoint)
+    return spark.read.parquet(store).select("user_id", "event_id", "event_type")
+
+
 @query
 def stream_extract_upsert(spark, sf):
     """Pages arrive in three parts, the stream is restarted for each; entries with their terms."""
@@ -909,3 +940,17 @@ def stream_upsert(spark, sf):
             SU.compact(spark, store, "user_id")
     now = SU.current(spark, store, "user_id")
     return now.select("user_id", "event_id", "event_type", joined("skills").alias("skills"))
+
+
+@query
+def stream_upsert_two_checkpoints(spark, sf):
+    """Two streams with checkpoints of their own write to one store: what each stored stays."""
+    store = scratch_path(spark, "upserts")
+    events = table(spark, sf, "events").select("user_id", "event_id", "event_type", F.col("ts").alias("created_at"))
+    half = events.agg(F.avg("event_id")).first()[0]
+    for part in (events.where(F.col("event_id") < half), events.where(F.col("event_id") >= half)):
+        folder = scratch_path(spark, "feed")
+        part.write.parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        SU.stream_upsert(stream, "user_id", "event_id", store, scratch_path(spark, "checkpoint"))
+    return SU.current(spark, store, "user_id").select("user_id", "event_id", "event_type")

@@ -1,10 +1,12 @@
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from textmart.operators.incremental import first_seen
+from textmart.operators.incremental import first_seen, take_while
 from textmart.streaming import first_seen as SF
 from textmart.streaming import upserts as SU
+from textmart.streaming.take_while import stream_take_while
 
 
 def rows(df):
@@ -127,3 +129,48 @@ def test_a_batch_is_applied_once_and_an_attempt_that_failed_is_not_read(spark, t
     upsert(spark, store, str(tmp_path / "other"), str(tmp_path / "feed2"), BATCHES[1])
     now = rows(SU.current(spark, store, "job_id").select("job_id", "seq"))
     assert now == [("1", 2), ("2", 3), ("3", 1)]
+
+
+def test_first_seen_follows_a_hot_id_and_null_pages(spark, tmp_path):
+    schema = "page INT, ids ARRAY<STRING>"
+    pages = [(p, ["hot", f"own{p}", None]) for p in range(40, 0, -1)] + [(None, ["nowhere"]), (50, None), (51, [])]
+    feed, store = str(tmp_path / "feed"), str(tmp_path / "store")
+    spark.createDataFrame(pages, schema).repartition(4).write.parquet(feed)
+    SF.stream_first_seen(spark.readStream.schema(schema).parquet(feed), "ids", "page", store, str(tmp_path / "c"))
+    want = sorted([("hot", 1)] + [(f"own{p}", p) for p in range(1, 41)], key=repr)
+    assert rows(SF.read_store(spark, store).select("job_id", "page")) == want
+
+
+def test_a_first_batch_that_failed_is_written_again(spark, tmp_path):
+    """Its output is there, its commit is not: it must not take its own output for known."""
+    import shutil
+
+    schema = "page INT, ids ARRAY<STRING>"
+    feed, store, checkpoint = (str(tmp_path / n) for n in ("feed", "store", "c"))
+    spark.createDataFrame(PAGES, schema).write.parquet(feed)
+    stream = lambda: spark.readStream.schema(schema).parquet(feed)
+    SF.stream_first_seen(stream(), "ids", "page", store, checkpoint)
+    before = rows(SF.read_store(spark, store))
+    for part in ("commits", "state"):
+        shutil.rmtree(f"{checkpoint}/{part}")
+    SF.stream_first_seen(stream(), "ids", "page", store, checkpoint)
+    assert rows(SF.read_store(spark, store)) == before
+
+
+def test_take_while_in_any_order_of_arrival(spark, tmp_path):
+    rng = random.Random(4)
+    pages = [(t, p, p != stop and rng.random() < 0.97, f"u{t}-{p}") for t, stop in (("a", 3), ("b", 0), ("c", 99), (None, 5)) for p in range(9)]
+    schema = "term STRING, page LONG, full BOOLEAN, url STRING"
+    batch = take_while(spark.createDataFrame(pages, schema).withColumn("k", F.coalesce("term", F.lit("-"))), "k", "page", F.col("full"))
+    want = rows(batch.select("term", "page", "full", "url"))
+    assert want
+    for seed in range(2):
+        random.Random(seed).shuffle(pages)
+        feed, store, checkpoint = (str(tmp_path / f"{n}{seed}") for n in ("feed", "store", "c"))
+        # A page that comes again is ignored.
+        again = [("a", 0, True, "again"), ("b", 0, True, "again"), ("a", None, True, "no number")]
+        for part in (pages[0::3], pages[1::3], pages[2::3], again):
+            spark.createDataFrame(part, schema).write.mode("append").parquet(feed)
+            stream_take_while(spark.readStream.schema(schema).parquet(feed), "term", "page", F.col("full"), store, checkpoint)
+        got = spark.read.parquet(store).select("term", "page", "full", "url")
+        assert rows(got) == want

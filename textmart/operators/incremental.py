@@ -89,12 +89,12 @@ def take_while(df: DataFrame, key: str, order: str, keep: Column) -> DataFrame:
     )
 
 
-def _item_counts(pages: DataFrame, ids: str, page: str, id_name: str) -> DataFrame:
+def item_counts(pages: DataFrame, ids: str, page: str, id_name: str) -> DataFrame:
     """(page, id, copies on that page), counted inside each page's own row.
 
     The counts are run lengths of the sorted array, so no shuffle is needed.
     """
-    sorted_ids = pages.select(F.col(page).alias("_page"), F.array_sort(ids).alias("_ids"))
+    sorted_ids = pages.select(F.col(page).alias("_page"), F.array_sort(F.array_compact(ids)).alias("_ids"))
     starts = sorted_ids.select(
         "_page",
         F.size("_ids").alias("_size"),
@@ -123,7 +123,7 @@ def first_seen(pages: DataFrame, ids: str, page: str, id_name: str = "job_id") -
     no task ever holds the rows of a hot id.
     """
     first = (
-        _item_counts(pages, ids, page, id_name)
+        item_counts(pages, ids, page, id_name)
         .groupBy(id_name)
         .agg(F.min("_page").alias(page), F.min_by("_n", "_page").alias("_n"))
     )
