@@ -30,6 +30,7 @@ columns are kept; `n_entities` and `new_text` are replaced.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -113,10 +114,6 @@ def may_hold(text: Column) -> Column:
     return might
 
 
-def holds(text: Column) -> Column:
-    return F.when(may_hold(text), text.rlike(ANY)).otherwise(False)
-
-
 def found_in(text: Column) -> Column:
     """The entities of a text, in order, as they are written."""
     return F.regexp_extract_all(text, F.lit(ANY), 0)
@@ -179,7 +176,7 @@ def pick(values: Column | str, from_seed: Column, place: Column | int) -> Column
     return F.get(values, F.pmod(F.xxhash64(from_seed, place), F.size(values)).cast("int"))
 
 
-def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column], Column], hexadecimal: bool = False, spelled: bool = False) -> Column:
+def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column], Column], hexadecimal: Column, spelled: Column) -> Column:
     """Each letter and digit exchanged for one of its class and script; `kept(place, order)` says which stay.
 
     A character is drawn by its place, or, where an entity can be `spelled` with other punctuation,
@@ -188,17 +185,17 @@ def replaced(surface: Column, from_seed: Column, kept: Callable[[Column, Column]
 
     def one(c: Column, i: Column) -> Column:
         p = i + 1
-        return let(F.length(F.regexp_replace(F.substring(surface, F.lit(1), p), "[^0-9A-Za-z]", "")), lambda o: exchanged(p, o, c)) if spelled else exchanged(p, p, c)
-
-    def exchanged(p: Column, order: Column, c: Column) -> Column:
-        low = F.when(F.lit(False), c)
-        if hexadecimal:
-            low = F.when(c.rlike("[A-F]"), F.upper(pick(HEX, from_seed, order))).when(c.rlike("[0-9a-f]"), pick(HEX, from_seed, order))
-        free = low.when(c.rlike("[0-9]"), pick(DIGITS, from_seed, order)).when(c.rlike("[a-z]"), pick(LOWER, from_seed, order)).when(c.rlike("[A-Z]"), F.upper(pick(LOWER, from_seed, order)))
-        for script, letters in LETTERS.items():
-            free = free.when(c.rlike(rf"(?=\p{{Lu}})\p{{Is{script}}}"), F.upper(pick(letters, from_seed, order))).when(c.rlike(rf"(?=\p{{L}})\p{{Is{script}}}"), pick(letters, from_seed, order))
-        free = free.when(c.rlike(r"\p{Lu}"), F.upper(pick(LOWER, from_seed, order))).when(c.rlike(r"\p{L}"), pick(LOWER, from_seed, order)).when(c.rlike(r"\p{N}"), pick(DIGITS, from_seed, order))
-        return F.when(kept(p, order), c).otherwise(free.otherwise(c))
+        order = F.when(spelled, F.length(F.regexp_replace(F.substring(surface, F.lit(1), p), "[^0-9A-Za-z]", ""))).otherwise(p)
+        return let(order, lambda o: F.when(kept(p, o), c).otherwise(exchanged(o, c)))
+
+    def exchanged(order: Column, c: Column) -> Column:
+        # The letters to draw from and whether the drawn one is a capital.
+        letters = F.when(hexadecimal & c.rlike("[0-9a-fA-F]"), HEX).when(c.rlike(r"[0-9]|[^\p{L}]"), DIGITS)
+        for script, alphabet in LETTERS.items():
+            letters = letters.when(c.rlike(rf"\p{{Is{script}}}"), alphabet)
+        drawn_one = let(letters.otherwise(LOWER), lambda values: F.substring(values, F.pmod(F.xxhash64(from_seed, order), F.length(values)).cast("int") + 1, F.lit(1)))
+        made = F.when(c.rlike(r"\p{Lu}"), F.upper(drawn_one)).otherwise(drawn_one)
+        return F.when(c.rlike(r"[\p{L}\p{N}]"), made).otherwise(c)
 
     return F.array_join(F.transform(F.split(surface, ""), one), "")
 
@@ -226,17 +223,21 @@ def with_check_digit(number: Column) -> Column:
 
 def name_of(entity: Column, sort: Column, from_seed: Column, attempt: Column) -> Column:
     """A capitalised name of the entity's script with an ending of its sort (M, F, N or S); a syllable more for each attempt."""
-    names = {}
-    for script, (consonants, vowels, endings) in SYLLABLES.items():
-        heads, tails = F.array(*map(F.lit, consonants)), F.array(*map(F.lit, vowels))
-        ending = F.array(*map(F.lit, endings["S"]))
-        for other in ("M", "F", "N"):
-            ending = F.when(sort == other, F.array(*map(F.lit, endings[other]))).otherwise(ending)
+
+    def parts(script: str) -> Column:
+        heads, tails, endings = SYLLABLES[script]
+        sorts = F.create_map(*[x for k, ends in endings.items() for x in (F.lit(k), F.array(*map(F.lit, ends)))])
+        return F.struct(F.lit("".join(heads)).alias("heads"), F.lit("".join(tails)).alias("tails"), sorts.alias("sorts"))
+
+    def made(of: Column) -> Column:
+        letter = lambda values, i: F.substring(values, F.pmod(F.xxhash64(from_seed, i), F.length(values)).cast("int") + 1, F.lit(1))
         more = F.when(attempt > 0, F.sequence(F.lit(1), attempt)).otherwise(F.array().cast("array<int>"))
-        longer = F.array_join(F.transform(more, lambda i: F.concat(pick(heads, from_seed, 2 * i + 4), pick(tails, from_seed, 2 * i + 5))), "")  # noqa: B023
-        names[script] = F.concat(*[pick(heads if i % 2 == 0 else tails, from_seed, i) for i in range(4)], longer, pick(heads, from_seed, 4), pick(ending, from_seed, 5))
-    made = F.when(entity.rlike(r"\p{IsCyrillic}"), names["cyrillic"]).when(entity.rlike(r"\p{IsGreek}"), names["greek"]).otherwise(names["latin"])
-    return F.initcap(made)
+        syllables = F.array_join(F.transform(more, lambda i: F.concat(letter(of.heads, 2 * i + 4), letter(of.tails, 2 * i + 5))), "")
+        first = F.array_join(F.transform(F.array(*[F.lit(i) for i in range(4)]), lambda i: letter(F.when(i % 2 == 0, of.heads).otherwise(of.tails), i)), "")
+        return F.initcap(F.concat(first, syllables, letter(of.heads, F.lit(4)), pick(F.element_at(of.sorts, sort), from_seed, 5)))
+
+    script = F.when(entity.rlike(r"\p{IsCyrillic}"), parts("cyrillic")).when(entity.rlike(r"\p{IsGreek}"), parts("greek")).otherwise(parts("latin"))
+    return let(script, made)
 
 
 def surrogate(key: str, kind: Column, entity: Column, surface: Column, attempt: Column) -> Column:
@@ -245,27 +246,35 @@ def surrogate(key: str, kind: Column, entity: Column, surface: Column, attempt:
 
 
 def seeded(s: Column, kind: Column, entity: Column, surface: Column, attempt: Column) -> Column:
-    no = lambda p, o: F.lit(False)
+    """One exchange of characters serves all kinds but addresses and names; what differs is chosen before and after it."""
     part = lambda i: (1 + F.pmod(F.xxhash64(s, F.lit(i)), F.lit(254))).cast("string")
-    first = lambda p, o: o == 1
-    number = F.when(surface.startswith("+"), replaced(surface, s, first, spelled=True)).otherwise(replaced(surface, s, no, spelled=True))
     domain_end = F.length(surface) - F.length(F.substring_index(surface, ".", -1))
     # Forms with few or no free characters get longer soon, those of a fixed length only if no other is found.
     soon, late = attempt - 1, attempt - FORMAT_ATTEMPTS
-    token = F.concat(replaced(surface, s, no, hexadecimal=True), drawn(HEX, s, late))
-    plain = replaced(F.when(attempt > 0, F.regexp_replace(surface, r"[^\p{L}\p{N}]", "x")).otherwise(surface), s, no)
-    return (
-        F.when(kind == "ipv4", F.concat(F.concat_ws(".", part(0), part(1), part(2), part(3)), F.when(late > 0, F.concat(F.lit("."), drawn(DIGITS, s, late))).otherwise("")))
-        .when(kind == "card", F.concat(with_check_digit(replaced(surface, s, first, spelled=True)), drawn(DIGITS, s, late)))
-        .when(kind == "phone", F.concat(number, drawn(DIGITS, s, soon)))
-        .when(kind == "ssn", F.concat(number, drawn(DIGITS, s, late)))
-        .when(kind == "email", F.concat(drawn(LOWER, s, attempt), replaced(surface, s, lambda p, o: p > domain_end)))
-        .when(kind == "key", F.concat(replaced(surface, s, lambda p, o: p <= 4), F.upper(drawn(LOWER, s, late))))
-        .when(kind == "hex", F.when(surface.rlike("[A-F]") & ~surface.rlike("[a-f]"), F.upper(token)).otherwise(token))
-        .when(kind.startswith("given"), name_of(entity, F.substring(kind, 6, 1), s, attempt))
-        .when(kind == "surname", name_of(entity, F.lit("S"), s, attempt))
-        .otherwise(F.concat(plain, drawn(LOWER, s, soon)))
-    )
+
+    def kept(p: Column, o: Column) -> Column:
+        leading = (kind == "card") | ((kind == "phone") & surface.startswith("+"))
+        return F.when(leading, o == 1).when(kind == "email", p > domain_end).when(kind == "key", p <= 4).otherwise(F.lit(False))
+
+    plain = ~kind.isin("phone", "card", "ssn", "email", "key", "hex")
+    template = F.when(plain & (attempt > 0), F.regexp_replace(surface, r"[^\p{L}\p{N}]", "x")).otherwise(surface)
+    body = replaced(template, s, kept, kind == "hex", kind.isin("phone", "card", "ssn"))
+    after = F.when(kind == "email", F.lit(0)).when(kind.isin("phone", "password"), soon).otherwise(late)
+    more = let(after, lambda n: F.when(kind.isin("card", "phone", "ssn"), drawn(DIGITS, s, n)).when(kind == "hex", drawn(HEX, s, n)).otherwise(drawn(LOWER, s, n)))
+
+    def finished(made: Column) -> Column:
+        token = F.concat(made, more)
+        return (
+            F.when(kind == "card", F.concat(with_check_digit(made), more))
+            .when(kind == "email", F.concat(drawn(LOWER, s, attempt), made))
+            .when(kind == "key", F.concat(made, F.upper(more)))
+            .when((kind == "hex") & surface.rlike("[A-F]") & ~surface.rlike("[a-f]"), F.upper(token))
+            .otherwise(token)
+        )
+
+    address = F.concat(F.concat_ws(".", part(0), part(1), part(2), part(3)), F.when(late > 0, F.concat(F.lit("."), drawn(DIGITS, s, late))).otherwise(""))
+    sort = F.when(kind == "surname", "S").otherwise(F.substring(kind, 6, 1))
+    return F.when(kind == "ipv4", address).when((kind == "surname") | kind.startswith("given"), name_of(entity, sort, s, attempt)).otherwise(let(body, finished))
 
 
 def mention(kind: Column, entity: Column) -> Column:
@@ -281,7 +290,10 @@ def exceptions(entities: DataFrame, key: str) -> DataFrame:
         return frame.withColumn("made", made)
 
     # Distinctness is checked without regard to case, within a type (given names and surnames apart).
-    state = written(tried(entities.select("kind", "entity", F.lit(0).alias("attempt"))), "surrogates")
+    # Entities are few bytes and much work: dealt to a stated number of tasks, which stay as many.
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = entities.select("kind", "entity", F.lit(0).alias("attempt")).repartition(tasks, "kind", "entity")
+    state = written(tried(spread), "surrogates")
     while True:
         holder = state.groupBy("kind", "made").agg(F.min(F.struct("attempt", "entity")).alias("holder"), F.count(F.lit(1)).alias("sharers"))
         shared = holder.where("sharers > 1").select("kind", "made", F.col("holder.entity").alias("holder"))
@@ -308,24 +320,28 @@ def woven(pieces: Column, made: Column) -> Column:
     return F.array_join(F.flatten(F.transform(F.arrays_zip(pieces.alias("piece"), made.alias("made")), lambda z: F.array(z.piece, F.coalesce(z.made, F.lit(""))))), "")
 
 
-def rendered(text: Column, attempts: Column, secret: str) -> Column:
-    """The text with surrogates; `attempts` maps mentions to attempts beyond 0."""
+def rendered(text: Column, found: Column, attempts: Column, secret: str) -> Column:
+    """The text with surrogates for what was found; `attempts` maps mentions to attempts beyond 0."""
 
-    def of(kind: Column, entity: Column, surface: Column) -> Column:
-        return surrogate(secret, kind, entity, surface, F.coalesce(F.try_element_at(attempts, mention(kind, entity)), F.lit(0)))
+    def of(w: Column) -> Column:
+        attempt = F.coalesce(F.try_element_at(attempts, mention(w.kind, w.entity)), F.lit(0))
+        made = surrogate(secret, w.kind, w.entity, w.word, attempt)
+        capitals = w.named & (F.length(w.word) > 1) & (w.word == F.upper(w.word))
+        return let(made, lambda m: F.when(capitals, F.upper(m)).otherwise(m))
 
     def one(surface: Column) -> Column:
         title, rest = name_parts(surface)
-        as_word = lambda w, made: F.when((F.length(w) > 1) & (w == F.upper(w)), F.upper(made)).otherwise(made)
-        word = lambda w: as_word(w.word, of(w.kind, w.entity, w.word))
-        words = F.transform(let(F.regexp_extract_all(rest, F.lit(TOKEN), 0), lambda ws: name_kinds(title, ws)), word)
-        name = F.concat(title, woven(F.split(rest, TOKEN, -1), words))
-        plain = lambda kind: let(canonical(kind, surface), lambda entity: of(kind, entity, surface))
-        return let(kind_of(surface), lambda kind: F.when(kind == "name", name).otherwise(plain(kind)))
+        words = let(F.regexp_extract_all(rest, F.lit(TOKEN), 0), lambda ws: name_kinds(title, ws))
+        named = F.transform(words, lambda w: F.struct(w.kind.alias("kind"), w.entity.alias("entity"), w.word.alias("word"), F.lit(True).alias("named")))
+
+        def kinds(kind: Column) -> Column:
+            whole = F.array(F.struct(kind.alias("kind"), canonical(kind, surface).alias("entity"), surface.alias("word"), F.lit(False).alias("named")))
+            made = F.transform(F.when(kind == "name", named).otherwise(whole), of)
+            return let(made, lambda m: F.when(kind == "name", F.concat(title, woven(F.split(rest, TOKEN, -1), m))).otherwise(F.get(m, F.lit(0))))
+
+        return let(kind_of(surface), kinds)
 
-    pieces = F.split(text, ANY, -1)
-    made = F.transform(found_in(text), one)
-    return woven(pieces, made)
+    return woven(F.split(text, ANY, -1), F.transform(found, one))
 
 
 def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: str = "text", new_text: str = "new_text", n_entities: str = "n_entities") -> DataFrame:
@@ -336,9 +352,14 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
     own = mentions.join(beyond, ["kind", "entity"]).groupBy("_key", "_hash").agg(F.map_from_entries(F.collect_list(F.struct(mention(F.col("kind"), F.col("entity")), "attempt"))).alias("_attempts"))
     own = written(own, "attempts_by_text")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (new_text, n_entities) or c in (key, text)]
-    keyed = docs.select(*rest, F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), holds(F.col(text)).alias("_any"))
-    met = keyed.join(own, (keyed["_key"].eqNullSafe(own["_key"])) & (keyed["_hash"] == own["_hash"]), "left").drop(own["_key"]).drop(own["_hash"])
-    attempts = F.coalesce("_attempts", F.create_map().cast("map<string,int>"))
-    made = F.when(F.col("_any"), rendered(F.col(text), attempts, secret)).otherwise(F.col(text))
-    count = F.when(F.col("_any"), F.size(found_in(F.col(text)))).otherwise(0).cast("long")
-    return met.withColumns({new_text: made, n_entities: count}).drop("_key", "_hash", "_any", "_attempts")
+    # Names of its own for what is added: no column of the table has them.
+    id_, hash_, found_, attempts_ = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "hash", "found", "attempts"))
+    nothing = F.array().cast("array<string>")
+    found = F.when(may_hold(F.col(text)), found_in(F.col(text))).otherwise(nothing)
+    keyed = docs.select(*rest, F.col(key).alias(id_), F.xxhash64(text).alias(hash_), found.alias(found_))
+    own = own.select(F.col("_key").alias(f"{id_}_"), F.col("_hash").alias(f"{hash_}_"), F.col("_attempts").alias(attempts_))
+    met = keyed.join(own, F.col(id_).eqNullSafe(F.col(f"{id_}_")) & (F.col(hash_) == F.col(f"{hash_}_")), "left")
+    attempts = F.coalesce(attempts_, F.create_map().cast("map<string,int>"))
+    made = F.when(F.size(found_) > 0, rendered(F.col(text), F.col(found_), attempts, secret)).otherwise(F.col(text))
+    result = {new_text: made, n_entities: F.size(found_).cast("long")}
+    return met.select(*[c for c, name in zip(rest, [c for c in docs.columns if c not in (new_text, n_entities) or c in (key, text)]) if name not in result], *[c.alias(n) for n, c in result.items()])
