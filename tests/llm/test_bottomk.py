@@ -80,3 +80,13 @@ def test_long_chains_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(2, 61)} | {200 + i: 100 for i in range(50)}
     assert local_components(5, np.array([3, 4]), np.array([4, 1])).tolist() == [0, 1, 2, 1, 1]
+
+
+def test_an_id_with_several_texts_joins_what_they_are_linked_with(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = lambda t: t + " end"
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, c), (4, c), (5, near(c)), (None, a), (6, ""), (6, c + " more")]
+    got = bottomk.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    found = sorted({(r.doc_id, r.component_id) for r in got if r.n_shingles and r.doc_id is not None})
+    assert found == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4)]
+    assert len(got) == len(rows) and [r.kept for r in got if r.doc_id is None] == [True]

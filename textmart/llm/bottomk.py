@@ -3,7 +3,7 @@
 A text's set holds its distinct five-word shingles as 64-bit hashes; its sketch the
 SKETCH lowest of them. Two texts are linked if 100 * intersection >= 75 * union.
 
-1. Texts with equal sets form a class, which its smallest id stands for.
+1. Texts with equal sets form a class.
 2. The sketches' values are inverted. A value that more than FREQUENT classes retain
    tells little (a passage that many texts share). A class is listed under its LIGHT
    lowest other values; one whose sketch is mostly such frequent values (a large group
@@ -27,8 +27,8 @@ is five standard deviations below 0.75.
 
 Defined cases: a text of one to four words has one shingle, all its words. A null or
 empty text, or one of white space, has an empty set and links with nothing. Rows of one
-id are one text each, but one node; ids are expected to be unique. Repeated rows link as
-copies. An empty table gives no rows. Other columns are ignored.
+id are one text each, but one node: what any of its texts is linked with is one component.
+A row without an id links with nothing. Repeated rows link as copies. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,6 +49,8 @@ SKETCH = 64
 LIGHT, HEAVY, FREQUENT = 16, 10, 64
 BLOCK = 512
 ESTIMATE = 0.48
+# A text with more than one in so many rows is one of few.
+COMMON = 2000
 COLUMNS = 4096  # shingles of a block that are intersected at once
 
 
@@ -202,10 +204,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     """(key, n_shingles, component_id, kept) of each row. `percent` is the least similarity."""
     docs = docs.select(F.col(key), F.col(text))
     sketched = written(sketches(docs, key, text, words, sketch), "sketches")
-    full = sketched.where("content is not null")
-    classes = full.groupBy("content").agg(F.min("id").alias("id"))
-    # One row per class: that of its smallest id.
-    standing = written(full.join(classes, ["content", "id"]).groupBy("id").agg(F.first("sketch").alias("sketch")), "classes")
+    full = sketched.where("content is not null and id is not null")
+    # Classes have numbers of their own: an id may have several texts.
+    standing = full.groupBy("content").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("sketch").alias("sketch"))
+    standing = written(standing.withColumn("id", F.monotonically_increasing_id()), "classes")
 
     def packed_sketches(frame: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,13 +229,45 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in gathered(batches, "_text"):
-            raw = [(s ^ np.uint64(1 << 63)).tobytes() for s in shingle_sets(arrow_texts(table.column("_text")), words)]
-            yield pa.RecordBatch.from_arrays([table.column("id").combine_chunks(), pa.array(raw, pa.binary())], names=["id", "values"])
-
-    wanted = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("_text")).join(members.select("id"), "id", "left_semi")
-    full_sets = wanted.mapInArrow(by_value(sets), "id long, values binary")
+            found = list(shingle_sets(arrow_texts(table.column("_text")), words))
+            digests = pa.array([xxh3_128_digest(s.tobytes()) for s in found], pa.binary())
+            raw = pa.array([(s ^ np.uint64(1 << 63)).tobytes() for s in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([digests, raw], names=["content", "values"])
+
+    asked = written(members.select("id").join(standing.select("id", "least", "content"), "id"), "asked")
+    wanted = docs.select(F.col(key).cast("long").alias("least"), F.col(text).alias("_text")).join(asked.select("least"), "least", "left_semi")
+    full_sets = wanted.select("_text").mapInArrow(by_value(sets), "content binary, values binary").dropDuplicates(["content"])
+    full_sets = full_sets.join(asked.select("id", "content"), "content").select("id", "values")
     exact = compared(in_blocks(members, block).join(full_sets, "id"), sketch, ESTIMATE, percent)
     final = components(written(exact, "exact"), "id", "root")
-    of_class = classes.join(final, "id", "left").select("content", F.coalesce("component", "id").alias("component"))
-    out = sketched.join(of_class, "content", "left").select(F.col("id").alias(key), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    of_class = standing.join(final, "id", "left").select("content", "n", "least", F.coalesce("component", "id").alias("component"))
+    of_class = bridged(full, written(of_class, "components"))
+    least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = written(of_class.join(least, "component").select("content", "n", "component_id"), "groups")
+    out = with_class(sketched, of_class).select(F.col("id").alias(key), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
+
+
+def with_class(rows: DataFrame, of_class: DataFrame) -> DataFrame:
+    """The rows with the columns of their class, by content.
+
+    Classes with more than 1/COMMON of all rows, fewer than COMMON, are broadcast: no task gets their rows.
+    """
+    rows = rows.select("id", "n_shingles", "content")
+    most = (of_class.agg(F.sum("n")).first()[0] or 0) / COMMON
+    frequent = F.broadcast(of_class.where(F.col("n") > most).drop("n"))
+    others = of_class.where(F.col("n") <= most).drop("n")
+    left = rows.join(frequent.select("content"), "content", "left_anti")
+    return rows.join(frequent, "content").unionByName(left.join(others, "content", "left"))
+
+
+def bridged(full: DataFrame, of_class: DataFrame) -> DataFrame:
+    """Classes with the components that share an id, through different texts of it, joined."""
+    placed = with_class(full, of_class.select("content", "n", "component"))
+    several = placed.groupBy("id").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    several = written(several.select("id", "low"), "several")
+    if several.isEmpty():
+        return of_class
+    links = placed.join(several, "id").select(F.col("component").alias("a"), F.col("low").alias("b")).distinct()
+    met = components(written(links, "bridges")).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+    return written(of_class.join(met, "component", "left").withColumn("component", F.coalesce("joined", "component")).drop("joined"), "components")
