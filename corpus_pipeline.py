@@ -24,16 +24,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; of a repeated id one row.
+    """Of each group of near copies the document with the smallest id stays.
 
-    Rows without an id stay.
+    A repeated id stays with each of its different texts; of rows with equal id and text one
+    stays, the first in order of their other columns. Rows without an id stay.
     """
     small_batches(spark)
     copies = written(bottomk.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct(), "copies")
     repeated = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
     left = docs.join(copies, "doc_id", "left_anti")
     once = left.join(repeated, "doc_id", "left_anti")
-    return once.select(*COLUMNS).unionAll(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    several = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("first"))
+    return once.select(*COLUMNS).unionByName(several.select("doc_id", "text", "first.*"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
