@@ -79,7 +79,7 @@ def test_stages_on_empty_tables(spark, folder):
 
 def test_registered_queries():
     names = [re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES]
-    assert sorted(map(int, names)) == list(range(1, 11))
+    assert sorted(map(int, names)) == list(range(1, 14))
 
 
 def test_the_rest_does_without_this_part(tmp_path):
