@@ -477,6 +477,9 @@ ORACLES: dict[str, str] = {
 
 # The same rows by another way.
 ORACLES |= {
+    "dictionary_match_automaton": ORACLES["dictionary_match"],
+    "src_json_array": ORACLES["src_json_tolerant"],
+    "src_csv_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(text, '') AS html_text FROM documents",
     "stream_take_while": ORACLES["take_while_pages"],
     "src_cache_default_appends": ORACLES["src_cache_last_wins"],
     "stream_upsert_two_checkpoints": f"SELECT user_id, event_id, event_type FROM ({LAST_EVENT})",

@@ -96,6 +96,14 @@ def dictionary_match(spark, sf):
 def dictionary_match_join(spark, sf):
     """The form for dictionaries too large for a literal, on the same texts."""
     docs = texts(spark, sf, "documents", "doc_id", "text")
+    found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark), literal_limit=0, automaton_limit=0)
+    return found.select("doc_id", joined("skills").alias("skills"))
+
+
+@query
+def dictionary_match_automaton(spark, sf):
+    """The form between the two: a trie of the aliases, walked over Arrow batches."""
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     found = D.match_dictionary(docs, "doc_id", "text", N.dictionary(spark), literal_limit=0)
     return found.select("doc_id", joined("skills").alias("skills"))
 
@@ -172,7 +180,7 @@ def full_run(spark, sf):
 def dictionary_match_repeated_keys(spark, sf):
     """The join form on rows that share their keys: a language is no key of a document."""
     docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
-    found = D.match_dictionary(docs, "lang", "text", N.dictionary(spark), literal_limit=0)
+    found = D.match_dictionary(docs, "lang", "text", N.dictionary(spark), literal_limit=0, automaton_limit=0)
     return found.select("doc_id", "lang", joined("skills").alias("skills"))
 
 
@@ -844,6 +852,32 @@ def src_cache_default_appends(spark, sf):
     return sources.read_html_cache_csv(spark, path)
 
 
+@query
+def src_json_array(spark, sf):
+    """Two files of one JSON array each, read in ranges of 64 KB: that of German pages is cut off and gives no row."""
+    folder = scratch_path(spark, "arrays")
+    pages = table(spark, sf, "pages")
+    entry = F.to_json(F.struct(F.col("page_id").cast("string").alias("job_id"), F.col("url").alias("title"), F.split("url", "/").alias("skills")))
+    german = F.contains("html", F.lit('lang="de"'))
+    for name, part, tail in (("whole", ~german, "]"), ("cut", german, "")):
+        rows = pages.where(F.coalesce(part, F.lit(name == "whole"))).select(F.col("page_id").alias("n"), entry.alias("value"))
+        first = F.row_number().over(Window.orderBy("n")) == 1  # one file is written by one task
+        lines = rows.select("n", F.concat(F.when(first, "[").otherwise(","), F.col("value")).alias("value"))
+        end = spark.range(1).select(F.lit(1 << 60).alias("n"), F.lit(tail).alias("value"))
+        lines.unionAll(end).coalesce(1).sortWithinPartitions("n").select("value").write.mode("append").text(folder)
+    return sources.read_entries_json_array(spark, folder, 64 << 10).withColumn("skills", joined("skills"))
+
+
+@query
+def src_csv_multi_line(spark, sf):
+    """Pages of a cache that keeps its newlines inside quotes."""
+    folder = scratch_path(spark, "cache")
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("job_id"), F.col("text").alias("html_text"))
+    writer = docs.write.option("header", True).option("quoteAll", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return sources.read_html_cache_csv(spark, folder, multi_line=True)
+
+
 @query
 def ensure_schema(spark, sf):
     """The tables, created twice, in a database of their own below the scratch folder."""

@@ -1,9 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from textmart.functions.dictionary import compile_dictionary, match_by_join, match_dictionary
+from textmart.functions import automaton
+from textmart.functions.dictionary import compile_dictionary, match_by_automaton, match_by_join, match_dictionary
 from textmart.functions.text import fold_text
 
 # canonical, alias: what the golden lines need.
@@ -94,13 +96,13 @@ def test_pattern_equals_brute_force(rows):
     assert rows(texts, matcher.match) == [brute(t, TERMS) for t in texts]
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
-def test_both_forms_agree(spark, limit):
+@pytest.mark.parametrize(("limit", "automaton"), [(10_000, 0), (1, 0), (1, 10**6)])
+def test_all_forms_agree(spark, limit, automaton):
     texts = [t for t, _ in GOLDEN] + random_texts()
     table = spark.createDataFrame([(c, a, i) for i, (c, a) in enumerate(TERMS)],
                                   "canonical STRING, alias STRING, pos INT")
     docs = spark.createDataFrame(list(enumerate(texts)), "id INT, body STRING").repartition(5)
-    out = match_dictionary(docs, "id", "body", table, literal_limit=limit)
+    out = match_dictionary(docs, "id", "body", table, literal_limit=limit, automaton_limit=automaton)
     got = {r["id"]: r["skills"] for r in out.collect()}
     assert got == {i: brute(t, TERMS) for i, t in enumerate(texts)}
 
@@ -118,5 +120,37 @@ def test_shared_key_goes_to_the_shorter_alias(spark, rows):
 def test_empty_dictionary(spark):
     table = spark.createDataFrame([], "canonical STRING, alias STRING, pos INT")
     docs = spark.createDataFrame([(1, "sql")], "id INT, body STRING")
-    for limit in (10, -1):
-        assert match_dictionary(docs, "id", "body", table, literal_limit=limit).first()["skills"] == []
+    for limit, automaton in ((10, 0), (-1, -1), (-1, 10)):
+        assert match_dictionary(docs, "id", "body", table, literal_limit=limit, automaton_limit=automaton).first()["skills"] == []
+
+
+def test_automaton_equals_brute_force_on_random_aliases():
+    rng = random.Random(9)
+    letters = ["a", "b", "ab", "c+", ".n", "1"]
+    for _ in range(150):
+        aliases = {" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 3))) for _ in range(rng.randrange(1, 5))) for _ in range(12)}
+        terms = [(f"N{i % 7}", a) for i, a in enumerate(sorted(aliases))]
+        order = sorted(terms, key=lambda p: -len(p[1]))
+        names = {a.replace(" ", ""): c for c, a in order}
+        trie = automaton.build([(a.replace(" ", chr(automaton.JOINT)).encode(), names[a.replace(" ", "")]) for _, a in order])
+        texts = ["".join(rng.choice([*letters, " ", "-", "/ ", ",", "x"]) for _ in range(rng.randrange(0, 30))) for _ in range(20)]
+        got = automaton.lists(trie, pa.array([*texts, None])).to_pylist()
+        assert got == [brute(t, terms) for t in texts] + [[]]
+
+
+def test_many_aliases_and_a_very_long_one(spark):
+    """300,000 aliases, one of them 200 words long: each is found, in a text of its own and within others."""
+    long = " ".join(f"w{i}" for i in range(200))
+    table = spark.range(300_000).selectExpr("concat('N', id) AS canonical", "concat('alias ', id % 1000, ' ', id) AS alias", "CAST(id AS INT) AS pos")
+    table = table.unionAll(spark.createDataFrame([("Long", long, -1)], "canonical STRING, alias STRING, pos INT"))
+    docs = spark.createDataFrame([(1, f"x {long} alias 7 250007."), (2, long.replace(" ", "-") + "x alias77"), (3, "alias 5 1005 / alias999 2999")], "id INT, body STRING")
+    found = {r.id: r.skills for r in match_by_automaton(docs, "body", table).collect()}
+    assert found == {1: ["Long", "N250007"], 2: ["N7"], 3: ["N1005", "N2999"]}
+
+
+def test_a_stream_refuses_a_dictionary_beyond_its_bound(spark, tmp_path):
+    table = spark.createDataFrame([("A", "alpha", 1)], "canonical STRING, alias STRING, pos INT")
+    spark.createDataFrame([(1, "alpha")], "k INT, t STRING").write.parquet(str(tmp_path / "feed"))
+    stream = spark.readStream.schema("k INT, t STRING").parquet(str(tmp_path / "feed"))
+    with pytest.raises(ValueError, match="at most 3 bytes"):
+        match_dictionary(stream, "k", "t", table, literal_limit=0, automaton_limit=3)

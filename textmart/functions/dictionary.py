@@ -5,10 +5,12 @@ leftmost first, longest alias first, whole terms only, and a matched stretch is
 consumed: "spark sql" does not also count as "spark". Words of an alias may be
 joined, spaced, hyphenated or slashed in the text.
 
-Two forms give the same answer:
+Three forms give the same answer:
 
 * `Matcher`: the whole dictionary as one regex literal plus a key literal. No
   join, no shuffle; for dictionaries up to `sizes.MAX_LITERAL_ROWS` aliases.
+* `match_by_automaton`: the aliases as a trie in the shared folder, walked over Arrow
+  batches. No join, no shuffle; also on a stream; up to `MAX_ALIAS_BYTES` of aliases.
 * `match_by_join`: candidate stretches of each text are joined to the dictionary
   on their key; for dictionaries of any size.
 """
@@ -16,17 +18,25 @@ Two forms give the same answer:
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from textmart.functions import automaton
 from textmart.functions.literals import no_strings, string_map
 from textmart.functions.text import fold, fold_text
+from textmart.session import scratch_path
 from textmart.sizes import MAX_LITERAL_ROWS, broadcast_if_small, collect_if_small
+from textmart.sources import files
 
 # Between the words of an alias. Folded text holds no other whitespace than blanks.
 SEPARATORS = " /-"
+# Aliases beyond this go to the join form. A byte of them takes up to 20 bytes in a
+# worker; usually far less, since aliases share beginnings.
+MAX_ALIAS_BYTES = 32 << 20
 _BOUNDARY = ("(?<![a-z0-9])", "(?![a-z0-9])")
 
 
@@ -97,16 +107,21 @@ def match_dictionary(
     dictionary: DataFrame,
     out: str = "skills",
     literal_limit: int = MAX_LITERAL_ROWS,
+    automaton_limit: int = MAX_ALIAS_BYTES,
 ) -> DataFrame:
     """Add the array of canonical names found in `text`, by whichever form fits.
 
-    Both forms answer row by row: repeated and NULL values of `key` play no part. A
-    stream has no join form (it would group unbounded rows), so its dictionary is a
-    literal at any size.
+    All forms answer row by row: repeated and NULL values of `key` play no part. A
+    stream has no join form (it would group unbounded rows): a dictionary beyond
+    `automaton_limit` bytes of aliases is refused there.
     """
-    matcher = load_matcher(dictionary, None if df.isStreaming else literal_limit)
+    matcher = load_matcher(dictionary, literal_limit)
     if matcher is not None:
         return df.withColumn(out, matcher.match(F.col(text)))
+    if alias_bytes(dictionary) <= automaton_limit:
+        return match_by_automaton(df, text, dictionary, out)
+    if df.isStreaming:
+        raise ValueError(f"a stream's dictionary has at most {automaton_limit} bytes of aliases")
     named = df.withColumn("_text_id", _text_id(F.col(text)))
     found = _matches(named.select("_text_id", text), text, dictionary, out)
     return (
@@ -115,6 +130,50 @@ def match_dictionary(
     )
 
 
+# --- the automaton ----------------------------------------------------------
+
+
+def alias_bytes(dictionary: DataFrame) -> int:
+    return dictionary.agg(F.sum(F.octet_length("alias"))).first()[0] or 0
+
+
+def match_by_automaton(df: DataFrame, text: str, dictionary: DataFrame, out: str = "skills") -> DataFrame:
+    """`df` with the array of canonical names, from a trie that is built now and kept in the scratch folder.
+
+    The trie is built in one task: check `alias_bytes` first. Rows go through Python
+    in Arrow batches, with all their columns, a text folded natively before it.
+    """
+    spark = df.sparkSession
+    folder = scratch_path(spark, "dictionary")
+    system, path = files.shared(folder)
+    system.create_dir(path)
+    aliases = _ordered_aliases(dictionary.dropna(subset=["alias", "canonical"]))
+    if not aliases.mapInArrow(automaton.builder(f"{folder}/trie"), "bytes LONG").collect():
+        return df.withColumn(out, no_strings())
+    folded = f"folded_{uuid.uuid4().hex}"
+    rest = [c for c in df.columns if c != out]
+    schema = StructType([*[df.schema[c] for c in rest], StructField(out, ArrayType(StringType()))])
+    rows = df.select(*[F.col(f"`{c}`") for c in rest], fold(F.col(text)).alias(folded))
+    named = rows.mapInArrow(automaton.walker(f"{folder}/trie", folded, out), schema)
+    return named.select(*[F.col(f"`{c}`") for c in df.columns], *([] if out in df.columns else [out]))
+
+
+def _ordered_aliases(dictionary: DataFrame) -> DataFrame:
+    """(alias: its words with joints between them, canonical) in the order they are tried, in one partition."""
+    folded = dictionary.select("canonical", "pos", fold(F.col("alias")).alias("folded"))
+    words = F.split(F.btrim("folded", F.lit(SEPARATORS)), "[ /-]+")
+    keyed = folded.select(
+        F.array_join(words, chr(automaton.JOINT)).cast("binary").alias("alias"),
+        _key(F.col("folded")).alias("key"),
+        F.struct((-F.length("folded")).alias("neg_length"), "pos").alias("rank"),
+        "canonical",
+    ).where("key <> ''")
+    # Where two canonicals share a key, the alias tried last names it.
+    owner = keyed.groupBy("key").agg(F.max_by("canonical", "rank").alias("canonical"))
+    once = keyed.groupBy("alias", "key").agg(F.min("rank").alias("rank")).join(owner, "key")
+    return once.repartition(1).sortWithinPartitions("rank", "alias").select("alias", "canonical")
+
+
 def _text_id(text: Column) -> Column:
     """Equal for equal texts only (a 256-bit digest); NULL for NULL."""
     return F.sha2(text.cast("binary"), 256)

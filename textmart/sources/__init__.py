@@ -3,6 +3,7 @@
 from textmart.sources.read import (
     read_dictionary,
     read_entries_json,
+    read_entries_json_array,
     read_entries_json_lines,
     read_html_cache_csv,
     read_html_cache_jdbc,
@@ -24,6 +25,7 @@ __all__ = [
     "ensure_schema",
     "read_dictionary",
     "read_entries_json",
+    "read_entries_json_array",
     "read_entries_json_lines",
     "read_html_cache_csv",
     "read_html_cache_jdbc",

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from textmart import schemas as S
 from textmart.functions.text import strip
 from textmart.operators.incremental import nonblank
 from textmart.operators.model import latest
+from textmart.session import scratch_path
+from textmart.sources.ranges import RANGE_BYTES, csv_records, json_elements
 
 
 def read_csv(spark: SparkSession, schema, path: str, *more: Column, multi_line: bool = False) -> DataFrame:
@@ -38,14 +41,18 @@ def read_html_cache_csv(spark: SparkSession, path: str, multi_line: bool = False
     Rows are ordered by their `seq`, as `write_html_csv` numbers them. Files without it
     (a cache that others appended to, one file) are ordered by position in the file.
     The cache's writer collapses newlines, so one line is one record and large files
-    are split; set `multi_line` for files that others wrote.
+    are split; set `multi_line` for files that others wrote, with newlines inside quotes.
+    Those are split too, by ranges that know whether they begin within quotes.
     """
     place = F.struct(*[F.col(f"_metadata.{p}") for p in ("file_name", "file_block_start")])
-    raw = load_or_empty(
-        spark,
-        lambda: read_csv(spark, S.JOB_HTML_CSV, path, place.alias("_place"), multi_line=multi_line),
-        S.JOB_HTML_CSV,
-    )
+    if multi_line:
+        records, header = csv_records(spark, path)
+        named = [(F.get("fields", header.index(f.name)) if f.name in header else F.lit(None)).cast(f.dataType).alias(f.name) for f in S.JOB_HTML_CSV]
+        raw = records.select(*named, F.struct("file", "place").alias("_place"))
+    else:
+        raw = load_or_empty(
+            spark, lambda: read_csv(spark, S.JOB_HTML_CSV, path, place.alias("_place")), S.JOB_HTML_CSV
+        )
     ordered = raw.withColumn("_pos", F.monotonically_increasing_id())
     seq = F.struct(*[c for c in ("seq", "_place", "_pos") if c in ordered.columns])
     rows = nonblank(ordered.withColumn("job_id", strip(F.col("job_id"))), "job_id")
@@ -95,6 +102,24 @@ def read_entries_json(spark: SparkSession, path: str) -> DataFrame:
     return load_or_empty(spark, load, S.ENTRY)
 
 
+def read_entries_json_array(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """`read_entries_json` of files that are JSON arrays of objects, one large file in many tasks.
+
+    A file that is cut off, is no array of objects or holds an object that is malformed gives
+    no row, as with the reader in one task. Objects are cut out by byte ranges and parsed natively.
+    """
+    found = json_elements(spark, path, range_bytes)
+    parsed = F.from_json("element", StructType([*S.ENTRY.fields, StructField("_broken", StringType())]), {"columnNameOfCorruptRecord": "_broken"})
+    entries = found.select("file", "element", parsed.alias("entry"))
+    # Stored once: whether a file is whole is known only when all its parts were read.
+    folder = scratch_path(spark, "elements")
+    entries.write.parquet(folder)
+    entries = spark.read.schema(entries.schema).parquet(folder)
+    broken = entries.where(F.col("element").isNull() | F.col("entry._broken").isNotNull()).select("file").distinct()
+    whole = entries.join(broken, "file", "left_anti")
+    return whole.select(*[F.col(f"entry.{f.name}").alias(f.name) for f in S.ENTRY])
+
+
 def read_entries_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """The splittable form: one entry per line, as `write_entries_json` writes it."""
     return load_or_empty(
