@@ -478,6 +478,15 @@ ORACLES: dict[str, str] = {
 # The same rows by another way.
 ORACLES |= {
     "dictionary_match_automaton": ORACLES["dictionary_match"],
+    "multilabel_levels_table": ORACLES["multilabel_levels"],
+    "standardize_names_tables": ORACLES["standardize_names"],
+    "classify_membership_table": ORACLES["classify_membership"],
+    "pattern_table_large": (
+        "WITH t AS (SELECT p_partkey, 'a ' || p_partkey || ' ' || p_name || ' b' AS title FROM part), "
+        "w AS (SELECT t.p_partkey, any_value(title) AS title, string_agg(p_brand, '|' ORDER BY r.p_partkey) AS labels "
+        "FROM t JOIN part r ON contains(title, ' ' || r.p_partkey || ' ' || p_name || ' ') GROUP BY t.p_partkey) "
+        "SELECT l_orderkey, l_linenumber, title, labels FROM lineitem JOIN w ON l_partkey = p_partkey"
+    ),
     "src_json_array": ORACLES["src_json_tolerant"],
     "src_csv_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(text, '') AS html_text FROM documents",
     "stream_take_while": ORACLES["take_while_pages"],

@@ -259,6 +259,41 @@ def multilabel_levels(spark, sf):
     return part.select("p_partkey", joined(_name_levels(F.col("p_name"))).alias("levels"))
 
 
+@query
+def multilabel_levels_table(spark, sf):
+    """The same patterns as a table."""
+    rules = spark.createDataFrame([(i, p, label) for i, (label, p) in enumerate(N.NAME_LEVELS)], "priority INT, pattern STRING, label STRING")
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    found = C.multilabel_by_table(part, "p_name", rules, "levels", N.NAME_LEVEL_DEFAULT)
+    return found.select("p_partkey", joined("levels").alias("levels"))
+
+
+@query
+def pattern_table_large(spark, sf):
+    """A pattern for each part, its number and name as whole words; a line item's title holds its own part's."""
+    part = table(spark, sf, "part").select("p_partkey", "p_brand", F.concat_ws(" ", F.col("p_partkey").cast("string"), "p_name").alias("text"))
+    rules = part.select(F.col("p_partkey").cast("int").alias("priority"), F.concat(F.lit(r"\b"), "text", F.lit(r"\b")).alias("pattern"), F.col("p_brand").alias("label"))
+    titles = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("p_partkey"))
+    titles = titles.join(part, "p_partkey").select("l_orderkey", "l_linenumber", F.concat(F.lit("a "), "text", F.lit(" b")).alias("title"))
+    found = C.multilabel_by_table(titles, "title", rules, "labels", "none")
+    return found.withColumn("labels", joined("labels"))
+
+
+@query
+def standardize_names_tables(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    exact = spark.createDataFrame(list(N.PRIORITY_NAMES.items()), "key STRING, value STRING")
+    parts = spark.createDataFrame([(i, k, label) for i, (label, ks) in enumerate(N.PRIORITY_PARTS) for k in ks], "priority INT, keyword STRING, label STRING")
+    return C.standardize_by_tables(orders, "o_orderpriority", exact, parts, "name").select("o_orderkey", "name")
+
+
+@query
+def classify_membership_table(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    members = spark.createDataFrame([(m,) for m in [*N.ROMANCE, *N.ROMANCE, None]], "member STRING")
+    return C.member_by_table(docs, "lang", members, "kind", "romance", "other")
+
+
 @query
 def levels_exploded(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", _name_levels(F.col("p_name")).alias("levels"))

@@ -7,9 +7,11 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from textmart import rules as R
-from textmart.functions.literals import explode_computed, let, string_map
+from textmart.functions import patterns
+from textmart.functions.literals import explode_computed, let, no_strings, string_map
 from textmart.functions.text import (
     fold,
     join_nonempty,
@@ -18,6 +20,7 @@ from textmart.functions.text import (
     title_case,
     transliterate,
 )
+from textmart.session import scratch_path
 from textmart.sizes import MAX_LITERAL_ROWS, broadcast_if_small, collect_if_small
 
 
@@ -190,6 +193,63 @@ def levels(title: Column) -> Column:
     )
 
 
+def multilabel_by_table(
+    df: DataFrame, text: str, table: DataFrame, out: str, default: str, limit: int = MAX_LITERAL_ROWS
+) -> DataFrame:
+    """`multilabel` by a table (priority, pattern, label) of any size, labels in order of (priority, label).
+
+    From each pattern follow strings of which a text that it matches must contain one
+    (`patterns.required`). They are indexed by their rarest piece of three characters (shorter
+    strings by themselves); distinct texts meet them on their own pieces, and a pattern is
+    tested where its string is contained. Patterns that require nothing are tested on each
+    text; there may be at most `limit` of them, more are refused. NULL texts and
+    patterns match nothing; a rule that repeats counts once.
+    """
+    rules = table.dropna(subset=["pattern"]).select("priority", "pattern", "label").distinct()
+    parsed = StructType([*rules.schema.fields, StructField("strings", ArrayType(StringType()))])
+    rules = rules.mapInArrow(patterns.literals, parsed)
+    # Stored once: each use below would parse all patterns again.
+    path = scratch_path(df.sparkSession, "patterns")
+    rules.write.parquet(path)
+    rules = df.sparkSession.read.schema(parsed).parquet(path)
+    free = collect_if_small(rules.where(F.size("strings") == 0).drop("strings"), limit)
+    if free is None:
+        raise ValueError(f"more than {limit} patterns can match any text: none of their characters is required")
+
+    size = 3
+    strings = rules.select("priority", "pattern", "label", F.explode("strings").alias("string"))
+    pieces = F.when(F.length("string") < size, F.array("string")).otherwise(_pieces(F.col("string"), F.lit(size)))
+    cut = strings.select("*", F.explode(F.array_distinct(pieces)).alias("piece"))
+    common = cut.groupBy("piece").agg(F.countDistinct("string").alias("n"))
+    rarest = cut.join(common, "piece").groupBy("priority", "pattern", "label", "string").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
+    rarest = broadcast_if_small(rarest)
+
+    texts = df.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
+    low = F.lower("text")
+    lengths = [r[0] for r in rarest.select(F.length("piece")).distinct().collect()]  # 1 to 3
+    own = F.array_distinct(F.flatten(F.array(*[_pieces(low, F.lit(n)) for n in lengths]))) if lengths else no_strings()
+    met = explode_computed(texts.withColumn("low", low), ["text", "low"], own, "piece").join(rarest, "piece")
+    # A pattern with several strings in a text is tested once.
+    met = met.where(F.contains("low", "string")).select("text", "priority", "pattern", "label").distinct()
+    found = met.where(F.expr("text RLIKE pattern")).select("text", "priority", "label", "pattern")
+    if free:
+        hits = F.array_compact(F.array(*[
+            F.when(F.col("text").rlike(r["pattern"]), F.struct(F.lit(r["priority"]).alias("priority"), F.lit(r["label"]).alias("label"), F.lit(r["pattern"]).alias("pattern")))
+            for r in free
+        ]))
+        found = found.unionByName(texts.select("text", F.explode(hits).alias("h")).select("text", "h.*"))
+    labels = found.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("priority", "label"))).alias("_hits"))
+    labels = labels.select(F.col("text").alias("_text"), F.transform("_hits", lambda h: h["label"]).alias("_labels"))
+    named = df.join(labels, F.col(text) == F.col("_text"), "left")
+    return named.withColumn(out, F.coalesce("_labels", F.array(F.lit(default)))).drop("_text", "_labels")
+
+
+def _pieces(text: Column, n: Column) -> Column:
+    """All stretches of n characters."""
+    nothing = no_strings()
+    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substr(text, i, n))).otherwise(nothing)
+
+
 # --- maps and sets -----------------------------------------------------------
 
 
@@ -238,6 +298,22 @@ def standardize_name(
     return let(strip(F.lower(shown)), lambda low: let(transliterate(low), named))
 
 
+def standardize_by_tables(df: DataFrame, name: str, exact: DataFrame, parts: DataFrame, out: str) -> DataFrame:
+    """`standardize_name` by tables of any size: exact (key, value), then parts (priority, keyword, label), then title case."""
+    shown = F.coalesce(F.col(name), F.lit("None"))
+    keyed = df.withColumn("_spelled", transliterate(strip(F.lower(shown))))
+    mapped = map_join(keyed, "_spelled", exact, "_exact")
+    ruled = classify_by_rules(mapped, "_spelled", parts, "_part", None)
+    return ruled.withColumn(out, F.coalesce("_exact", "_part", title_case(strip(shown)))).drop("_spelled", "_exact", "_part")
+
+
+def member_by_table(df: DataFrame, column: str, members: DataFrame, out: str, yes: str, no: str) -> DataFrame:
+    """`member_or_not` by a table (member) of any size; NULL and repeated members play no part."""
+    key = F.lower(transliterate(F.coalesce(F.col(column), F.lit("None"))))
+    side = members.select(F.col("member").alias("key"), F.lit(yes).alias("value")).dropna().distinct()
+    return map_join(df.withColumn("_member", key), "_member", side, out, F.lit(no)).drop("_member")
+
+
 def member_or_not(col: Column, members: Iterable[str], yes: str, no: str) -> Column:
     """Two-way class by membership of the spelled, lowered value."""
     key = F.lower(transliterate(F.coalesce(col, F.lit("None"))))
