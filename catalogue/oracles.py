@@ -487,6 +487,10 @@ ORACLES |= {
         "FROM t JOIN part r ON contains(title, ' ' || r.p_partkey || ' ' || p_name || ' ') GROUP BY t.p_partkey) "
         "SELECT l_orderkey, l_linenumber, title, labels FROM lineitem JOIN w ON l_partkey = p_partkey"
     ),
+    "maintained_counts": (
+        "SELECT l_returnflag || '/' || l_linestatus AS pair, count(DISTINCT l_orderkey) AS n FROM lineitem "
+        "WHERE l_quantity > 25 OR l_orderkey % 5 NOT IN (2, 3) GROUP BY 1"
+    ),
     "src_json_array": ORACLES["src_json_tolerant"],
     "src_csv_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(text, '') AS html_text FROM documents",
     "stream_take_while": ORACLES["take_while_pages"],

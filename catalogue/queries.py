@@ -16,6 +16,7 @@ from textmart.functions import html as H
 from textmart.functions import text as X
 from textmart.functions.literals import explode_computed
 from textmart.operators import incremental as I
+from textmart.operators import maintained as K
 from textmart.operators import marts as M
 from textmart.operators import model as O
 from textmart.plans import analyse, collect, extract
@@ -325,6 +326,19 @@ def classify_membership(spark, sf):
 # --- joins and incremental batches --------------------------------------------
 
 
+@query
+def maintained_counts(spark, sf):
+    """Orders per ship mode and return flag over four batches; later ones take orders' small items away."""
+    store = scratch_path(spark, "counts")
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", F.concat_ws("/", "l_returnflag", "l_linestatus").alias("pair"))
+    for batch in range(4):
+        part = F.col("l_orderkey") % 2 == batch if batch < 2 else F.col("l_orderkey") % 5 == batch
+        touched = items.where(part)
+        pairs = touched if batch < 2 else touched.where("l_quantity > 25")
+        K.apply_batch(store, batch, touched.select("l_orderkey"), pairs, "pair", "l_orderkey")
+    return K.counts(spark, store, "pair", "n")
+
+
 @query
 def jobs_join_skills(spark, sf):
     jobs = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
