@@ -491,6 +491,16 @@ ORACLES |= {
         "SELECT l_returnflag || '/' || l_linestatus AS pair, count(DISTINCT l_orderkey) AS n FROM lineitem "
         "WHERE l_quantity > 25 OR l_orderkey % 5 NOT IN (2, 3) GROUP BY 1"
     ),
+    "sink_quarantine": (
+        "WITH j AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey - o_orderkey % 3 END AS job_id, o_orderstatus AS mode FROM orders), "
+        "c AS (SELECT *, count(*) OVER (PARTITION BY job_id) AS times FROM j), "
+        "r AS (SELECT job_id, concat_ws('|', CASE WHEN job_id IS NULL THEN 'null:job_id' END, CASE WHEN mode NOT IN ('F', 'O') THEN 'domain:work_mode' END, "
+        "CASE WHEN job_id IS NOT NULL AND times > 1 THEN 'repeated' END) AS reasons FROM c), "
+        "s AS (SELECT concat_ws('|', CASE WHEN l_linenumber >= 6 THEN 'null:skill' END, CASE WHEN l_orderkey NOT IN "
+        "(SELECT job_id FROM r WHERE reasons = '') THEN 'orphan' END) AS reasons FROM lineitem) "
+        "SELECT 'jobs' AS part, reasons, count(*) AS n FROM r WHERE reasons <> '' GROUP BY ALL "
+        "UNION ALL SELECT 'job_skills', reasons, count(*) FROM s WHERE reasons <> '' GROUP BY ALL"
+    ),
     "src_json_array": ORACLES["src_json_tolerant"],
     "src_csv_multi_line": "SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(text, '') AS html_text FROM documents",
     "stream_take_while": ORACLES["take_while_pages"],

@@ -834,6 +834,22 @@ def sink_model_table_roundtrip(spark, sf):
     )
 
 
+@query
+def sink_quarantine(spark, sf):
+    """Orders and items as a model with offences: the quarantined rows with their reasons."""
+    path = scratch_path(spark, "model")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    jobs = orders.select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey") - F.col("o_orderkey") % 3).alias("job_id"),
+        F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("work_mode"),
+    )
+    skills = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("job_id"), F.when(F.col("l_linenumber") < 6, F.col("l_partkey")).alias("skill"))
+    sources.write_checked_model(jobs, skills, "local", path, "quarantine", {"work_mode": ["F", "O"]}, columns=["title", "work_mode"])
+    bad = spark.read.parquet(f"{path}/quarantine/jobs").select(F.lit("jobs").alias("part"), "reasons")
+    bad = bad.unionAll(spark.read.parquet(f"{path}/quarantine/job_skills").select(F.lit("job_skills"), "reasons"))
+    return bad.groupBy("part", joined("reasons").alias("reasons")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def src_ids_csv(spark, sf):
     """Blank and missing ids are dropped; the set form is distinct."""

@@ -14,6 +14,7 @@ from textmart.sources.read import (
 from textmart.sources.write import (
     append_ids_csv,
     ensure_schema,
+    write_checked_model,
     write_entries_json,
     write_html_csv,
     write_mart_csv,
@@ -32,6 +33,7 @@ __all__ = [
     "read_html_cache_table",
     "read_job_ids_csv",
     "read_processed_ids",
+    "write_checked_model",
     "write_entries_json",
     "write_html_csv",
     "write_mart_csv",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmart import schemas as S
 from textmart.functions.text import collapse_newlines
+from textmart.operators import quality
 from textmart.operators.model import one_per_key, project, replace_children, upsert
 from textmart.sources.read import load_or_empty, read_csv
 
@@ -117,6 +118,30 @@ def write_model(
         raise ValueError(f"unknown sink {sink!r}")
 
 
+def write_checked_model(
+    jobs: DataFrame, skills: DataFrame, sink: str, path: str, on_violation: str = "refuse",
+    domains: dict[str, list[str]] | None = None, key: str = "job_id", item: str = "skill", seq: str | None = None, **how,
+) -> dict[str, dict[str, int]]:
+    """`write_model` behind the tables' constraints; the numbers of rows and offences by table.
+
+    Jobs have a key, once (or an order of writes, `seq`), and values in their `domains`; skills have a key,
+    a value and a parent among the good jobs. 'refuse' writes nothing if any row offends;
+    'quarantine' writes the good rows, and the others with their reasons below `path`/quarantine.
+    Both relations are read once.
+    """
+    parents = quality.checked(jobs, [key], domains, [] if seq else [key])
+    children = quality.checked(skills, [key, item], parents=parents.good, parent_key=key)
+    if on_violation == "refuse":
+        quality.refuse(jobs=parents, skills=children)
+    elif on_violation == "quarantine":
+        for name, part in (("jobs", parents), ("job_skills", children)):
+            part.bad.write.mode("overwrite").parquet(f"{path}/quarantine/{name}")
+    else:
+        raise ValueError(f"unknown way {on_violation!r}")
+    write_model(parents.good, children.good, sink, path, key=key, item=item, seq=seq, **how)
+    return {"jobs": parents.counts, "job_skills": children.counts}
+
+
 def ensure_schema(spark: SparkSession, database: str = "default") -> None:
     """Create the three tables if absent.
 
