@@ -77,3 +77,20 @@ def test_repeated_ids_and_empty_tables(spark):
 def test_other_files_are_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         Bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_frequent_words_are_bounded_and_long_ones_among_them(spark):
+    from textmart.llm.token_counts import COMMON, frequent_words
+
+    rows = [(f"w{i}", 1 + 10_000 // (i + 1), 1) for i in range(500)] + [("=" * 80, 5000, 20), ("-" * 90, 2, 20), ("_" * 9000, 9000, 99)]
+    counted = spark.createDataFrame(rows, "piece_of string, total long, pieces long")
+    total = sum(r[1] for r in rows)
+    for n in (0, 1, 7, 100, 10_000):
+        got = {r.piece_of for r in frequent_words(counted, n).collect()}
+        often = {w for w, t, _ in rows if t > total / COMMON and len(w) <= 4096}
+        short = {w for w in got - often}
+        assert often <= got and len(short) <= n and not any(len(w) > 4096 for w in got)
+        rest = [t for w, t, _ in rows if w not in got and len(w) <= 32]
+        assert not short or not rest or min(t for w, t, _ in rows if w in short) > max(rest)
+    assert "=" * 80 in got and len(got) == 501
+    assert frequent_words(counted.limit(0), 5).collect() == []

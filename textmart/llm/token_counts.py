@@ -7,8 +7,8 @@
 
 Step 3 joins on the pre-token. The most frequent ones (at most HEAD_WORDS, each at
 most HEAD_CHARS long, so a few MB) would make nearly all of that join's rows and
-all of its skew; they are sent to the tasks and met there. All others are joined
-by a shuffle. Both ways give the same sums.
+all of its skew; they are sent to the tasks and met there, as are longer ones that
+make up more than 1/COMMON of all. All others are joined by a shuffle. Both ways give the same sums.
 
 Defined cases: a null or empty text has 0 tokens and 0 bytes. A special string
 inside a text is one token. Rows are counted by row, so repeated rows (and ids)
@@ -32,6 +32,8 @@ from textmart.llm.common import RowNumbers, arrow_texts, by_value, slices, writt
 
 HEAD_WORDS = 200_000
 HEAD_CHARS = 32
+# Longer words go with them if more than one in so many occurrences is theirs.
+COMMON, LONG_CHARS = 2000, 4096
 # Distinct pre-tokens a task holds before it hands them on.
 FLUSH_WORDS = 500_000
 
@@ -74,13 +76,34 @@ def piece_counts(totals: DataFrame, tokenizer: str) -> DataFrame:
     return totals.mapInArrow(by_value(run), "piece_of string, total long, pieces long")
 
 
+def frequent_words(counted: DataFrame, head_words: int) -> DataFrame:
+    """(piece_of, pieces) of at most `head_words` of the most frequent short words, and of longer
+    ones with more than 1/COMMON of all occurrences, fewer than COMMON.
+
+    A histogram of the totals in steps of 1/8 octave gives the least total, so no task sorts all words.
+    """
+    short = F.length("piece_of") <= HEAD_CHARS
+    step = F.floor(8 * F.log2("total")).cast("int")
+    steps = counted.groupBy(step.alias("step")).agg(F.count_if(short).alias("words"), F.sum("total").alias("total")).collect()
+    least, words = None, 0
+    for row in sorted(steps, reverse=True):
+        words += row.words
+        if words > head_words:
+            break
+        least = row.step
+    often = F.col("total") > sum(r.total for r in steps) / COMMON
+    picked = often & (F.length("piece_of") <= LONG_CHARS)
+    if least is not None:
+        picked = picked | (short & (step >= least))
+    return counted.where(picked).select("piece_of", "pieces")
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limit: int = 2048, head_words: int = HEAD_WORDS) -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) for each row of `docs`."""
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     counted = written(piece_counts(pre_token_totals(docs, tokenizer, "_text"), tokenizer), "pieces")
-    frequent = counted.where(F.length("piece_of") <= HEAD_CHARS).orderBy(F.desc("total"), "piece_of").limit(head_words)
-    head = spark.sparkContext.broadcast({r.piece_of: r.pieces for r in frequent.select("piece_of", "pieces").toLocalIterator()})
+    head = spark.sparkContext.broadcast({r.piece_of: r.pieces for r in frequent_words(counted, head_words).collect()})
     source = spark.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     kind = docs.schema["_key"].dataType
 
