@@ -59,3 +59,12 @@ def test_empty_tables(spark):
     rules = spark.createDataFrame([], "rule string, verdict string")
     assert [tuple(r) for r in judge_urls(pages, rules).collect()] == [(1, "http://a.org/", "a.org", "/", None, "allow")]
     assert judge_urls(pages.limit(0), rules).collect() == []
+
+
+def test_many_files_are_probed_in_one_stage(spark):
+    rules = spark.range(2000).selectExpr("concat('h', id, '.org/p') AS rule", "if(id % 2 = 0, 'allow', 'block') AS verdict")
+    pages = spark.range(3000).selectExpr("id AS page_id", "concat('http://x.h', id, '.org/p', id) AS url")
+    judged = judge_urls(pages, rules, shard_bytes=500)
+    assert judged._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    got = {r.page_id: (r.rule, r.verdict) for r in judged.collect()}
+    assert got == {i: (f"h{i}.org/p", ["allow", "block"][i % 2]) if i < 2000 else (None, "allow") for i in range(3000)}

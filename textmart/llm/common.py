@@ -178,7 +178,9 @@ class RowNumbers:
 def by_value(function: Callable) -> Callable:
     """Ship this package's code with the function, so that executors need not have it installed."""
     import textmart.llm
+    import textmart.sources.files
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(textmart.llm)
+    cloudpickle.register_pickle_by_value(textmart.sources.files)
     return function
