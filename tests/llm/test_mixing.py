@@ -106,3 +106,14 @@ def test_empty_and_repeated_rows(spark):
     assert mix(frame.where("doc_id in (900, 901)"), None).collect() == []
     same = spark.createDataFrame([(1, "a b c", "d", "e", "f", "")] * 3, SCHEMA)
     assert len(mix(same, 4).collect()) == 3
+
+
+def test_columns_with_the_names_of_its_own_tables(spark):
+    rows = [(i, "a b c", "en", f"s{i % 3}", i, i, i, i, i, i, i) for i in range(30)]
+    names = "part long, node long, whole long, rest long, cut long, _hash long, _node long"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, {names}")
+    clash = mix(docs, 40.0, levels=("lang", "source"))
+    plain = mix(docs.select("doc_id", "text", "lang", "source"), 40.0, levels=("lang", "source"))
+    key = ["doc_id", "n_tokens", "epochs", "take_tokens"]
+    assert sorted(map(tuple, clash.select(*key).collect())) == sorted(map(tuple, plain.select(*key).collect()))
+    assert all(r.part == r.cut == r._node == r.doc_id for r in clash.collect())

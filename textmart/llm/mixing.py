@@ -26,6 +26,7 @@ names of the result are replaced.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -137,11 +138,15 @@ def mix(docs: DataFrame, budget: float | None, levels: Sequence[str] = ("domain"
     cuts = cuts.select("node", F.col("place").alias("cut"), (F.col("rest") - F.col("upto") + F.col("tokens")).alias("part"))
     final = written(shares.join(cuts, "node", "left"), "cuts")
 
+    # Names of its own for what is added: no column of the table has them.
+    own = {c: f"{c}_{uuid.uuid4().hex}" for c in (*final.columns, "hash", "path", "taken")}
+    final = final.select(*[F.col(c).alias(own[c]) for c in final.columns])
+    named = {c: F.col(n) for c, n in own.items()}
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in RESULT]
-    wide = docs.select(*rest, leaf_path.alias("_node"), count.alias("n_tokens"), F.xxhash64(text).alias("_hash"))
-    met = wide.join(final, wide["_node"] == final["node"]).where("n_tokens > 0")
-    place = order_of(seed, F.col("whole"), F.col(key), F.col("_hash"))
-    partly = F.when(place < F.col("cut"), F.col("n_tokens")).when(place == F.col("cut"), F.least("part", "n_tokens")).otherwise(F.lit(0))
-    out = met.withColumn("_part", F.coalesce(partly, F.lit(0)).cast("long"))
-    out = out.withColumn("epochs", (F.col("whole") + (F.col("_part") > 0).cast("int")).cast("int")).withColumn("take_tokens", F.col("whole") * F.col("n_tokens") + F.col("_part"))
+    wide = docs.select(*rest, leaf_path.alias(own["path"]), count.alias("n_tokens"), F.xxhash64(text).alias(own["hash"]))
+    met = wide.join(final, named["path"] == named["node"]).where("n_tokens > 0")
+    place = order_of(seed, named["whole"], F.col(key), named["hash"])
+    partly = F.when(place < named["cut"], F.col("n_tokens")).when(place == named["cut"], F.least(named["part"], "n_tokens")).otherwise(F.lit(0))
+    out = met.withColumn(own["taken"], F.coalesce(partly, F.lit(0)).cast("long"))
+    out = out.withColumn("epochs", (named["whole"] + (named["taken"] > 0).cast("int")).cast("int")).withColumn("take_tokens", named["whole"] * F.col("n_tokens") + named["taken"])
     return out.where("epochs > 0").select(*rest, *RESULT)
