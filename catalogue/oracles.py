@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from catalogue import standins as N
+from textmart import rules as R
 
 
 def q(text: str) -> str:
@@ -475,6 +476,30 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+# The default rules, on titles made of their own keywords.
+NAMED = f"list_value({', '.join(q(n) for n in N.DEFAULT_NAMES)})[p_partkey % {len(N.DEFAULT_NAMES)} + 1]"
+TITLES = (
+    f"SELECT p_partkey, concat_ws(' ', list_value({', '.join(q(x) for x in N.DEFAULT_LEVELS)})[p_partkey % {len(N.DEFAULT_LEVELS)} + 1], "
+    f"list_value({', '.join(q(x) for x in N.DEFAULT_KEYWORDS)})[p_partkey % {len(N.DEFAULT_KEYWORDS)} + 1], p_name) AS title FROM part"
+)
+DEFAULT_LEVEL_LIST = ", ".join(f"CASE WHEN regexp_matches(low, {q(p)}) THEN {q(label)} END" for label, p in R.LEVEL_PATTERNS)
+ORACLES |= {
+    "default_levels": (
+        f"WITH t AS (SELECT p_partkey, translate(strip_accents(lower(title)), '/|', '  ') AS low FROM ({TITLES})), "
+        f"f AS (SELECT p_partkey, list_filter([{DEFAULT_LEVEL_LIST}], lambda v: v IS NOT NULL) AS found FROM t) "
+        f"SELECT p_partkey, CASE WHEN len(found) > 0 THEN array_to_string(found, '|') ELSE {q(R.LEVEL_DEFAULT)} END AS levels FROM f"
+    ),
+    "default_groups": (
+        "WITH t AS (SELECT p_partkey, trim(regexp_replace(translate(strip_accents(lower(title)), '()/|.,{}\\''\"[]', '              '), ' +', ' ', 'g')) AS low "
+        f"FROM ({TITLES})) "
+        f"SELECT p_partkey, {cascade('low', R.POSITION_RULES, R.POSITION_DEFAULT)} AS position_group FROM t"
+    ),
+    "default_names": (
+        f"WITH t AS (SELECT p_partkey, {NAMED} AS name FROM part) "
+        f"SELECT p_partkey, {standard('trim(name)', R.SKILL_NAMES, R.SKILL_NAME_PARTS)} AS name FROM t"
+    ),
+}
+
 # The same rows by another way.
 ORACLES |= {
     "dictionary_match_automaton": ORACLES["dictionary_match"],

@@ -326,6 +326,31 @@ def classify_membership(spark, sf):
 # --- joins and incremental batches --------------------------------------------
 
 
+def _default_titles(spark, sf):
+    """Titles that hold each keyword of the default rules in turn, a level, and a part's name."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    of = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("p_partkey") % len(values)).cast("int"))
+    return part.select("p_partkey", "p_name", F.concat_ws(" ", of(N.DEFAULT_LEVELS), of(N.DEFAULT_KEYWORDS), "p_name").alias("title"))
+
+
+@query
+def default_levels(spark, sf):
+    return _default_titles(spark, sf).select("p_partkey", joined(C.levels(F.col("title"))).alias("levels"))
+
+
+@query
+def default_groups(spark, sf):
+    return _default_titles(spark, sf).select("p_partkey", C.position_group(F.col("title")).alias("position_group"))
+
+
+@query
+def default_names(spark, sf):
+    """The default names of skills: each name of the exact map and each part of the substring rules in turn."""
+    part = table(spark, sf, "part").select("p_partkey")
+    name = F.get(F.array(*map(F.lit, N.DEFAULT_NAMES)), (F.col("p_partkey") % len(N.DEFAULT_NAMES)).cast("int"))
+    return part.select("p_partkey", C.standardize_name(name).alias("name"))
+
+
 @query
 def maintained_counts(spark, sf):
     """Orders per ship mode and return flag over four batches; later ones take orders' small items away."""

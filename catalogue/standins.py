@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from textmart import rules as R
 from textmart.functions.html import Field
 from textmart.plans.extract import PageLayout
 from textmart.schemas import CASCADE, DICTIONARY, EXACT_MAP
@@ -77,6 +78,11 @@ PAIR_MEMBERS = ["archived", "returned"]
 
 ROMANCE = ["fr", "es"]
 
+# Titles for the default rules: levels in several spellings, and every keyword of every group.
+DEFAULT_LEVELS = ["Senior", "Jr.", "Estagio em", "Senior/Pleno", "Data Intern |", "Staff", "Mid-Level", "Gerente", "Trainee Junior"]
+DEFAULT_KEYWORDS = [k for _, keywords in R.POSITION_RULES for k in keywords]
+DEFAULT_NAMES = [*[f" {n.upper()} " for n in R.SKILL_NAMES], *[f"my {p} tool" for _, parts in R.SKILL_NAME_PARTS for p in parts], "unknown thing"]
+
 # Pages: a heading or the page title; no image gives a company, the first link
 # does; the advertisement block stands for the city.
 PAGE = PageLayout(
