@@ -11,6 +11,7 @@ import re
 
 from catalogue import standins as N
 from textmart import rules as R
+from textmart.functions import romanise as Z
 
 
 def q(text: str) -> str:
@@ -204,11 +205,33 @@ PENDING = entries(
     "AND f.job_id IN (SELECT CAST(user_id AS VARCHAR) FROM events)"
 )
 
+
+
+def romanised(text: str) -> str:
+    """Hangul by the arithmetic of its letters, then kana, longest first."""
+    first, vowel, last = (
+        "[" + ",".join(q(x.replace("-", "")) for x in names.split(" ")) + "]"
+        for names in (Z.HANGUL_FIRST, Z.HANGUL_VOWEL, Z.HANGUL_LAST)
+    )
+    code = "(unicode(c) - 44032)"
+    syllable = f"{first}[{code} // 588 + 1] || {vowel}[{code} % 588 // 28 + 1] || {last}[{code} % 28 + 1]"
+    text = (
+        f"array_to_string(list_transform(string_split({text}, ''), "
+        f"lambda c: CASE WHEN unicode(c) BETWEEN 44032 AND 55203 THEN {syllable} ELSE c END), '')"
+    )
+    pairs = "っき kき っか kか っし sし っつ ttsu きゃ kya しゃ sha っ tsu ゃ ya き ki し shi か ka つ tsu ん n".split(" ")
+    for kana, latin in zip(pairs[::2], pairs[1::2]):
+        text = f"replace({text}, {q(kana)}, {q(latin)})"
+    return text
+
+
 # --- one statement per query ---------------------------------------------------
 
 ORACLES: dict[str, str] = {
     "fold_text": f"SELECT doc_id, {fold('text')} AS folded FROM documents",
     "fold_translit": f"SELECT doc_id, {spell('text')} AS spelled FROM documents",
+    "romanised_names": f"SELECT p_partkey, {romanised('w')} || '  ' || p_brand AS spelled, '部' AS dropped FROM (SELECT *, "
+    f"translate(p_name, 'abcdefghijklmnopqrst', {q(N.HANGUL + N.KANA)}) AS w FROM part)",
     "collapse_newlines": "SELECT doc_id, regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS clean FROM documents",
     "strip_punct": (
         "SELECT doc_id, trim(regexp_replace(regexp_replace(text, "

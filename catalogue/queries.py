@@ -68,6 +68,16 @@ def fold_translit(spark, sf):
     return docs.select("doc_id", X.transliterate(F.col("text")).alias("spelled"))
 
 
+@query
+def romanised_names(spark, sf):
+    """Part names written in two other scripts, spelled; and the characters that have no spelling."""
+    written = F.translate("p_name", "abcdefghijklmnopqrst", N.HANGUL + N.KANA)
+    parts = table(spark, sf, "part").select("p_partkey", F.concat(written, F.lit(" 部 "), "p_brand").alias("name"))
+    return parts.select(
+        "p_partkey", X.transliterate(F.col("name")).alias("spelled"), joined(X.not_spelled(F.col("name"))).alias("dropped")
+    )
+
+
 @query
 def collapse_newlines(spark, sf):
     docs = texts(spark, sf, "documents", "doc_id", "text")

@@ -119,3 +119,8 @@ def _local(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFr
     """A small table as a local relation; plain rows would start Python workers."""
     columns = dict(zip(schema.names, map(list, zip(*rows))))
     return spark.createDataFrame(pa.table(columns), schema)
+
+
+# Letters of part names and what stands for them in other scripts: a to m, then n to t.
+HANGUL = "한국어데터분석가서울부산강"
+KANA = "きゃっんしかつ"

@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textmart.functions.literals import string_map
+from textmart.functions.romanise import ranges, repertoire, romanise
 
 # What counts as whitespace, besides the blank, once the text is ASCII
 # (the separators 0x1C-0x1F are included, Java's \s leaves them out).
@@ -80,16 +81,21 @@ def _decompositions() -> dict[str, str]:
 
 @lru_cache(maxsize=None)
 def _spelling_table() -> dict[str, str]:
-    return {**_decompositions(), **_letters(CYRILLIC), **_letters(GREEK), **SPELLINGS}
+    return {**_digits(), **_decompositions(), **_letters(CYRILLIC), **_letters(GREEK), **SPELLINGS}
 
 
-def _to_ascii(col: Column, table: dict[str, str]) -> Column:
+def _digits() -> dict[str, str]:
+    """Decimal digits of all scripts."""
+    return {chr(cp): str(unicodedata.decimal(chr(cp))) for cp in range(0x80, _LAST_CODE_POINT + 1) if chr(cp).isdecimal()}
+
+
+def _to_ascii(col: Column, table: dict[str, str], scripts: bool = False) -> Column:
     """Map single characters, then drop what is still not ASCII.
 
     One-to-one mappings go through a single `translate`. The one-to-many ones
     (ligatures, fractions, the ellipsis) are looked up character by character, only
     in rows that hold one. Pure ASCII rows, told by byte length = char length, skip
-    it all.
+    it all. With `scripts`, those of `romanise` are spelled before, in the same rows.
     """
     single = {k: v for k, v in table.items() if len(v) == 1}
     many = {k: v for k, v in table.items() if len(v) != 1}
@@ -99,8 +105,8 @@ def _to_ascii(col: Column, table: dict[str, str]) -> Column:
     far = "".join(re.escape(c) for c in many if ord(c) > _LATIN_END)
     latin = rf"\x00-\x{{{_LATIN_END:x}}}"
     maybe_many = rf"[{near}[^{latin}]]"
-    has_many = rf"[{near}]|(?=[^{latin}])[{far}]"
-    pieces = F.regexp_extract_all(col, F.lit(rf"([{latin}&&[^{near}]]+|[\s\S])"), F.lit(1))
+    has_many = rf"[{near}]|(?=[^{latin}])[{far}{repertoire() if scripts else ''}]"
+    pieces = F.regexp_extract_all(romanise(col) if scripts else col, F.lit(rf"([{latin}&&[^{near}]]+|[\s\S])"), F.lit(1))
     literal = string_map(many)
     spelled = F.array_join(
         F.transform(pieces, lambda p: F.coalesce(F.try_element_at(literal, p), p)), ""
@@ -128,11 +134,22 @@ def _one_blank(col: Column) -> Column:
 
 
 def transliterate(col: Column) -> Column:
-    """Spell Latin, Cyrillic and Greek letters and punctuation in ASCII; keeps case and whitespace.
+    """Spell letters, digits and punctuation in ASCII; keeps case and whitespace.
+
+    Covers decomposable characters, the tables above, the scripts of `romanise` and decimal
+    digits of all scripts. Other characters are dropped; `not_spelled` tells which.
+    """
+    return _to_ascii(col, _spelling_table(), scripts=True)
+
+
+def not_spelled(col: Column) -> Column:
+    """The distinct characters that `transliterate` drops, in order of their first place.
 
-    Covers decomposable characters and the tables above; other scripts are dropped.
+    Combining accents (U+0300 to U+036F) belong to the letter before and count as spelled.
     """
-    return _to_ascii(col, _spelling_table())
+    known = repertoire() + ranges(_spelling_table()) + r"\x{300}-\x{36f}"
+    dropped = F.regexp_extract_all(col, F.lit(rf"((?=[^\x00-\x7F])[^{known}])"), F.lit(1))
+    return F.when(F.octet_length(col) == F.char_length(col), F.expr("CAST(array() AS ARRAY<STRING>)")).otherwise(F.array_distinct(dropped))
 
 
 def fold_text(value: str) -> str:
