@@ -253,6 +253,11 @@ ORACLES: dict[str, str] = {
         f"SELECT page_id, {TITLE} AS title, {COMPANY} AS company, {CITY} AS city, {LANG} AS lang, "
         f"{BODY} AS body FROM {VISIBLE}"
     ),
+    "html_selectors": (
+        "SELECT page_id, CASE WHEN h LIKE '%</li><li>%' THEN regexp_extract(h, '<nav><ul><li>.*?</li><li><a href=\"([^\"]*)\"', 1) END AS second_link, "
+        f"{element_or_null('(?s)<article><h1>(.*?)</h1>')} AS heading, {element_or_null('(?s)<title>(.*?)</title>')} AS title, "
+        f"{element_or_null('<a href=\"[^\"]*,\">([^<]*)</a>')} AS comma_link, CAST(NULL AS VARCHAR) AS none FROM {VISIBLE}"
+    ),
     "extract_ids": (
         "SELECT page_id, CAST(unnest(range(len(ids))) AS BIGINT) AS pos, unnest(ids) AS job_id FROM "
         "(SELECT page_id, regexp_extract_all(html, 'href=\"/([^\"]+)\"', 1) AS ids FROM pages)"

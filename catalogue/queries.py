@@ -152,6 +152,13 @@ def html_container_text(spark, sf):
     return H.native_fields(pages, "page_id", "html", {"body": N.PAGE.body})
 
 
+@query
+def html_selectors(spark, sf):
+    """Fields by selectors with combinators and attribute operators."""
+    pages = texts(spark, sf, "pages", "page_id", "html")
+    return H.read_fields(pages, "page_id", "html", {n: H.Field.of(*f) for n, f in N.SELECTED.items()})
+
+
 @query
 def html_checked(spark, sf):
     """The default path: native where a page is regular, parsed where it is not."""

@@ -92,6 +92,13 @@ PAGE = PageLayout(
     body=Field.of("article", "text"),
 )
 LANG = Field.of("html", "attr:lang")
+SELECTED = {
+    "second_link": ("nav > ul li + li > a[href^='/']", "attr:href"),
+    "heading": ("nav ~ article > h1, table h1",),
+    "title": ("head > meta[charset] + title",),
+    "comma_link": ('nav a[href$=","]',),
+    "none": ("article ~ nav a",),
+}
 LINK_PATTERN = r'href="/([^"]+)"'
 # Long link names only, so that some pages show no id at all.
 LONG_LINK_PATTERN = r'href="/(\p{L}{6,})'

@@ -8,7 +8,8 @@ Two paths read the same `Selector`s:
   batches, for any markup.
 
 `read_fields` sends each page down the first path if it is regular and down the
-second if not, so it is exact for both.
+second if not, so it is exact for both. Selectors with combinators (`selectors.Path`) are
+read by the second path alone.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmart.functions.literals import let, string_map
+from textmart.functions.selectors import Frame, Path
 from textmart.functions.text import STRIP_CHARS, strip
 
 # The parser goes to the Python workers with the query, so they need no copy of
@@ -39,6 +41,10 @@ _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _MARK = "<!>"
 
 
+# A compound that the native path reads: tag, classes, attributes equal to a value.
+_SIMPLE = re.compile(r"""(\w*)((?:\.[\w-]+)*)((?:\[[\w-]+=(?:"[^"\]]*"|'[^'\]]*'|[^\s\]"']*)\])*)""")
+
+
 @dataclass(frozen=True)
 class Selector:
     """One compound selector: tag, classes and attribute values."""
@@ -49,7 +55,7 @@ class Selector:
 
     @staticmethod
     def of(text: str) -> Selector:
-        m = re.fullmatch(r"(\w*)((?:\.[\w-]+)*)((?:\[[\w-]+=[^\]]*\])*)", text)
+        m = _SIMPLE.fullmatch(text)
         if m is None:
             raise ValueError(f"not a compound selector: {text!r}")
         attrs = re.findall(r"\[([\w-]+)=['\"]?([^\]'\"]*)['\"]?\]", m.group(3))
@@ -85,12 +91,13 @@ class Field:
     nodes without separator, NULL if absent) or 'attr:<name>'.
     """
 
-    selector: Selector
+    selector: Selector | Path
     how: str = "strip"
 
     @staticmethod
     def of(selector: str, how: str = "strip") -> Field:
-        return Field(Selector.of(selector), how)
+        simple = _SIMPLE.fullmatch(selector)
+        return Field(Selector.of(selector) if simple else Path.of(selector), how)
 
 
 # --- native path -------------------------------------------------------------
@@ -194,7 +201,9 @@ def _value(nodes: Column, field: Field) -> Column:
 
 
 def native_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) -> DataFrame:
-    """(key, one STRING per field) by column expressions, for regular markup."""
+    """(key, one STRING per field) by column expressions, for regular markup and simple selectors."""
+    if any(isinstance(f.selector, Path) for f in fields.values()):
+        raise ValueError("selectors with combinators are read by parse_fields or read_fields")
     markup = df.select(key, visible_markup(F.col(html)).alias("_markup"))
     specs = list(fields.values())
     sources = [_source(F.col("_markup"), f) for f in specs]
@@ -266,7 +275,10 @@ def read_fields(df: DataFrame, key: str, html: str, fields: dict[str, Field]) ->
 
     Both paths are one pass. Only the pages that are not regular are handed to the
     Python workers; of the others they get a NULL, and the values stay in the JVM.
+    A selector with combinators needs the parser on all pages, which then reads all fields.
     """
+    if any(isinstance(f.selector, Path) for f in fields.values()):
+        return parse_fields(df, key, html, fields)
     used = {"class"} | {k for f in fields.values() for k, _ in f.selector.attrs}
     used |= {f.how.removeprefix("attr:") for f in fields.values() if _is_attribute(f)}
     odd = _ODD_MARKUP.replace("ATTRIBUTES", "|".join(map(re.escape, sorted(used))))
@@ -312,6 +324,8 @@ class _FieldReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.fields = fields
         self.open: list[str] = []
+        # For each selector with combinators, the frames of the open elements below one for all.
+        self.frames = {i: [Frame()] for i, f in enumerate(fields) if isinstance(f.selector, Path)}
         self.buffer: list[str] = []
         self.nodes: list[list[str] | None] = [None] * len(fields)
         self.attrs: list[str | None] = [None] * len(fields)
@@ -323,12 +337,21 @@ class _FieldReader(HTMLParser):
         if tag not in _VOID:
             self.open.append(tag)
         for i, field in enumerate(self.fields):
-            if self.nodes[i] is None and field.selector.matches(tag, given):
+            if self.nodes[i] is None and self.selected(i, field.selector, tag, given):
                 self.nodes[i] = []
                 self.depth[i] = 0 if tag in _VOID else len(self.open)
                 if field.how.startswith("attr:"):
                     self.attrs[i] = given.get(field.how.removeprefix("attr:"))
 
+    def selected(self, i: int, selector: Selector | Path, tag: str, attrs: dict[str, str | None]) -> bool:
+        if isinstance(selector, Selector):
+            return selector.matches(tag, attrs)
+        parent = self.frames[i][-1]
+        own = selector.state(tag, attrs, parent)
+        if tag not in _VOID:
+            self.frames[i].append(Frame(own, parent.inside | own))
+        return own & selector.ends != 0
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
@@ -338,6 +361,8 @@ class _FieldReader(HTMLParser):
         if tag in self.open:
             while self.open.pop() != tag:
                 pass
+            for frames in self.frames.values():
+                del frames[len(self.open) + 1 :]
             for i, depth in enumerate(self.depth):
                 if depth > len(self.open):
                     self.depth[i] = 0
