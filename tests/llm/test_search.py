@@ -3,7 +3,8 @@ import math
 import numpy as np
 
 from textmart.llm.lattice import cell_keys, linked_vectors, nearest_e8, shortest_vectors
-from textmart.llm.segment_search import best_of_block, statistics, top_k
+from textmart.llm import segment_search
+from textmart.llm.segment_search import best_of_block, statistics, survivors, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, rank string, score int"
 
@@ -46,6 +47,37 @@ def test_bounds_hold_and_large_numbers_are_exact():
     assert scores.tolist() == [2**31 * (2**31 - 1) + 10]
 
 
+def test_blocks_in_turn_equal_one_and_leave_few_pairs():
+    """Vectors around centres: the floors of earlier blocks and the coarse bounds leave few pairs to the finer ones."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(0, 1000, (40, 8)).repeat(8, axis=1)
+    rows = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(0, 40, (4000, 64)))
+    q_ids, q, ids, k = np.arange(50), rows[:50], np.arange(4000), 10
+    exact = q @ rows.T
+    exact[np.arange(50), np.arange(50)] = -np.inf
+    best, found, pairs = np.full((50, k), -np.inf), [], []
+    for low in range(0, 4000, 500):
+        block = slice(low, low + 500)
+        pairs.append(len(survivors(q_ids, q, ids[block], rows[block], k, best.min(axis=1))[0]))
+        a, b, scores = best_of_block(q_ids, q, ids[block], rows[block], k, best)
+        found += zip(a.tolist(), (-scores).tolist(), (b + low).tolist())
+    for i in range(50):
+        want = sorted((-s, j) for j, s in enumerate(exact[i]) if j != i)[:k]
+        assert sorted(f[1:] for f in found if f[0] == i)[:k] == want
+    assert (best.min(axis=1) <= np.sort(exact, axis=1)[:, -k]).all()
+    assert max(pairs[1:]) < 50 * 500 * 0.2 and sum(pairs[1:]) < 50 * 3500 * 0.1
+
+
+def test_groups_of_queries_one_after_the_other(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.choice([-1.0, 0.25, 0.5], (120, 6)))]
+    data = frame(spark, rows)
+    want = top_k(data, data, 3).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(segment_search, "GROUP", 1)
+    monkeypatch.setattr(segment_search, "BLOCK", 16)
+    assert top_k(data, data, 3).orderBy("query_id", "rank").collect() == want and len(want) == 360
+
+
 def test_top_k_of_empty_tables(spark):
     data = frame(spark, [(1, [0.5])])
     assert top_k(data, data.where("false")).collect() == []
