@@ -21,7 +21,7 @@ from textmart.operators import marts as M
 from textmart.operators import model as O
 from textmart.plans import analyse, collect, extract
 from textmart.session import scratch_path
-from textmart.sizes import spread
+from textmart.sizes import dealt, spread
 from textmart.streaming import first_seen as SF
 from textmart.streaming import take_while as TW
 from textmart.streaming import upserts as SU
@@ -574,6 +574,10 @@ def _order_parts(spark, sf):
     )
 
 
+def _order_pairs(items):
+    return dealt(items.select("job_id", "skill"), "job_id", "skill").distinct()
+
+
 @query
 def replace_children(spark, sf):
     """Open orders arrive with their returned items, numbered anew, as new children;
@@ -824,7 +828,7 @@ def _order_model(spark, sf):
         F.col("o_orderpriority").alias("title"),
         F.expr("nullif(o_orderstatus, 'P')").alias("work_mode"),
     )
-    return jobs, _order_parts(spark, sf).select("job_id", "skill").distinct()
+    return jobs, _order_pairs(_order_parts(spark, sf))
 
 
 @query
@@ -867,7 +871,7 @@ def sink_model_table_roundtrip(spark, sf):
         "job_id", F.lower("title").alias("title"), F.lit(None).cast("string").alias("work_mode"),
         moment("2024-06-01 00:00:00").alias("created_at"),
     )
-    new = skills.select("job_id", (F.col("skill") + 1).alias("skill"))
+    new = _order_parts(spark, sf).select("job_id", (F.col("skill") + 1).alias("skill"))
     sources.write_model(
         batch, new, "database", path, current=(base, skills), columns=["title", "work_mode"]
     )

@@ -94,3 +94,16 @@ def test_frontier_has_no_join(spark):
     terms = spark.createDataFrame([("a",)], "term STRING")
     _, plan = executed(I.url_frontier(terms, "%s/%d", 3, 10, []))
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_replaced_children_are_not_sorted(tight):
+    """More parents than are broadcast; one of them has a third of the children."""
+    parents = tight.range(0, 600_000, 1, 4).select(F.col("id").alias("k")).where("k % 2 = 0")
+    new = tight.range(0, 60_000, 1, 4).select((F.col("id") % 500).alias("k"), (F.col("id") % 3).cast("string").alias("v"))
+    got, plan = executed(O.replace_children(skewed(tight), parents, new, "k", "v"))
+    kept = {(r.k, r.v) for r in skewed(tight).where("k % 2 = 1").collect()}
+    assert {(r.k, r.v) for r in got} == kept | {(k, str(v)) for k in range(0, 500, 2) for v in range(3)}
+    assert len(got) == len(kept) + 750
+    final = plan.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and "ShuffledHashJoin" in final and "Sort [" not in final
+    assert "skew=true" in final.replace(" ", "").lower()

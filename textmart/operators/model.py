@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmart.functions.literals import explode_computed
+from textmart.sizes import dealt, looked_up
 
 
 # --- shaping -----------------------------------------------------------------
@@ -159,11 +160,12 @@ def replace_children(
     """Children after each incoming parent's set was replaced by its new one.
 
     A parent without new children loses its old ones. New children of no incoming
-    parent are dropped, as the table sink does.
+    parent are dropped, as the table sink does. Children are neither sorted nor held in
+    a task, but for the tables of different pairs, dealt by row.
     """
-    incoming = parents.select(key).distinct()
+    incoming = looked_up(parents.select(key).distinct())
     kept = children.join(incoming, key, "left_anti")
-    fresh = new.join(incoming, key, "left_semi").select(key, item).distinct()
+    fresh = dealt(new.select(key, item), key, item).distinct().join(incoming, key, "left_semi")
     return kept.select(key, item).unionByName(fresh)
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 MAX_LITERAL_ROWS = 5_000
 # A lookup table up to this many (narrow) rows gets a broadcast hint.
 MAX_BROADCAST_ROWS = 200_000
+# Narrow rows dealt to one task that keeps them in a hash table.
+ROWS_PER_TASK = 500_000
 
 
 def collect_if_small(df: DataFrame, limit: int = MAX_LITERAL_ROWS) -> list[Row] | None:
@@ -39,3 +41,22 @@ def spread(scan: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if the row count is checked; else leave it to AQE."""
     return F.broadcast(df) if is_small(df, limit) else df
+
+
+def dealt(df: DataFrame, *keys: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Deal narrow rows by their keys, so many to a task, for a hash table on them.
+
+    AQE merges partitions up to a number of compressed bytes, which may be ten million narrow
+    rows in one task. Use it on keys that no large share of the rows has in common. The
+    rows are counted first: store them if they are costly.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(tasks, *keys)
+
+
+def looked_up(keys: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Distinct keys as the right side of a semi or anti join: a broadcast if few, else a hash table for each partition.
+
+    The left side streams past them and is not sorted; its hot keys are still split by AQE.
+    """
+    return F.broadcast(keys) if is_small(keys, limit) else keys.hint("shuffle_hash")
