@@ -583,7 +583,7 @@ def replace_children(spark, sf):
     """Open orders arrive with their returned items, numbered anew, as new children;
     returned items of other orders are orphans."""
     items = _order_parts(spark, sf)
-    old = items.select("job_id", "skill").distinct()
+    old = _order_pairs(items)
     parents = table(spark, sf, "orders").where("o_orderstatus = 'O'").select(
         F.col("o_orderkey").alias("job_id")
     )

@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue.queries import QUERIES
 from textmart.functions.literals import explode_computed
 from textmart.operators import incremental as I
 from textmart.operators import marts as M
 from textmart.operators import model as O
+from textmart.sizes import dealt
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -107,3 +109,16 @@ def test_replaced_children_are_not_sorted(tight):
     final = plan.split("== Initial Plan ==")[0]
     assert "SortMergeJoin" not in final and "ShuffledHashJoin" in final and "Sort [" not in final
     assert "skew=true" in final.replace(" ", "").lower()
+
+
+def test_pairs_are_dealt_by_rows(spark):
+    """AQE would merge these 40,000 rows, 1 KB compressed, into one task."""
+    pairs = spark.range(0, 40_000, 1, 2).select((F.col("id") % 20_000).alias("k"), F.lit(1).alias("v"))
+    sizes = dealt(pairs, "k", "v", rows=1_000).distinct().groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 1_000
+
+
+def test_query_deals_its_old_children_by_rows(spark):
+    _, plan = executed(QUERIES["replace_children"](spark, "/root/testdata/sf0.001"))
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("REPARTITION_BY_NUM") >= 2 and "SortMergeJoin" not in final
