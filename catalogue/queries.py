@@ -594,7 +594,7 @@ def replace_children(spark, sf):
 @query
 def insert_ignore(spark, sf):
     items = _order_parts(spark, sf)
-    base = items.where("l_linestatus = 'F'").select("job_id", "skill").distinct()
+    base = _order_pairs(items.where("l_linestatus = 'F'"))
     new = items.where("l_returnflag = 'A' OR l_linestatus <> 'F'").select("job_id", "skill")
     return O.insert_ignore(base, new, ["job_id", "skill"])
 

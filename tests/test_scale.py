@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue.queries import QUERIES
+from textmart import sizes
 from textmart.functions.literals import explode_computed
 from textmart.operators import incremental as I
 from textmart.operators import marts as M
@@ -113,12 +114,21 @@ def test_replaced_children_are_not_sorted(tight):
 
 def test_pairs_are_dealt_by_rows(spark):
     """AQE would merge these 40,000 rows, 1 KB compressed, into one task."""
-    pairs = spark.range(0, 40_000, 1, 2).select((F.col("id") % 20_000).alias("k"), F.lit(1).alias("v"))
-    sizes = dealt(pairs, "k", "v", rows=1_000).distinct().groupBy(F.spark_partition_id()).count().collect()
-    assert sum(r["count"] for r in sizes) == 20_000 and max(r["count"] for r in sizes) < 1_000
+    pairs = spark.range(0, 40_000, 1, 2).select((F.col("id") % 20_000).alias("k"), (F.col("id") % 2).alias("v"))
+    tasks = dealt(pairs, "k", "v", rows=1_000).distinct().groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 20_000 and max(r["count"] for r in tasks) < 1_000
 
 
 def test_query_deals_its_old_children_by_rows(spark):
     _, plan = executed(QUERIES["replace_children"](spark, "/root/testdata/sf0.001"))
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("REPARTITION_BY_NUM") >= 2 and "SortMergeJoin" not in final
+
+
+def test_insert_ignore_meets_in_tasks_of_rows(tight, monkeypatch):
+    monkeypatch.setattr(sizes, "ROWS_PER_TASK", 1_000)
+    base = tight.range(0, 30_000, 1, 2).select("id", F.lit("base").alias("v"))
+    new = tight.range(20_000, 40_000, 1, 2).select("id", F.lit("new").alias("v"))
+    got, plan = executed(O.insert_ignore(base, new.unionAll(new), ["id"]))
+    assert sorted((r.id, r.v) for r in got) == [(i, "base" if i < 30_000 else "new") for i in range(40_000)]
+    assert "hashpartitioning(id" in plan and ", 70), REPARTITION_BY_NUM" in plan

@@ -147,10 +147,12 @@ def upsert_pages(
 
 
 def insert_ignore(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the rows whose composite key is not there yet, one per key."""
-    fresh = new.dropDuplicates(list(keys)).join(
-        base.select(*keys), list(keys), "left_anti"
-    )
+    """Add the rows whose composite key is not there yet, one per key.
+
+    Both sides meet in tasks of a number of rows; the base's keys follow the dealt side.
+    """
+    there = base.select(*keys)
+    fresh = dealt(new, *keys, beside=there).dropDuplicates(list(keys)).join(there, list(keys), "left_anti")
     return base.unionByName(fresh)
 
 

@@ -43,15 +43,15 @@ def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFr
     return F.broadcast(df) if is_small(df, limit) else df
 
 
-def dealt(df: DataFrame, *keys: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+def dealt(df: DataFrame, *keys: str, beside: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Deal narrow rows by their keys, so many to a task, for a hash table on them.
 
     AQE merges partitions up to a number of compressed bytes, which may be ten million narrow
     rows in one task. Use it on keys that no large share of the rows has in common. The
-    rows are counted first: store them if they are costly.
+    rows, and those of a frame to be joined on the keys, are counted first: store them if they are costly.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return df.repartition(tasks, *keys)
+    n = df.count() + (beside.count() if beside is not None else 0)
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-n // (rows or ROWS_PER_TASK))), *keys)
 
 
 def looked_up(keys: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
