@@ -19,12 +19,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from textmart.operators.model import latest
 from textmart.sizes import broadcast_if_small
 from textmart.sources.read import load_or_empty
 
 STRETCH = 32_768
+WORD = 64
+# So many bitmaps are worked on at once in a task.
+BITMAPS = 512
 _STATE = "grp STRING, stretch LONG, bits BINARY"
 _COMMIT = "kind STRING, batch_id LONG"
 # The group of all entities that are in some group.
@@ -32,20 +36,54 @@ ALL = "\u0000all"
 
 
 def bitmaps(pairs: DataFrame, *keys: str) -> DataFrame:
-    """One bitmap of 4,096 bytes for each value of the keys and each stretch of column `entity`, combined map-side."""
-    place = pairs.withColumn("stretch", F.floor(F.col("entity") / STRETCH))
-    return place.groupBy(*keys, "stretch").agg(F.bitmap_construct_agg(F.pmod("entity", F.lit(STRETCH))).alias("bits"))
+    """One bitmap of 4,096 bytes for each value of the keys and each stretch of column `entity`.
+
+    The bits are or-ed in words of 64 first, in a hash table before the shuffle: no row is
+    sorted, and a bitmap is put together from 512 words at most.
+    """
+    place = pairs.select(
+        *keys,
+        F.floor(F.col("entity") / STRETCH).alias("stretch"),
+        F.expr(f"CAST(pmod(entity, {STRETCH}) DIV {WORD} AS INT)").alias("word"),
+        F.expr(f"shiftleft(1L, CAST(pmod(entity, {WORD}) AS INT))").alias("bit"),
+    )
+    words = place.groupBy(*keys, "stretch", "word").agg(F.bit_or("bit").alias("bits"))
+    lists = words.groupBy(*keys, "stretch").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
+    schema = StructType([*lists.schema[:-1], StructField("bits", BinaryType())])
+    return lists.mapInArrow(_assembled, schema)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few bitmaps at a time, whatever the size of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BITMAPS):
+            yield batch.slice(at, BITMAPS)
+
+
+def _rows(bits: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in bits], pa.binary())
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(keys, stretch, list of (word, bits)) to (keys, stretch, bitmap): bit n of a bitmap is bit n % 8 of byte n // 8."""
+    for batch in _parts(batches):
+        words = batch.column("words")
+        row = np.repeat(np.arange(len(words)), np.diff(words.offsets.to_numpy()))
+        word, bits = (x.to_numpy() for x in words.flatten().flatten())
+        out = np.zeros((len(words), STRETCH // WORD), "<i8")
+        out[row, word] = bits
+        yield pa.record_batch([*batch.columns[:-1], _rows(out)], names=[*batch.schema.names[:-1], "bits"])
 
 
 def _replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(grp, stretch, old, touched, new) to (grp, stretch, old without touched, with new)."""
-    for batch in batches:
+    """(grp, stretch, old, touched, new) to (grp, stretch, old without touched, with those of new that are touched)."""
+    for batch in _parts(batches):
         old, touched, new = (
             np.frombuffer(b"".join(b if b is not None else bytes(STRETCH // 8) for b in batch.column(c).to_pylist()), np.uint8)
             for c in ("old", "touched", "new")
         )
-        now = ((old & ~touched) | new).reshape(batch.num_rows, -1)
-        yield pa.record_batch([batch.column("grp"), batch.column("stretch"), pa.array([row.tobytes() for row in now], pa.binary())], names=["grp", "stretch", "bits"])
+        now = ((old & ~touched) | (new & touched)).reshape(batch.num_rows, -1)
+        yield pa.record_batch([batch.column("grp"), batch.column("stretch"), _rows(now)], names=["grp", "stretch", "bits"])
 
 
 def apply_batch(store: str, batch_id: int, touched: DataFrame, pairs: DataFrame, group: str, entity: str) -> None:
@@ -53,15 +91,16 @@ def apply_batch(store: str, batch_id: int, touched: DataFrame, pairs: DataFrame,
 
     Entities are whole numbers from 0; `pairs` of entities that are not touched, NULL groups and NULL
     entities play no part. Batches are numbered upwards; one that is committed is not
-    applied again. Both frames are read twice: store them first if they are costly.
+    applied again. Bits of entities that are not touched are left out where bitmaps meet; rows meet nowhere.
+    `touched` is read twice: store it first if it is costly.
     """
     spark = touched.sparkSession
     if not _commits(spark, store).where((F.col("kind") == "batch") & (F.col("batch_id") == batch_id)).isEmpty():
         return
     named = touched.select(F.col(entity).cast("long").alias("entity")).where("entity IS NOT NULL")
     given = pairs.select(F.col(group).cast("string").alias("grp"), F.col(entity).cast("long").alias("entity"))
-    given = given.where("grp IS NOT NULL AND entity IS NOT NULL").join(named.distinct(), "entity", "left_semi")
-    given = given.select("grp", "entity").unionAll(given.select(F.lit(ALL).alias("grp"), "entity"))
+    given = given.where("grp IS NOT NULL AND entity IS NOT NULL")
+    given = given.select(F.explode(F.array("grp", F.lit(ALL))).alias("grp"), "entity")
     cleared = bitmaps(named).withColumnRenamed("bits", "touched")
     fresh = bitmaps(given, "grp").withColumnRenamed("bits", "new")
     before = state(spark, store).withColumnRenamed("bits", "old")
