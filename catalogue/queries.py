@@ -910,6 +910,11 @@ def src_ids_csv(spark, sf):
     return sources.read_job_ids_csv(spark, path).select("job_id").distinct()
 
 
+def _many_tasks(scan):
+    """At least five tasks, and as many as the scan has: they grow with it, a task's bytes do not."""
+    return scan.repartition(max(5, scan.rdd.getNumPartitions()))
+
+
 @query
 def src_cache_last_wins(spark, sf):
     """Two appends of the cache: the later text of an id wins, whatever its blanks."""
@@ -958,8 +963,8 @@ def src_cache_default_appends(spark, sf):
     docs = table(spark, sf, "documents").select(
         (2 * F.col("doc_id")).cast("string").alias("job_id"), F.col("text").alias("html_text")
     )
-    sources.write_html_csv(pages.repartition(5), path)
-    sources.write_html_csv(docs.repartition(5), path)
+    sources.write_html_csv(_many_tasks(pages), path)
+    sources.write_html_csv(_many_tasks(docs), path)
     return sources.read_html_cache_csv(spark, path)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue.queries import QUERIES
-from textmart import sizes
+from textmart import sizes, sources
 from textmart.functions.literals import explode_computed
 from textmart.operators import incremental as I
 from textmart.operators import marts as M
@@ -132,3 +132,16 @@ def test_insert_ignore_meets_in_tasks_of_rows(tight, monkeypatch):
     got, plan = executed(O.insert_ignore(base, new.unionAll(new), ["id"]))
     assert sorted((r.id, r.v) for r in got) == [(i, "base" if i < 30_000 else "new") for i in range(40_000)]
     assert "hashpartitioning(id" in plan and ", 70), REPARTITION_BY_NUM" in plan
+
+
+@pytest.mark.parametrize("name", ["src_cache_default_appends"])
+def test_appends_are_written_by_as_many_tasks_as_are_read(spark, monkeypatch, name):
+    seen, write = [], sources.write_html_csv
+    monkeypatch.setattr(sources, "write_html_csv", lambda df, *a, **k: (seen.append(df.rdd.getNumPartitions()), write(df, *a, **k)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20kb")
+    try:
+        n = QUERIES[name](spark, "/root/testdata/sf0.001").count()
+        scans = [spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("pages", "documents")]
+        assert n and seen == [max(5, s.rdd.getNumPartitions()) for s in scans] and max(seen) > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
