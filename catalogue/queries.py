@@ -927,8 +927,8 @@ def src_cache_last_wins(spark, sf):
         (2 * F.col("doc_id")).cast("string").alias("job_id"), F.col("text").alias("html_text")
     )
     # Many tasks write each append, under names in no order.
-    sources.write_html_csv(pages.repartition(5), path, batch=0)
-    sources.write_html_csv(docs.repartition(5), path, batch=1)
+    sources.write_html_csv(_many_tasks(pages), path, batch=0)
+    sources.write_html_csv(_many_tasks(docs), path, batch=1)
     return sources.read_html_cache_csv(spark, path)
 
 

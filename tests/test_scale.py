@@ -134,7 +134,7 @@ def test_insert_ignore_meets_in_tasks_of_rows(tight, monkeypatch):
     assert "hashpartitioning(id" in plan and ", 70), REPARTITION_BY_NUM" in plan
 
 
-@pytest.mark.parametrize("name", ["src_cache_default_appends"])
+@pytest.mark.parametrize("name", ["src_cache_last_wins", "src_cache_default_appends"])
 def test_appends_are_written_by_as_many_tasks_as_are_read(spark, monkeypatch, name):
     seen, write = [], sources.write_html_csv
     monkeypatch.setattr(sources, "write_html_csv", lambda df, *a, **k: (seen.append(df.rdd.getNumPartitions()), write(df, *a, **k)))
