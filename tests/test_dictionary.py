@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -154,3 +155,21 @@ def test_a_stream_refuses_a_dictionary_beyond_its_bound(spark, tmp_path):
     stream = spark.readStream.schema("k INT, t STRING").parquet(str(tmp_path / "feed"))
     with pytest.raises(ValueError, match="at most 3 bytes"):
         match_dictionary(stream, "k", "t", table, literal_limit=0, automaton_limit=3)
+
+
+def test_a_walk_takes_memory_by_slices(monkeypatch):
+    """16 MB of text in one batch; all at once they took fifty times as much."""
+    trie = automaton.build([(b"spark\x01sql", "Spark SQL"), (b"spark", "Spark"), (b"c++", "C++")])
+    rng = random.Random(1)
+    words = ["spark", "sql", "sparksql", "c++", "sparks", "x", "-", "c"]
+    texts = pa.array([None, "", *(" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(2_000))])
+    whole = automaton.lists(trie, texts).to_pylist()
+    monkeypatch.setattr(automaton, "SLICE", 500)
+    assert automaton.lists(trie, texts).to_pylist() == whole and automaton.lists(trie, texts.slice(7, 300)).to_pylist() == whole[7:307]
+    monkeypatch.undo()
+    many = pa.array(["spark sql and c++ " * 1_000] * 900)
+    tracemalloc.start()
+    assert automaton.lists(trie, many).to_pylist() == [["C++", "Spark SQL"]] * 900
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6

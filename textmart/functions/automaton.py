@@ -29,6 +29,8 @@ from textmart.sources import files
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(files)
 
+# Bytes of text that walk at once; a byte of them takes up to 50 bytes for a while.
+SLICE = 1 << 20
 JOINT = 1  # no byte of folded text
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[list(b" /-")] = True
@@ -167,12 +169,28 @@ def found(trie: Trie, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return pairs // max(len(trie.names), 1), pairs % max(len(trie.names), 1)
 
 
+def slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Consecutive texts of so many bytes together, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        stop = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def lists(trie: Trie, texts: pa.Array) -> pa.Array:
-    """Of each text the sorted distinct names of its matches."""
-    text, name = found(trie, texts)
-    offsets = np.searchsorted(text, np.arange(len(texts) + 1))
-    values = pa.array(trie.names, pa.string()).take(pa.array(name)) if len(name) else pa.array([], pa.string())
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+    """Of each text the sorted distinct names of its matches. What a walk takes follows `SLICE`, not the batch."""
+    offsets, values, total = [np.zeros(1, np.int64)], [], 0
+    for part in slices(texts, SLICE):
+        text, name = found(trie, part)
+        offsets.append(np.searchsorted(text, np.arange(1, len(part) + 1)) + total)
+        values.append(name)
+        total += len(name)
+    names = np.concatenate(values) if total else np.zeros(0, np.int64)
+    found_names = pa.array(trie.names, pa.string()).take(pa.array(names)) if total else pa.array([], pa.string())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), found_names)
 
 
 def walker(uri: str, folded: str, out: str):
