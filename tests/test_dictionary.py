@@ -5,7 +5,7 @@ import tracemalloc
 import pyarrow as pa
 import pytest
 
-from textmart.functions import automaton
+from textmart.functions import automaton, dictionary
 from textmart.functions.dictionary import compile_dictionary, match_by_automaton, match_by_join, match_dictionary
 from textmart.functions.text import fold_text
 
@@ -173,3 +173,20 @@ def test_a_walk_takes_memory_by_slices(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6
+
+
+def test_heads_are_found_within_texts_or_by_a_join(spark, monkeypatch):
+    """The default moves no list of tokens; beyond the limit of heads the rows are the same."""
+    rng = random.Random(5)
+    parts = [*(a for _, a in TERMS), "x", "sparksql", "power-bi", "+", "c", "git hub", "/", ","]
+    texts = [None, "", " ", *(" ".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(200))]
+    docs = spark.createDataFrame([(i % 9, t) for i, t in enumerate(texts)], "id INT, body STRING")
+    terms = spark.createDataFrame([(c, a, i) for i, (c, a) in enumerate(TERMS)], "canonical STRING, alias STRING, pos INT")
+    run = lambda: match_dictionary(docs, "id", "body", terms, literal_limit=0, automaton_limit=0)
+    rows = lambda df: sorted((r.id, r.body or "", r.skills) for r in df.collect())
+    found, plan = rows(run()), run()._jdf.queryExecution().executedPlan().toString()
+    assert "first(tokens" not in plan and any(skills for _, _, skills in found)
+    whole = dictionary._matches
+    monkeypatch.setattr(dictionary, "_matches", lambda *a: whole(*a, head_limit=0))
+    assert "first(tokens" in run()._jdf.queryExecution().executedPlan().toString() and rows(run()) == found
+    assert rows(match_dictionary(docs, "id", "body", terms)) == found

@@ -272,7 +272,9 @@ def match_by_join(
     return named.select(key, "_text_id").join(found, "_text_id").select(key, out)
 
 
-def _matches(texts: DataFrame, text: str, dictionary: DataFrame, out: str) -> DataFrame:
+def _matches(
+    texts: DataFrame, text: str, dictionary: DataFrame, out: str, head_limit: int = MAX_LITERAL_ROWS
+) -> DataFrame:
     """(_text_id, canonical array) for each distinct text with a match.
 
     A stretch of tokens is a candidate if its first token can begin an alias, up to as
@@ -280,46 +282,41 @@ def _matches(texts: DataFrame, text: str, dictionary: DataFrame, out: str) -> Da
     the alias decides where separators may stand, and the survivors of one text are
     consumed left to right. Only distinct matches, not candidates, are grouped per text,
     so a group is bounded by its own text, however often the text is repeated. A very
-    frequent key is split by AQE's skew join or avoided by the broadcast.
+    frequent key is split by AQE's skew join or avoided by the broadcast. Up to `head_limit` different
+    first tokens are found within a text, more by a join with all its tokens.
     """
     dictionary = dictionary.dropna(subset=["alias", "canonical"])
     entries = _dictionary_keys(dictionary)
-    heads = _heads(dictionary)
+    heads = _heads(dictionary)  # (head, longest)
     entries = broadcast_if_small(entries.drop("n_tokens").withColumnRenamed("key", "_key"))
     key = "_text_id"
 
     tokens = texts.where(F.col(key).isNotNull()).select(key, _tokens(fold(F.col(text))).alias("tokens"))
-    # A text's tokens meet the heads by their places; a start that is one then takes
-    # from the text as many tokens as the longest alias of its own head.
-    starts = tokens.select(
-        key,
-        F.inline_outer(
-            F.transform(
-                "tokens",
-                lambda token, i: F.struct(
-                    i.alias("at"),
-                    F.btrim(token, F.lit(SEPARATORS)).alias("head"),
-                    F.get("tokens", i - 1).alias("before"),
-                    token.alias("token"),
-                ),
-            )
-        ),
-    ).where(F.col("at").isNotNull()).where((F.col("at") == 0) | _opens_apart(F.col("token")) | ~_is_word(F.col("before")))
-    starts = starts.select(key, "at", "head").join(broadcast_if_small(heads), "head")
-    by_text = starts.groupBy(key).agg(F.collect_list(F.struct("at", "longest")).alias("starts"))
-    starts = tokens.dropDuplicates([key]).join(by_text, key).select(
-        key,
-        F.inline(
-            F.transform(
-                "starts",
-                lambda s: F.struct(
-                    s["at"].alias("at"),
-                    s["longest"].alias("longest"),
-                    F.slice("tokens", s["at"] + 1, s["longest"] + 1).alias("ahead"),
-                ),
-            )
-        ),
-    )
+    placed = F.transform("tokens", lambda token, i: F.struct(i.alias("at"), F.btrim(token, F.lit(SEPARATORS)).alias("head")))
+
+    def begins(s: Column) -> Column:
+        return (s["at"] == 0) | _opens_apart(F.get("tokens", s["at"])) | ~_is_word(F.get("tokens", s["at"] - 1))
+
+    def ahead(s: Column, longest: Column) -> Column:
+        return F.struct(s["at"].alias("at"), longest.alias("longest"), F.slice("tokens", s["at"] + 1, longest + 1).alias("ahead"))
+
+    few = collect_if_small(heads, head_limit)
+    if few is not None:
+        # Tokens that are no head go no further than their own text.
+        longest = string_map({r["head"]: str(r["longest"]) for r in few})
+        known = F.filter(placed, lambda s: s["head"].isin([r["head"] for r in few]) & begins(s)) if few else F.filter(placed, lambda s: F.lit(False))
+        tokens = tokens.select(key, "tokens", known.alias("starts"))
+        reach = lambda s: F.try_element_at(longest, s["head"]).cast("int")
+        # The outer form: a filter on the array's size would compute it again below.
+        starts = tokens.select(key, F.inline_outer(F.transform("starts", lambda s: ahead(s, reach(s))))).where("at IS NOT NULL")
+    else:
+        # A text's tokens meet the heads by their places; a start that is one then takes
+        # from the text as many tokens as the longest alias of its own head.
+        starts = tokens.select(key, F.inline_outer(F.filter(placed, begins))).where("at IS NOT NULL").select(key, "at", "head").join(broadcast_if_small(heads), "head")
+        by_text = starts.groupBy(key).agg(F.collect_list(F.struct("at", "longest")).alias("starts"))
+        starts = tokens.dropDuplicates([key]).join(by_text, key).select(
+            key, F.inline(F.transform("starts", lambda s: ahead(s, s["longest"])))
+        )
     after = F.get("ahead", F.col("n"))
     candidates = (
         starts.withColumn(
